@@ -28,50 +28,65 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 @dataclass(frozen=True)
 class Chunks:
-    """Rows with a chunk number; chunk order follows row order within each group."""
+    """Rows by group: ``cold`` holds whole groups, ``hot`` the rows of hot groups with a chunk number
+    that follows row order (None when no group is hot)."""
 
-    rows: DataFrame
+    cold: DataFrame
+    hot: DataFrame | None
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    split: bool
 
-    def _window(self):
-        keys = (_GROUP, _CHUNK) if self.split else self.keys
-        return Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in self.order])
+    def _each(self, step) -> Chunks:
+        hot = None if self.hot is None else step(self.hot)
+        return Chunks(step(self.cold), hot, self.keys, self.order)
 
-    def _with(self, rows: DataFrame) -> Chunks:
-        return Chunks(rows, self.keys, self.order, self.split)
+    def with_column(self, name: str, value: Column) -> Chunks:
+        return self._each(lambda rows: rows.withColumn(name, value))
 
     def running(self, name: str, kind: str, value: Column, exclusive: bool = False) -> Chunks:
         """Add ``name``: sum, max or min of ``value`` over the group's rows up to this one, this one
         included unless ``exclusive`` (before the first value NULL, for sums 0)."""
         fold = _FOLDS[kind]
         last = -1 if exclusive else Window.currentRow
-        inside = fold(value).over(self._window().rowsBetween(Window.unboundedPreceding, last))
-        if not self.split:
-            inside = F.coalesce(inside, F.lit(0)) if kind == "sum" else inside
-            return self._with(self.rows.withColumn(name, inside))
-        per_chunk = self.rows.groupBy(_GROUP, _CHUNK).agg(fold(value).alias("_chunk_value"))
+        in_order = [F.col(c).asc_nulls_last() for c in self.order]
+
+        def over(*keys) -> Column:
+            frame = Window.partitionBy(*keys).orderBy(*in_order)
+            inside = fold(value).over(frame.rowsBetween(Window.unboundedPreceding, last))
+            return F.coalesce(inside, F.lit(0)) if kind == "sum" else inside
+
+        cold = self.cold.withColumn(name, over(*self.keys))
+        if self.hot is None:
+            return Chunks(cold, None, self.keys, self.order)
+        # one row per group and chunk; cut from the lineage so that later steps do not repeat it
+        per_chunk = self.hot.groupBy(_GROUP, _CHUNK).agg(fold(value).alias("_chunk_value"))
         earlier = Window.partitionBy(_GROUP).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = per_chunk.select(_GROUP, _CHUNK, fold("_chunk_value").over(earlier).alias("_earlier_chunks"))
+        carried = per_chunk.select(_GROUP, _CHUNK, fold("_chunk_value").over(earlier).alias("_carried"))
         # the window and the join use the same partitioning, so the rows move once
-        rows = self.rows.withColumn("_own_chunk", inside).join(carried, [_GROUP, _CHUNK])
+        rows = self.hot.withColumn("_own_chunk", over(_GROUP, _CHUNK))
+        rows = rows.join(carried.checkpoint(), [_GROUP, _CHUNK])
         merged = {
-            "sum": F.coalesce(F.col("_earlier_chunks"), F.lit(0)) + F.coalesce(F.col("_own_chunk"), F.lit(0)),
-            "max": F.greatest("_earlier_chunks", "_own_chunk"),
-            "min": F.least("_earlier_chunks", "_own_chunk"),
+            "sum": F.coalesce(F.col("_carried"), F.lit(0)) + F.col("_own_chunk"),
+            "max": F.greatest("_carried", "_own_chunk"),
+            "min": F.least("_carried", "_own_chunk"),
         }[kind]
-        return self._with(rows.withColumn(name, merged).drop("_earlier_chunks", "_own_chunk"))
+        hot = rows.withColumn(name, merged).drop("_carried", "_own_chunk")
+        return Chunks(cold, hot, self.keys, self.order)
 
     def numbered(self, name: str) -> Chunks:
         """Add ``name``: 1, 2, 3, ... within the group."""
-        if not self.split:
-            return self._with(self.rows.withColumn(name, F.row_number().over(self._window())))
         counted = self.running(name, "sum", F.lit(1))
-        return self._with(counted.rows.withColumn(name, F.col(name).cast("int")))
+        return counted._each(lambda rows: rows.withColumn(name, F.col(name).cast("int")))
 
     def done(self) -> DataFrame:
-        return self.rows.drop(_GROUP, _CHUNK)
+        if self.hot is None:
+            return self.cold
+        return self.cold.unionByName(self.hot.drop(_GROUP, _CHUNK))
+
+
+def group_of(keys) -> Column:
+    """The keys as one text that is never NULL, so that it can be joined on."""
+    return F.to_json(F.struct(*keys)).alias(_GROUP)
 
 
 def chunk(rows: DataFrame, keys, order, hot_rows: int = HOT_ROWS) -> Chunks:
@@ -79,23 +94,19 @@ def chunk(rows: DataFrame, keys, order, hot_rows: int = HOT_ROWS) -> Chunks:
     ``hot_rows``; without any, groups stay whole and later steps are plain windows.
 
     ``order`` must order the rows of a group completely. The hot rows are range-partitioned on
-    (keys, order) and checkpointed, because the chunk is the partition a row landed in and a lost
+    (group, order) and checkpointed, because the chunk is the partition a row landed in and a lost
     executor must not be able to change it.
     """
     keys, order = tuple(keys), tuple(order)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-    hot = sizes.filter(F.col("_size") > hot_rows).select(group_of(keys))
-    if hot.isEmpty():
-        return Chunks(rows, keys, order, False)
+    large = sizes.filter(F.col("_size") > hot_rows).select(group_of(keys))
+    if large.isEmpty():
+        return Chunks(rows, None, keys, order)
     ensure_checkpoint_dir(rows.sparkSession)
+    large = large.checkpoint()
     grouped = rows.withColumn(_GROUP, group_of(keys))
-    cold = grouped.join(hot, _GROUP, "left_anti").withColumn(_CHUNK, F.lit(0))
+    cold = grouped.join(large, _GROUP, "left_anti").drop(_GROUP)
     spread = [F.col(_GROUP), *[F.col(c).asc_nulls_last() for c in order]]
-    cut = grouped.join(hot, _GROUP, "left_semi").repartitionByRange(*spread)
-    cut = cut.withColumn(_CHUNK, F.spark_partition_id()).checkpoint()
-    return Chunks(cold.unionByName(cut), keys, order, True)
-
-
-def group_of(keys) -> Column:
-    """The keys as one text that is never NULL, so that it can be joined on."""
-    return F.to_json(F.struct(*keys)).alias(_GROUP)
+    cut = grouped.join(large, _GROUP, "left_semi").repartitionByRange(*spread)
+    hot = cut.withColumn(_CHUNK, F.spark_partition_id()).checkpoint()
+    return Chunks(cold, hot, keys, order)

@@ -27,8 +27,7 @@ def _with_streak(log: DataFrame, keys, order, empty, hot_rows: int):
     """Chunks with ``_streak``: how many rows in a row, this one included, are empty."""
     numbered = chunk(log, keys, order, hot_rows).numbered("_at")
     last_full = numbered.running("_full", "max", F.when(~empty, F.col("_at")))
-    streak = F.col("_at") - F.coalesce("_full", F.lit(0))
-    return last_full._with(last_full.rows.withColumn("_streak", streak).drop("_at", "_full"))
+    return last_full.with_column("_streak", F.col("_at") - F.coalesce("_full", F.lit(0)))
 
 
 def streak_cut(log: DataFrame, limit: int = EMPTY_STREAK, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -36,7 +35,7 @@ def streak_cut(log: DataFrame, limit: int = EMPTY_STREAK, hot_rows: int = HOT_RO
     streaks = _with_streak(log, ["run", "seed"], ["page_no"], F.col("n") == 0, hot_rows)
     hit = F.when(F.col("_streak") >= limit, 1)
     stopped = streaks.running("_stopped", "max", hit, exclusive=True).done()
-    return stopped.filter(F.col("_stopped").isNull()).drop("_streak", "_stopped")
+    return stopped.filter(F.col("_stopped").isNull()).select(*log.columns)
 
 
 def review_cap_cut(
@@ -88,7 +87,7 @@ def empty_payload_streak(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``consecutive_empty_payloads``: pages in a row, up to this one, with an empty body
     (``is_empty``)."""
     streaks = _with_streak(log, ["run"], ["seq"], F.col("is_empty"), hot_rows).done()
-    return streaks.withColumnRenamed("_streak", "consecutive_empty_payloads")
+    return streaks.select(*log.columns, F.col("_streak").alias("consecutive_empty_payloads"))
 
 
 def run_summary(log: DataFrame) -> DataFrame:
