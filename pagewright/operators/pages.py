@@ -329,3 +329,21 @@ def inspect_blocks(pages: DataFrame, stop_on_status=STOP_STATUS, stop_on_keyword
 def block_reason(pages: DataFrame, stop_on_status=STOP_STATUS, stop_on_keywords=None) -> DataFrame:
     """The short form of ``inspect_blocks``: page_id and stop_reason."""
     return inspect_blocks(pages, stop_on_status, stop_on_keywords).select("page_id", "stop_reason")
+
+
+def page_facts(pages: DataFrame, scrape_time: str, max_pages: int = 5, stop_on_status=STOP_STATUS,
+               stop_on_keywords=None) -> DataFrame:
+    """Everything a review harvest needs to know about a stored page, without its HTML: block
+    verdict, shell reason, links, and its review rows as an array. One narrow pass, so the HTML is
+    never shuffled."""
+    judged = inspect_blocks(pages, stop_on_status, stop_on_keywords)
+    read = _review_inputs(
+        _with_nodes(judged).drop("page_no"), scrape_time, tx.stable_hash(tx.text_of(F.col("html")))
+    )
+    known = _with_shell(_with_product(_with_embedded_reviews(read), F.lit(scrape_time)))
+    links = hx.review_links(tx.text_of(F.col("html")), F.col("final_url"), max_pages)
+    return known.select(
+        *[c for c in pages.columns if c not in ("html", "page_no")],
+        "stop_reason", "stop_signal_class", "stop_signal_source", "stop_matched_text",
+        "shell_reason", "response_hash", links.alias("links"), F.col("_reviews").alias("reviews"),
+    )
