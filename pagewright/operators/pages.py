@@ -33,6 +33,13 @@ def _with_nodes(pages: DataFrame, keep_json=()) -> DataFrame:
     )
 
 
+def unfold(rows: DataFrame, keep, array, at: str, item: str) -> DataFrame:
+    """One row per array element with its index. The outer form with a filter on the index, because
+    for the plain one the optimizer adds a size filter that repeats the whole array expression."""
+    flat = rows.select(*keep, F.posexplode_outer(array).alias(at, item))
+    return flat.filter(F.col(at).isNotNull())
+
+
 def meta_map(pages: DataFrame) -> DataFrame:
     """page_id and a map of meta key to value; the last tag of a key wins."""
     tags = pages.select("page_id", hx.meta_tags(F.col("html")).alias("tags"))
@@ -46,18 +53,13 @@ def meta_map(pages: DataFrame) -> DataFrame:
 
 def json_blobs(pages: DataFrame) -> DataFrame:
     """One row per embedded JSON text that parses: page_id, blob_ord, json."""
-    read = _with_nodes(pages).select(
-        "page_id",
-        F.posexplode(
-            F.transform(jt.roots(F.col("_nodes")), lambda r: F.get(F.col("_texts"), r["blob"]))
-        ).alias("blob_ord", "json"),
-    )
-    return read
+    texts = F.transform(jt.roots(F.col("_nodes")), lambda r: F.get(F.col("_texts"), r["blob"]))
+    return unfold(_with_nodes(pages), ["page_id"], texts, "blob_ord", "json")
 
 
 def json_nodes(pages: DataFrame) -> DataFrame:
-    """One row per JSON node of a page; ``pos`` is the document order, ``depth_first`` from 0."""
-    nodes = _with_nodes(pages).select("page_id", F.explode("_nodes").alias("n"))
+    """One row per JSON node of a page; ``pos`` is its rank in document order, from 0."""
+    nodes = unfold(_with_nodes(pages), ["page_id"], F.col("_nodes"), "at", "n")
     return nodes.select("page_id", "n.blob", "n.pos", "n.key", "n.kind", "n.text", "n.size")
 
 
@@ -66,7 +68,7 @@ def deep_find(pages: DataFrame, keys) -> DataFrame:
     value. Containers come as JSON text."""
     wanted = sorted({key.lower() for key in keys})
     hits = F.filter("_nodes", lambda n: F.lower(n["key"]).isin(*wanted))
-    found = _with_nodes(pages, wanted).select("page_id", F.explode(hits).alias("n"))
+    found = unfold(_with_nodes(pages, wanted), ["page_id"], hits, "at", "n")
     return found.select("page_id", "n.pos", "n.key", "n.kind", F.col("n.text").alias("value"))
 
 
@@ -135,10 +137,9 @@ def carry_seed_category(snapshots: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def review_candidates(pages: DataFrame) -> DataFrame:
-    """One row per review candidate of a page in reading order: page_id, ord, rule, pos. An object
-    may qualify by both rules and is then listed twice."""
-    found = _with_nodes(pages).select("page_id", rx.candidates(F.col("_nodes")).alias("c"))
-    rows = found.select("page_id", F.posexplode("c").alias("ord", "c"))
+    """One row per review candidate of a page in reading order: page_id, ord, rule, n_fields. An
+    object may qualify by both rules and is then listed twice."""
+    rows = unfold(_with_nodes(pages), ["page_id"], rx.candidates(F.col("_nodes")), "ord", "c")
     rule = F.when(F.col("c.item") < 0, "keys").otherwise("container")
     return rows.select("page_id", "ord", rule.alias("rule"), F.col("c.size").alias("n_fields"))
 
@@ -159,15 +160,8 @@ def _with_embedded_reviews(read: DataFrame) -> DataFrame:
 
 
 def _explode_reviews(rows: DataFrame, keep) -> DataFrame:
-    flat = rows.select(
-        *keep,
-        "product_id",
-        "review_page",
-        "scrape_time",
-        "response_hash",
-        "source_url",
-        F.posexplode("_reviews").alias("review_ord", "r"),
-    )
+    kept = [*keep, "product_id", "review_page", "scrape_time", "response_hash", "source_url"]
+    flat = unfold(rows, kept, F.col("_reviews"), "review_ord", "r")
     own = {name: F.col(f"r.{name}") for name in flat.schema["r"].dataType.names}
     own["purchase_variant"] = F.col("r.variant_text")
     table = [own[n].alias(n) if n in own else F.col(n) for n in REVIEWS_RAW.names]
@@ -226,7 +220,7 @@ def discover_links(pages: DataFrame, max_pages: int = 10) -> DataFrame:
     """Pages to read for each product page: page_id, page_no (from 1), link."""
     base = F.col("final_url") if "final_url" in pages.columns else F.col("url")
     links = hx.review_links(tx.text_of(F.col("html")), base, max_pages)
-    rows = pages.select("page_id", F.posexplode(links).alias("at", "link"))
+    rows = unfold(pages, ["page_id"], links, "at", "link")
     return rows.select("page_id", (F.col("at") + 1).alias("page_no"), "link")
 
 

@@ -70,10 +70,9 @@ def _rows(read: DataFrame, source_url: Column) -> DataFrame:
             "review_page": F.col("page_no").cast("int"),
             "source_url": source_url,
         }
-    ).select(
-        "seed", "page_no", "product_id", "review_page", "source_url", "response_hash", "scrape_time",
-        F.posexplode("reviews").alias("review_ord", "r"),
     )
+    kept = ["seed", "page_no", "product_id", "review_page", "source_url", "response_hash", "scrape_time"]
+    flat = pg.unfold(flat, kept, F.col("reviews"), "review_ord", "r")
     taken = {"purchase_variant": F.col("r.variant_text")}
     taken |= {n: F.col(f"r.{n}") for n in flat.schema["r"].dataType.names}
     table = [taken[n].alias(n) if n in taken else F.col(n) for n in REVIEWS_RAW.names]
