@@ -65,8 +65,11 @@ def _char_of(number: Column, irregular: str) -> Column:
     def char(n: Column) -> Column:
         bad = n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
         plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        odd = (n < 0x20) | n.between(0x7F, 0x9F) | (n >= 0xFDD0)
         listed = F.try_element_at(_literal_map(irregular), n.cast("string"))
-        return F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(listed, plain))
+        return (
+            F.when(bad, F.lit("\ufffd")).when(odd, F.coalesce(listed, plain)).otherwise(plain)
+        )
 
     return tx.let(number, char)
 

@@ -125,40 +125,42 @@ def canonical_json(text: Column) -> Column:
     return rewrite(text)
 
 
-def children(nodes: Column, node: Column) -> Column:
-    """Child nodes of ``node``, which must be a plain variable."""
-    return F.slice(nodes, node["first"] + 1, node["size"])
+# The rules over node arrays nest deeply, so they are written as SQL text: the functions below build
+# the text of an expression from the texts of its parts.
 
+IS_SCALAR = "{0}.kind IN ('str', 'num', 'bool')"
 
-def member(nodes: Column, node: Column, key: str) -> Column:
-    """The value node of an object's key (exact case), NULL when absent or not an object."""
 
-    def find(bound: Column) -> Column:
-        return F.get(F.filter(children(nodes, bound), lambda child: child["key"] == key), F.lit(0))
+def children(nodes: str, node: str) -> str:
+    """Child nodes of the variable ``node``."""
+    return f"slice({nodes}, {node}.first + 1, {node}.size)"
 
-    return tx.let(node, find)
 
+def member(nodes: str, node: str, key: str) -> str:
+    """The value node under an object's key (exact case), NULL when absent or not an object."""
+    return f"get(filter({children(nodes, node)}, child -> child.key = '{key}'), 0)"
 
-def roots(nodes: Column) -> Column:
-    return F.filter(nodes, lambda node: node["up"] == -1)
 
+def roots(nodes: str) -> str:
+    return f"filter({nodes}, node -> node.up = -1)"
 
-def truthy(node: Column) -> Column:
-    """Non-zero, non-empty, not null and not false; ``node`` must be a plain variable."""
+
+def truthy(node: str) -> str:
+    """Whether the variable ``node`` is non-zero, non-empty, not null and not false."""
     return (
-        F.when(node["kind"] == "bool", node["text"] == "True")
-        .when(node["kind"] == "num", ~node["text"].isin("0", "0.0", "-0.0"))
-        .when(node["kind"] == "str", node["text"] != "")
-        .when(node["kind"].isin("dict", "list"), node["size"] > 0)
-        .otherwise(F.lit(False))
+        f"CASE {node}.kind WHEN 'bool' THEN {node}.text = 'True'"
+        f" WHEN 'num' THEN {node}.text NOT IN ('0', '0.0', '-0.0')"
+        f" WHEN 'str' THEN {node}.text <> ''"
+        f" WHEN 'dict' THEN {node}.size > 0 WHEN 'list' THEN {node}.size > 0 ELSE false END"
     )
 
 
-def truthy_text(node: Column) -> Column:
+def truthy_text(node: str) -> str:
     """Text of a truthy scalar, else NULL."""
-    return tx.let(node, lambda n: F.when(n["kind"].isin(*SCALARS) & truthy(n), n["text"]))
+    return tx.sql_let(node, "t", f"CASE WHEN {IS_SCALAR.format('t')} AND {truthy('t')} THEN t.text END")
 
 
-def scalar_text(node: Column) -> Column:
+def scalar_text(node: str) -> str:
     """Trimmed text of a scalar that is not blank, else NULL."""
-    return tx.let(node, lambda n: tx.non_empty(tx.strip(F.when(n["kind"].isin(*SCALARS), n["text"]))))
+    text = f"CASE WHEN {IS_SCALAR.format('s')} THEN s.text END"
+    return tx.sql_let(node, "s", tx.sql_non_empty(tx.sql_strip(text)))

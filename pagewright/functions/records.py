@@ -79,156 +79,140 @@ CARD_REPLY = r"(?i)balasan penjual|seller reply|shop reply"
 CARD_MIN_CHARS = 8
 
 
-def alias_hits(nodes: Column) -> Column:
+def _in(value: str, words) -> str:
+    return f"{value} IN ({', '.join(repr(word) for word in words)})"
+
+
+def alias_hits(nodes: str) -> Column:
     """array<struct<pos, key, text>>: non-blank scalars under any product alias, document order."""
     known = sorted({alias for aliases in PRODUCT_ALIASES.values() for alias in aliases})
-    named = F.filter(
-        nodes, lambda n: F.lower(n["key"]).isin(*known) & n["kind"].isin(*jt.SCALARS)
-    )
-    hits = F.transform(
-        named,
-        lambda n: F.struct(
-            n["pos"].alias("pos"), F.lower(n["key"]).alias("key"), tx.strip(n["text"]).alias("text")
-        ),
+    named = f"filter({nodes}, n -> {_in('lower(n.key)', known)} AND {jt.IS_SCALAR.format('n')})"
+    hits = (
+        f"transform({named}, n -> named_struct('pos', n.pos, 'key', lower(n.key),"
+        f" 'text', {tx.sql_strip('n.text')}))"
     )
-    return F.array_sort(F.filter(hits, lambda hit: hit["text"] != ""))
+    return F.expr(f"array_sort(filter({hits}, hit -> hit.text <> ''))")
 
 
 def by_alias(hits: str, field: str) -> Column:
     """Value of a product field from the ``alias_hits`` column named ``hits``: alias order first,
     document order within an alias."""
     picks = [f"get(filter({hits}, hit -> hit.key = '{a}'), 0).text" for a in PRODUCT_ALIASES[field]]
-    return F.expr(f"coalesce({', '.join(picks)})") if len(picks) > 1 else F.expr(picks[0])
+    return F.expr(f"coalesce({', '.join(picks)})")
 
 
-def _typed_roots(nodes: Column, name: str) -> Column:
-    def wanted(node: Column) -> Column:
-        tag = jt.member(nodes, node, "@type")
-        return (node["kind"] == "dict") & (tag["kind"] == "str") & (tag["text"] == name)
+def _typed_roots(nodes: str, name: str) -> str:
+    """Root objects whose ``@type`` is the given text."""
+    tag = tx.sql_let(jt.member(nodes, "r", "@type"), "tag", f"tag.kind = 'str' AND tag.text = '{name}'")
+    return f"filter({jt.roots(nodes)}, r -> r.kind = 'dict' AND {tag})"
 
-    return F.filter(jt.roots(nodes), wanted)
 
-
-def breadcrumb(nodes: Column, metas: Column) -> Column:
+def breadcrumb(nodes: str, metas: Column) -> Column:
     """Names of the first breadcrumb object that has any, else the category meta tags."""
-
-    def trail(node: Column) -> Column:
-        items = tx.let(
-            jt.member(nodes, node, "itemListElement"),
-            lambda holder: F.filter(jt.children(nodes, holder), lambda i: i["kind"] == "dict"),
-        )
-        names = F.transform(items, lambda i: tx.strip(jt.truthy_text(jt.member(nodes, i, "name"))))
-        present = F.filter(names, lambda name: name.isNotNull())
-        return tx.let(present, lambda some: F.when(F.size(some) > 0, F.array_join(some, " > ")))
-
-    trails = F.transform(_typed_roots(nodes, "BreadcrumbList"), trail)
-    first = F.get(F.filter(trails, lambda t: t.isNotNull()), F.lit(0))
+    items = tx.sql_let(
+        jt.member(nodes, "b", "itemListElement"), "items",
+        f"filter({jt.children(nodes, 'items')}, i -> i.kind = 'dict')",
+    )
+    name = tx.sql_strip(jt.truthy_text(jt.member(nodes, "i", "name")))
+    names = f"filter(transform({items}, i -> {name}), v -> v IS NOT NULL)"
+    trail = tx.sql_let(names, "some", "CASE WHEN size(some) > 0 THEN array_join(some, ' > ') END")
+    trails = f"transform({_typed_roots(nodes, 'BreadcrumbList')}, b -> {trail})"
+    first = F.expr(f"get(filter({trails}, v -> v IS NOT NULL), 0)")
     return F.coalesce(first, hx.last_meta(metas, "og:category", "product:category"))
 
 
-def product_objects(nodes: Column) -> Column:
+def product_objects(nodes: str) -> Column:
     """array<struct> with the usable fields of each ld+json product object, document order."""
 
-    def trimmed(node: Column) -> Column:
-        return tx.non_empty(tx.strip(jt.truthy_text(node)))
+    def inner(outer: str, key: str) -> str:
+        found = f"CASE WHEN box.kind = 'dict' THEN {jt.member(nodes, 'box', key)} END"
+        return tx.sql_let(jt.member(nodes, "p", outer), "box", found)
 
-    def one(node: Column) -> Column:
-        def inner(outer: str, key: str) -> Column:
-            return tx.let(
-                jt.member(nodes, node, outer),
-                lambda holder: F.when(holder["kind"] == "dict", jt.member(nodes, holder, key)),
-            )
+    def trimmed(node: str) -> str:
+        return tx.sql_non_empty(tx.sql_strip(jt.truthy_text(node)))
+
+    fields = {
+        "title": jt.truthy_text(jt.member(nodes, "p", "name")),
+        "product_description": jt.truthy_text(jt.member(nodes, "p", "description")),
+        "rating_avg_display": trimmed(inner("aggregateRating", "ratingValue")),
+        "rating_count_display": trimmed(inner("aggregateRating", "reviewCount")),
+        "price_display": trimmed(inner("offers", "price")),
+        "shop_name": jt.truthy_text(inner("brand", "name")),
+    }
+    return F.expr(f"transform({_typed_roots(nodes, 'Product')}, p -> {_struct(fields)})")
 
-        return F.struct(
-            jt.truthy_text(jt.member(nodes, node, "name")).alias("title"),
-            jt.truthy_text(jt.member(nodes, node, "description")).alias("product_description"),
-            trimmed(inner("aggregateRating", "ratingValue")).alias("rating_avg_display"),
-            trimmed(inner("aggregateRating", "reviewCount")).alias("rating_count_display"),
-            trimmed(inner("offers", "price")).alias("price_display"),
-            jt.truthy_text(inner("brand", "name")).alias("shop_name"),
-        )
 
-    return F.transform(_typed_roots(nodes, "Product"), one)
+def _struct(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {value}' for name, value in fields.items())})"
 
 
 def from_objects(objects: str, field: str) -> Column:
     """First value of a field over the ``product_objects`` column named ``objects``."""
-    return F.expr(f"get(filter(transform({objects}, o -> o.{field}), v -> v is not null), 0)")
+    return F.expr(f"get(filter(transform({objects}, o -> o.{field}), v -> v IS NOT NULL), 0)")
 
 
-def candidates(nodes: Column) -> Column:
+def candidates(nodes: str) -> Column:
     """array<struct<anchor, item, first, size>> of objects that may be reviews, in reading order.
 
     An object qualifies by its keys, and again by standing in a list under a container key; the
     objects of such a list are read before anything inside them.
     """
-    text_keys, context_keys = F.array(*map(F.lit, TEXT_KEYS)), F.array(*map(F.lit, CONTEXT_KEYS))
-
-    def place(anchor: Column, item: Column, node: Column) -> Column:
-        return F.struct(
-            anchor.alias("anchor"), item.alias("item"), node["first"].alias("first"), node["size"].alias("size")
-        )
 
-    def by_keys(node: Column, _: Column) -> Column:
-        keys = F.transform(jt.children(nodes, node), lambda child: F.lower(child["key"]))
-        fits = F.arrays_overlap(keys, text_keys) & F.arrays_overlap(keys, context_keys)
-        return F.when((node["kind"] == "dict") & fits, place(node["pos"], F.lit(-1), node))
+    def words(keys) -> str:
+        return f"array({', '.join(repr(key) for key in keys)})"
 
-    def by_container(node: Column, index: Column) -> Column:
-        holder = F.get(nodes, node["up"])
-        fits = (holder["kind"] == "list") & F.lower(holder["key"]).isin(*CONTAINER_KEYS)
-        return F.when((node["kind"] == "dict") & fits, place(holder["pos"], index, node))
+    def place(anchor: str, item: str) -> str:
+        return _struct({"anchor": anchor, "item": item, "first": "n.first", "size": "n.size"})
 
-    found = F.concat(F.transform(nodes, by_keys), F.transform(nodes, by_container))
-    return F.array_sort(F.filter(found, lambda c: c.isNotNull()))
+    keys = f"transform({jt.children(nodes, 'n')}, child -> lower(child.key))"
+    fits = tx.sql_let(
+        keys, "k", f"arrays_overlap(k, {words(TEXT_KEYS)}) AND arrays_overlap(k, {words(CONTEXT_KEYS)})"
+    )
+    by_keys = f"transform({nodes}, n -> CASE WHEN n.kind = 'dict' AND {fits} THEN {place('n.pos', '-1')} END)"
+    hit = f"up.kind = 'list' AND {_in('lower(up.key)', CONTAINER_KEYS)}"
+    in_list = tx.sql_let(f"get({nodes}, n.up)", "up", f"CASE WHEN {hit} THEN {place('up.pos', 'i')} END")
+    by_container = f"transform({nodes}, (n, i) -> CASE WHEN n.kind = 'dict' THEN {in_list} END)"
+    return F.expr(f"array_sort(filter(concat({by_keys}, {by_container}), c -> c IS NOT NULL))")
 
 
-def candidate_fields(nodes: Column, found: Column) -> Column:
+def candidate_fields(nodes: str, found: str) -> Column:
     """array<map<key, struct<kind, text, size>>>: the fields of each candidate that rows use."""
+    used = f"filter({jt.children(nodes, 'c')}, n -> {_in('n.key', sorted(set(_USED_KEYS)))})"
+    entry = f"struct(n.key, {_struct({'kind': 'n.kind', 'text': 'n.text', 'size': 'n.size'})})"
+    return F.expr(f"transform({found}, c -> map_from_entries(transform({used}, n -> {entry})))")
 
-    def fields(candidate: Column) -> Column:
-        used = F.filter(jt.children(nodes, candidate), lambda f: f["key"].isin(*sorted(set(_USED_KEYS))))
-        return F.map_from_entries(
-            F.transform(used, lambda f: F.struct(f["key"], F.struct(f["kind"], f["text"], f["size"])))
-        )
 
-    return F.transform(found, fields)
+def _field(key: str) -> str:
+    return f"try_element_at(f, '{key}')"
 
 
-def _first(fields: Column, keys) -> Column:
+def _first(keys) -> str:
     """First non-blank scalar under the keys, trimmed (exact-case keys, in order)."""
-
-    return F.coalesce(*[jt.scalar_text(F.try_element_at(fields, F.lit(key))) for key in keys])
-
-
-def _first_truthy(fields: Column, keys, pick, default) -> Column:
-    """``pick(node)`` of the first truthy value under the keys, else the default."""
-
-    def one(key: str) -> Column:
-        node = F.try_element_at(fields, F.lit(key))
-        return tx.let(node, lambda n: F.when(jt.truthy(n), pick(n)))
-
-    return F.coalesce(*[one(key) for key in keys], default)
-
-
-def review_of(fields: Column) -> Column:
-    """One candidate's fields as a review struct; ``review_text`` is NULL when it has no text."""
-    yes, no = F.lit(True), F.lit(False)
-    count = lambda node: F.when(node["kind"] == "list", node["size"]).otherwise(F.lit(0))
-    return F.struct(
-        _first(fields, TEXT_KEYS).alias("review_text"),
-        _first(fields, STAR_KEYS).alias("star_rating"),
-        _first(fields, TIME_KEYS).alias("review_time_display"),
-        _first(fields, VARIANT_KEYS).alias("variant_text"),
-        _first_truthy(fields, IMAGE_KEYS + VIDEO_KEYS, lambda _: yes, no).alias("media_flag"),
-        _first_truthy(
-            fields, REPLY_KEYS, lambda n: ~((n["kind"] == "str") & (n["text"] == "0")), no
-        ).alias("seller_reply_flag"),
-        _first(fields, REVIEWER_KEYS).alias("reviewer_name_masked"),
-        _first(fields, HELPFUL_KEYS).alias("helpful_count_display"),
-        _first_truthy(fields, IMAGE_KEYS, count, F.lit(0)).alias("image_count"),
-        _first_truthy(fields, VIDEO_KEYS, lambda _: yes, no).alias("video_flag"),
-    )
+    return f"coalesce({', '.join(jt.scalar_text(_field(key)) for key in keys)})"
+
+
+def _first_truthy(keys, pick: str, default: str) -> str:
+    """``pick`` of the first truthy value ``n`` under the keys, else the default."""
+    picked = f"CASE WHEN {jt.truthy('n')} THEN {pick} END"
+    return f"coalesce({', '.join(tx.sql_let(_field(key), 'n', picked) for key in keys)}, {default})"
+
+
+def reviews_of(fields: str) -> Column:
+    """Candidate fields as review structs; ``review_text`` is NULL when one has no text."""
+    count = "CASE WHEN n.kind = 'list' THEN n.size ELSE 0 END"
+    columns = {
+        "review_text": _first(TEXT_KEYS),
+        "star_rating": _first(STAR_KEYS),
+        "review_time_display": _first(TIME_KEYS),
+        "variant_text": _first(VARIANT_KEYS),
+        "media_flag": _first_truthy(IMAGE_KEYS + VIDEO_KEYS, "true", "false"),
+        "seller_reply_flag": _first_truthy(REPLY_KEYS, "NOT (n.kind = 'str' AND n.text = '0')", "false"),
+        "reviewer_name_masked": _first(REVIEWER_KEYS),
+        "helpful_count_display": _first(HELPFUL_KEYS),
+        "image_count": _first_truthy(IMAGE_KEYS, count, "0"),
+        "video_flag": _first_truthy(VIDEO_KEYS, "true", "false"),
+    }
+    return F.expr(f"transform({fields}, f -> {_struct(columns)})")
 
 
 def card_reviews(html: Column) -> Column:

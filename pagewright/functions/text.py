@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The 29 characters that count as white space in the source texts' own tooling.
 # Java's ``\s`` knows only six of them and Spark's ``trim`` only one.
-SPACES = r"\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = r"\p{IsWhite_Space}\x1c-\x1f"
 
 # Code point ranges counted as emoji.
 EMOJI = (
@@ -38,6 +38,20 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
 
 
+def sql_strip(value: str) -> str:
+    """``strip`` as SQL text."""
+    return f"regexp_replace({value}, r'^[{SPACES}]+|[{SPACES}]+$', '')"
+
+
+def sql_let(value: str, name: str, body: str) -> str:
+    """``let`` as SQL text: ``body`` may use ``name`` for the value."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def sql_non_empty(value: str) -> str:
+    return f"get(filter(array({value}), v -> v <> ''), 0)"
+
+
 def non_empty(value: Column) -> Column:
     """The text, or NULL when it is empty."""
     return F.get(F.filter(F.array(value), lambda v: v != ""), F.lit(0))
@@ -102,10 +116,10 @@ def repeated_char_ratio(value: Column) -> Column:
 
 
 def emoji_count(value: Column) -> Column:
-    """Number of emoji *runs*. Pure ASCII text (bytes = characters) skips the pattern."""
+    """Number of emoji *runs*. Text without any character that high skips the costly pattern."""
     text = text_of(value)
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.when(ascii_only, F.lit(0)).otherwise(F.regexp_count(text, F.lit(f"[{EMOJI}]+")))
+    runs = F.regexp_count(text, F.lit(f"[{EMOJI}]+"))
+    return F.when(text.rlike(r"[^\x00-\x{25FF}]"), runs).otherwise(F.lit(0))
 
 
 def exclamation_count(value: Column) -> Column:
@@ -134,7 +148,7 @@ def template_key(normalized: Column) -> Column:
 def to_number(value: Column) -> Column:
     """Number or NULL. The pattern guards the cast, which also accepts suffixes such as ``5d``."""
     text = value.cast("string")
-    return F.when(text.rlike(_NUMBER), strip(text).try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def digits_and_dots(value: Column) -> Column:
@@ -145,13 +159,16 @@ def band_numeric(value: Column, bands=PRICE_BANDS, floor: float = BAND_FLOOR) ->
     """Label of the right-closed band that holds ``value``; the floor itself belongs to the first
     band, values below it and NULL get NULL. ``bands`` is ((upper edge, label), ...), where an
     edge of None means no upper limit."""
-    number = to_number(value)
-    inside = (number >= floor) & ~F.isnan(number)
-    out = None
-    for edge, label in bands:
-        hit = inside if edge is None else inside & (number <= edge)
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return out.otherwise(F.lit(None).cast("string"))
+
+    def label(number: Column) -> Column:
+        inside = (number >= floor) & ~F.isnan(number)
+        out = None
+        for edge, name in bands:
+            hit = inside if edge is None else inside & (number <= edge)
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out.otherwise(F.lit(None).cast("string"))
+
+    return let(to_number(value), label)
 
 
 def price_band(value: Column) -> Column:

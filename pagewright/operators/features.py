@@ -146,7 +146,9 @@ def assemble_aggregates(
         same = F.col("product_id").eqNullSafe(F.col("_product_id"))
         merged = metadata.join(known, same, "left").drop("_product_id")
     merged = merged.fillna({"review_count": 0, **{ratio: 0.0 for ratio in RATIOS}})
-    return with_density(merged)
+    # one row per product; stored, because the largest count and the shares both need it
+    hotkeys.ensure_checkpoint_dir(merged.sparkSession)
+    return with_density(merged.checkpoint())
 
 
 def build_product_aggregates(

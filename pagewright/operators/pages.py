@@ -53,7 +53,7 @@ def meta_map(pages: DataFrame) -> DataFrame:
 
 def json_blobs(pages: DataFrame) -> DataFrame:
     """One row per embedded JSON text that parses: page_id, blob_ord, json."""
-    texts = F.transform(jt.roots(F.col("_nodes")), lambda r: F.get(F.col("_texts"), r["blob"]))
+    texts = F.expr(f"transform({jt.roots('_nodes')}, r -> get(_texts, r.blob))")
     return unfold(_with_nodes(pages), ["page_id"], texts, "blob_ord", "json")
 
 
@@ -74,12 +74,12 @@ def deep_find(pages: DataFrame, keys) -> DataFrame:
 
 def _with_product(read: DataFrame, scrape_time: Column) -> DataFrame:
     """Add the snapshot columns to pages that carry ``_nodes`` (``url`` is the product URL)."""
-    html, nodes = tx.text_of(F.col("html")), F.col("_nodes")
+    html = tx.text_of(F.col("html"))
     parts = read.withColumns(
         {
             "_metas": hx.meta_tags(html),
-            "_hits": rx.alias_hits(nodes),
-            "_objects": rx.product_objects(nodes),
+            "_hits": rx.alias_hits("_nodes"),
+            "_objects": rx.product_objects("_nodes"),
         }
     )
     metas = F.col("_metas")
@@ -102,7 +102,7 @@ def _with_product(read: DataFrame, scrape_time: Column) -> DataFrame:
             "product_id": hx.extract_product_id(F.col("url")),
             "product_url": F.col("url"),
             "scrape_time": scrape_time,
-            "category_breadcrumb": rx.breadcrumb(nodes, metas),
+            "category_breadcrumb": rx.breadcrumb("_nodes", metas),
             "response_hash": tx.stable_hash(html),
         }
     )
@@ -139,7 +139,7 @@ def carry_seed_category(snapshots: DataFrame, seeds: DataFrame) -> DataFrame:
 def review_candidates(pages: DataFrame) -> DataFrame:
     """One row per review candidate of a page in reading order: page_id, ord, rule, n_fields. An
     object may qualify by both rules and is then listed twice."""
-    rows = unfold(_with_nodes(pages), ["page_id"], rx.candidates(F.col("_nodes")), "ord", "c")
+    rows = unfold(_with_nodes(pages), ["page_id"], rx.candidates("_nodes"), "ord", "c")
     rule = F.when(F.col("c.item") < 0, "keys").otherwise("container")
     return rows.select("page_id", "ord", rule.alias("rule"), F.col("c.size").alias("n_fields"))
 
@@ -152,11 +152,9 @@ def _with_review_array(rows: DataFrame, reviews: Column, product_id: Column, pag
 
 def _with_embedded_reviews(read: DataFrame) -> DataFrame:
     """Add ``_found`` and ``_reviews`` to pages that carry ``_nodes``."""
-    nodes = F.col("_nodes")
-    found = read.withColumn("_found", rx.candidates(nodes))
-    fields = found.withColumn("_fields", rx.candidate_fields(nodes, F.col("_found")))
-    reviews = F.transform("_fields", rx.review_of)
-    return _with_review_array(fields, reviews, F.col("product_id"), F.col("review_page")).drop("_fields")
+    found = read.withColumn("_found", rx.candidates("_nodes"))
+    fields = found.withColumn("_fields", rx.candidate_fields("_nodes", "_found"))
+    return _with_review_array(fields, rx.reviews_of("_fields"), F.col("product_id"), F.col("review_page")).drop("_fields")
 
 
 def _explode_reviews(rows: DataFrame, keep) -> DataFrame:
@@ -230,7 +228,7 @@ def _with_shell(read: DataFrame) -> DataFrame:
     measured = read.withColumns(
         {
             "visible_text_length": F.length(hx.visible_text(hx.body_html(html))),
-            "blob_count": F.size(jt.roots(F.col("_nodes"))),
+            "blob_count": F.expr(f"size({jt.roots('_nodes')})"),
             "review_candidate_count": F.size("_found"),
             "product_signal_count": sum(
                 (F.coalesce(F.col(c) != "", F.lit(False)).cast("int") for c in SHELL_PRODUCT_FIELDS),
