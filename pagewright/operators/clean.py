@@ -44,7 +44,8 @@ def keep_first(df: DataFrame, keys, order_by: str) -> DataFrame:
     very many copies sends one row per partition. Rows are grouped by a digest of the keys because
     keys may be whole texts.
     """
-    digest = F.sha2(F.to_json(F.struct(*[F.col(k).cast("string") for k in keys])), 256)
+    parts = [F.sha2(F.col(k).cast("string"), 256).alias(k) for k in keys]
+    digest = F.unhex(F.sha2(F.to_json(F.struct(*parts)), 256))
     first = F.min_by(F.struct(*df.columns), F.col(order_by))
     return df.groupBy(digest.alias("_key")).agg(first.alias("_row")).select("_row.*")
 

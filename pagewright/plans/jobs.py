@@ -46,7 +46,9 @@ def snapshot_products(
     own = ["ord", "product_url", *(["category_quota"] if "category_quota" in seeds.columns else [])]
     wanted = seeds.select(*own)
     read = wanted.join(stored, "product_url").withColumns({"run": F.lit(1), "seq": F.col("ord")})
-    kept = log.budget_cut(log.stop_fast_cut(read, keep_blocked=True), max_requests)
+    narrow = read.select("run", "seq", "n", "stop_reason")
+    cut = log.budget_cut(log.stop_fast_cut(narrow, keep_blocked=True), max_requests).checkpoint()
+    kept = read.join(cut.select("seq", "over_budget"), "seq")
     columns = list(PRODUCT_SNAPSHOTS.names)
     good = kept.filter(F.col("stop_reason").isNull())
     if "category_quota" in own:
@@ -57,7 +59,7 @@ def snapshot_products(
         "manifest": _manifest(
             kept.withColumn("source_url", F.col("product_url")), "product_snapshot", scrape_time
         ),
-        "summary": log.run_summary(kept).drop("run"),
+        "summary": log.run_summary(cut).drop("run"),
         "missing": wanted.join(stored, "product_url", "left_anti"),
     }
 
@@ -152,9 +154,12 @@ def harvest_reviews(
             "exempt": F.col("picked_rows").isNotNull(),
         }
     )
-    cut = log.review_cap_cut(log.streak_cut(read), max_reviews_per_product)
+    # the cuts run over a narrow log; review rows are only fetched for the pages that stay
+    narrow = read.select("run", "seq", "seed", "page_no", "product_id", "n", "exempt", "stop_reason")
+    cut = log.review_cap_cut(log.streak_cut(narrow.checkpoint()), max_reviews_per_product)
     cut = log.budget_cut(log.stop_fast_cut(cut, keep_blocked=True), max_requests).checkpoint()
-    good = cut.filter(F.col("stop_reason").isNull())
+    kept = read.join(cut.select("seed", "page_no", "over_budget"), ["seed", "page_no"])
+    good = kept.filter(F.col("stop_reason").isNull())
 
     source = F.when(F.col("page_no") == 1, F.col("final_url")).otherwise(F.col("url"))
     reviews = _rows(good.filter(~F.col("exempt")), source)
@@ -167,7 +172,7 @@ def harvest_reviews(
     )
     return {
         "reviews": reviews.select("seed", "page_no", "review_ord", *REVIEWS_RAW.names),
-        "manifest": _manifest(cut.withColumn("source_url", F.col("url")), "review_harvest", scrape_time),
+        "manifest": _manifest(kept.withColumn("source_url", F.col("url")), "review_harvest", scrape_time),
         "summary": log.run_summary(cut).drop("run"),
         "missing": missing,
     }

@@ -13,7 +13,14 @@ from pagewright.functions import text as tx
 from pagewright.operators.hotkeys import ensure_checkpoint_dir
 from pagewright.schemas import CRAWL_MANIFEST
 
-_CSV = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
+_CSV = {
+    "header": "true",
+    "multiLine": "true",
+    "escape": '"',
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 # Names of stored page files; the numbers count from 1.
 SNAPSHOT_FILE = r"product_snapshot_(\d+)\.html"
