@@ -9,6 +9,7 @@ Spark expressions over that array, so a page never leaves its partition.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -20,6 +21,10 @@ NODE = "struct<blob:int,pos:int,up:int,key:string,kind:string,text:string,first:
 NODE_ARRAY = f"array<{NODE}>"
 SCALARS = ("str", "num", "bool")
 
+# Pages turned into nodes at a time, which bounds the memory of a Python worker.
+PAGES_AT_ONCE = 64
+
+_NODE_FIELDS = ("blob", "pos", "up", "key", "kind", "text", "first", "size")
 _KINDS = {str: "str", bool: "bool", int: "num", float: "num", dict: "dict", list: "list"}
 
 
@@ -92,24 +97,29 @@ def json_nodes(texts: Column, keep_json=()) -> Column:
     wanted = frozenset(key.lower() for key in keep_json)
 
     @F.arrow_udf(NODE_ARRAY)
-    def read(batch: pa.Array) -> pa.Array:
-        columns, offsets = [[] for _ in range(8)], [0]
-        for page in batch.to_pylist():
-            for column, part in zip(columns, _nodes(page, wanted)):
-                column.extend(part)
-            offsets.append(len(columns[0]))
-        names = ("blob", "pos", "up", "key", "kind", "text", "first", "size")
-        arrays = [
-            _strings(column) if name in ("key", "kind", "text") else pa.array(column, pa.int32())
-            for name, column in zip(names, columns)
-        ]
-        return pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(arrays, names=list(names))
-        )
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for start in range(0, len(batch), PAGES_AT_ONCE):
+                yield _node_array(batch.slice(start, PAGES_AT_ONCE), wanted)
 
     return read(texts)
 
 
+def _node_array(pages: pa.Array, keep_json) -> pa.Array:
+    """Node arrays of a few pages, built column by column."""
+    columns, offsets = [[] for _ in _NODE_FIELDS], [0]
+    for page in pages.to_pylist():
+        for column, part in zip(columns, _nodes(page, keep_json)):
+            column.extend(part)
+        offsets.append(len(columns[0]))
+    arrays = [
+        _strings(column) if name in ("key", "kind", "text") else pa.array(column, pa.int32())
+        for name, column in zip(_NODE_FIELDS, columns)
+    ]
+    structs = pa.StructArray.from_arrays(arrays, names=list(_NODE_FIELDS))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
+
+
 def canonical_json(text: Column) -> Column:
     """The JSON text with sorted keys and default separators, NULL when it is not JSON."""
 

@@ -10,6 +10,7 @@ from pagewright.functions import html as hx
 from pagewright.functions import jsontree as jt
 from pagewright.functions import records as rx
 from pagewright.functions import text as tx
+from pagewright.operators.clean import keep_first, with_order
 from pagewright.schemas import PRODUCT_SNAPSHOTS, REVIEWS_RAW
 
 # Block markers in search order, and those that count in the title only.
@@ -131,9 +132,11 @@ def parse_product_snapshots(pages: DataFrame, scrape_time: str) -> DataFrame:
 
 
 def carry_seed_category(snapshots: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Add the category quota of the seed that names the product URL."""
-    quota = seeds.select("product_url", F.col("category_quota").alias("seed_category_quota"))
-    return snapshots.join(quota.dropDuplicates(["product_url"]), "product_url", "left")
+    """Add the category quota of the (first) seed that names the product URL."""
+    rows, order = with_order(seeds, "ord" if "ord" in seeds.columns else None)
+    quota = keep_first(rows.select("product_url", "category_quota", order), ["product_url"], order)
+    quota = quota.select("product_url", F.col("category_quota").alias("seed_category_quota"))
+    return snapshots.join(quota, "product_url", "left")
 
 
 def review_candidates(pages: DataFrame) -> DataFrame:

@@ -52,6 +52,6 @@ RENDERED_CARDS = """
 """
 
 SHELL_PAGE = """
-<html><head><title>Toko</title><script type="text/shopee-page-manifest">{"a": 1}</script></head>
+<html><head><title>Toko</title><script type="text/plain">{"a": 1}</script></head>
 <body><div id="main"></div><script>window.__ASSETS__ = {"x": "y.js"};</script></body></html>
 """

@@ -221,3 +221,22 @@ def test_page_columns_are_pruned_and_narrow(spark):
     assert "Exchange" not in plan
     plan = pg.parse_product_snapshots(page_table(spark, SAMPLE_PAGE), WHEN)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_very_long_runs_and_scripts(spark):
+    """Patterns must not recurse per character."""
+    from pagewright.functions import html as hx
+    from pagewright.functions import text as tx
+
+    df = spark.sql("SELECT repeat('a', 2000000) AS x, concat('<script>', repeat('x ', 1000000), '</script>y') AS h")
+    row = df.select(
+        tx.repeated_char_ratio(F.col("x")).alias("r"), tx.normalize_text(F.col("h")).alias("n"),
+        hx.visible_text(F.col("h")).alias("v"), F.size(hx.json_texts(F.col("h"))).alias("j"),
+    ).first()
+    assert (row.r, row.v, row.j) == (1.0, "y", 0)
+
+
+def test_more_pages_than_one_slice(spark):
+    htmls = [f'<script>{{"reviews": [{{"text": "t{i}"}}]}}</script>' for i in range(200)]
+    rows = pg.parse_reviews(page_table(spark, *htmls).coalesce(1), WHEN).collect()
+    assert sorted((r.page_id, r.review_text) for r in rows) == [(i, f"t{i}") for i in range(200)]
