@@ -34,6 +34,7 @@ LINK_WORDS = ("review", "rating", "page=")
 
 _REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _MARK = "﷐"  # a code point that can never be text, set around each reference
+_COMMON = {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "nbsp": "\xa0", "copy": "©", "middot": "·"}
 _URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 _DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 
@@ -42,12 +43,13 @@ _DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 def _entity_tables() -> tuple[str, str, str]:
     """The named and the irregular numeric character references, read from the standard library.
 
-    Returned as (JSON map of names, pattern of the names that need no semicolon, JSON map of the
-    numbers that do not stand for themselves). The common names come first because a map lookup
-    scans from the start.
+    Returned as (JSON map of first letter to names, pattern of the names that need no semicolon, JSON
+    map of the numbers that do not stand for themselves). A map lookup scans, so the names are
+    grouped by their first letter.
     """
-    common = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;"]
-    names = {name: html5[name] for name in common} | html5
+    names: dict[str, dict[str, str]] = {}
+    for name, char in html5.items():
+        names.setdefault(name[0], {})[name] = char
     bare = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
     odd = [*range(0x20), *range(0x7F, 0xA0), *range(0xFDD0, 0xFDF0)]
     odd += [plane + low for plane in range(0, 0x110000, 0x10000) for low in (0xFFFE, 0xFFFF)]
@@ -55,8 +57,8 @@ def _entity_tables() -> tuple[str, str, str]:
     return json.dumps(names), "|".join(bare), json.dumps(numbers)
 
 
-def _literal_map(pairs: str) -> Column:
-    return F.from_json(F.lit(pairs), "map<string,string>")
+def _literal_map(pairs: str, kind: str = "map<string,string>") -> Column:
+    return F.from_json(F.lit(pairs), kind)
 
 
 def _char_of(number: Column, irregular: str) -> Column:
@@ -77,12 +79,16 @@ def _char_of(number: Column, irregular: str) -> Column:
 def _name(body: Column) -> Column:
     """Text of a named reference (``body`` is what follows ``&``), NULL when no name fits."""
     names, bare, _ = _entity_tables()
-    table = _literal_map(names)
-    by_prefix = tx.let(
-        F.regexp_extract(body, f"^(?:{bare})", 0),
-        lambda name: F.concat(F.try_element_at(table, name), F.substr(body, F.length(name) + 1)),
-    )
-    return F.coalesce(F.try_element_at(table, body), by_prefix)
+    letters = _literal_map(names, "map<string,map<string,string>>")
+
+    def look_up(table: Column) -> Column:
+        by_prefix = tx.let(
+            F.regexp_extract(body, f"^(?:{bare})", 0),
+            lambda name: F.concat(F.try_element_at(table, name), F.substr(body, F.length(name) + 1)),
+        )
+        return F.coalesce(F.try_element_at(table, body), by_prefix)
+
+    return tx.let(F.try_element_at(letters, F.substring(body, 1, 1)), look_up)
 
 
 def _resolve(piece: Column) -> Column:
@@ -104,12 +110,24 @@ def _resolve(piece: Column) -> Column:
 
 
 def unescape_html(value: Column) -> Column:
-    """Named and numeric character references to characters; text without ``&`` is not touched."""
+    """Named and numeric character references to characters; text without ``&`` is not touched.
+
+    When every ``&`` starts a common reference, plain replacing is enough: none of the characters
+    put in is an ``&`` until the last step.
+    """
 
     def unescape_in(text: Column) -> Column:
+        common = text
+        for name, char in _COMMON.items():
+            common = F.replace(common, F.lit(f"&{name};"), F.lit(char))
+        common = F.replace(common, F.lit("&amp;"), F.lit("&"))
         marked = F.regexp_replace(text, _REFERENCE, f"{_MARK}$0{_MARK}")
         pieces = F.transform(F.split(marked, _MARK), _resolve)
-        return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+        return (
+            F.when(~F.contains(text, F.lit("&")), text)
+            .when(~text.rlike(f"&(?!(?:{'|'.join(_COMMON)}|amp);)"), common)
+            .otherwise(F.array_join(pieces, ""))
+        )
 
     return tx.let(value, unescape_in)
 

@@ -130,7 +130,7 @@ def product_metadata(products: DataFrame, order_by: str | None = None) -> DataFr
 def with_density(table: DataFrame) -> DataFrame:
     """Add the review count as a share of the largest one (0.0 when there are no reviews)."""
     largest = table.agg(F.max("review_count").alias("m")).scalar()
-    share = F.when(largest > 0, F.col("review_count") / largest).otherwise(F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.col("review_count"), largest), F.lit(0.0))
     return table.withColumn("review_density_proxy", share)
 
 

@@ -33,7 +33,7 @@ def no_tags(x: str) -> str:
 
 def unescape(x: str) -> str:
     for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        x = f"replace({x}, '&{name};', '{char}')"
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
     return x
 
 

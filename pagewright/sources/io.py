@@ -108,7 +108,10 @@ def write_page_files(pages: DataFrame, path: str) -> None:
     name = F.when(
         F.col("stage") == "product_snapshot", F.concat(F.lit("product_snapshot_"), index, F.lit(".html"))
     ).otherwise(F.concat(F.lit("review_page_"), index, F.lit("_"), page, F.lit(".html")))
-    pages.select("html", name.alias(_FOLDER)).write.mode("append").partitionBy(_FOLDER).text(path)
+    named = pages.select("html", name.alias(_FOLDER))
+    # opening files is the cost here, so the files are spread over all cores
+    spread = named.repartition(pages.sparkSession.sparkContext.defaultParallelism, _FOLDER)
+    spread.write.mode("append").partitionBy(_FOLDER).text(path)
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
