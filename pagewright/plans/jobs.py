@@ -180,8 +180,8 @@ def harvest_reviews(
 
 def clean_validate(spark, interim: str, processed: str) -> dict:
     """Clean the interim CSV tables and export them with a manifest of counts and paths."""
-    products = io.read_csv(spark, f"{interim}/product_snapshots.csv")
-    reviews = io.read_csv(spark, f"{interim}/reviews_raw.csv")
+    products = io.with_types(io.read_csv(spark, f"{interim}/product_snapshots.csv"), PRODUCT_SNAPSHOTS)
+    reviews = io.with_types(io.read_csv(spark, f"{interim}/reviews_raw.csv"), REVIEWS_RAW)
     exports = {
         "product_export": io.export_table(clean.clean_products(products), f"{processed}/products.parquet"),
         "review_export": io.export_table(clean.clean_reviews(reviews), f"{processed}/reviews.parquet"),

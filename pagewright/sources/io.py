@@ -43,6 +43,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
+def with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns that the schema declares otherwise, cast; what does not fit is NULL."""
+    casts = {
+        f.name: F.col(f.name).try_cast(f.dataType)
+        for f in schema
+        if f.name in df.columns and f.dataType != T.StringType()
+    }
+    return df.withColumns(casts) if casts else df
+
+
 def write_csv(df: DataFrame, path: str) -> bool:
     """Write a stage table; an empty one is not written. Returns whether it was."""
     if df.isEmpty():

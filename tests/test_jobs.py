@@ -91,6 +91,9 @@ def test_tables_run_through(spark, tmp_path):
     assert io.write_csv(reviews, f"{interim}/reviews_raw.csv")
     cleaned = jobs.clean_validate(spark, interim, processed)
     assert (cleaned["products_rows"], cleaned["reviews_rows"]) == (1, 2)
+    kept = spark.read.parquet(f"{processed}/reviews.parquet").orderBy("star_rating").collect()
+    assert [(r.star_rating, r.image_count, r.media_flag, r.product_id) for r in kept] == [
+        (4.0, 0, False, "456"), (5.0, 1, True, "456")]
     featured = jobs.metadata_features(spark, processed)
     assert (featured["review_features_rows"], featured["product_aggregates_rows"]) == (2, 1)
     row = spark.read.parquet(f"{processed}/product_aggregates.parquet").first()
