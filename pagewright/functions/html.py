@@ -33,7 +33,7 @@ REVIEW_CARD = (
 LINK_WORDS = ("review", "rating", "page=")
 
 _REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
-_MARK = "﷐"  # a code point that can never be text, set around each reference
+_MARK = "\ufdd0"  # a code point that is never text (nor kept as such), set around each reference
 _COMMON = {"lt": "<", "gt": ">", "quot": '"', "#39": "'", "nbsp": "\xa0", "copy": "©", "middot": "·"}
 _URL = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 _DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"

@@ -7,7 +7,7 @@ their columns, row by row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
@@ -287,13 +287,7 @@ def json_nodes(spark, folder) -> DataFrame:
 
 def deep_find(spark, folder) -> DataFrame:
     found = pg.deep_find(product_pages(spark, folder), ["NAME", "price", "itemListElement"])
-    return found.select("page_id", F.row_number().over(_page_order()).alias("nth"), "kind", "value")
-
-
-def _page_order():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("page_id").orderBy("pos")
+    return found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("pos")).alias("nth"), "kind", "value")
 
 
 def review_pages(spark, folder) -> DataFrame:
@@ -458,7 +452,7 @@ def manifest_round_trip(spark, folder) -> DataFrame:
     """The verdict on every page as manifest rows, appended as JSON and read back."""
     judged = pg.inspect_blocks(_block_pages(spark, folder)).withColumn("source_url", F.col("page_id").cast("string"))
     path = io.scratch_path(spark, "manifest")
-    io.append_manifest(jobs._manifest(judged, "product_snapshot", WHEN), path)
+    io.append_manifest(jobs.manifest_rows(judged, "product_snapshot", WHEN), path)
     return io.read_manifest(spark, path).select(
         "source_url", "stage", "status_code", F.coalesce("stop_reason", F.lit("-")).alias("stop_reason")
     )

@@ -12,7 +12,7 @@ from pagewright.schemas import CRAWL_MANIFEST, PRODUCT_SNAPSHOTS, REVIEWS_RAW
 from pagewright.sources import io
 
 
-def _manifest(rows: DataFrame, stage: str, scrape_time: str) -> DataFrame:
+def manifest_rows(rows: DataFrame, stage: str, scrape_time: str) -> DataFrame:
     """Log rows in manifest form; fetch measures that were not stored are NULL."""
     known = rows.withColumns({"stage": F.lit(stage), "scrape_time": F.lit(scrape_time)})
     return known.select(
@@ -56,7 +56,7 @@ def snapshot_products(
         columns.append("seed_category_quota")
     return {
         "products": good.select("ord", *columns),
-        "manifest": _manifest(
+        "manifest": manifest_rows(
             kept.withColumn("source_url", F.col("product_url")), "product_snapshot", scrape_time
         ),
         "summary": log.run_summary(cut).drop("run"),
@@ -172,7 +172,7 @@ def harvest_reviews(
     )
     return {
         "reviews": reviews.select("seed", "page_no", "review_ord", *REVIEWS_RAW.names),
-        "manifest": _manifest(kept.withColumn("source_url", F.col("url")), "review_harvest", scrape_time),
+        "manifest": manifest_rows(kept.withColumn("source_url", F.col("url")), "review_harvest", scrape_time),
         "summary": log.run_summary(cut).drop("run"),
         "missing": missing,
     }

@@ -1,8 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
-
 from pagewright.plans import jobs
 from pagewright.sources import io
 from tests.fixtures import PAYLOAD, PRODUCT_URL, RENDERED_CARDS, SAMPLE_PAGE, SHELL_PAGE

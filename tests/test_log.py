@@ -1,8 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from pagewright.operators import log as lg
 
 SCHEMA = "run int, seq int, seed int, product_id string, page_no int, n int, stop_reason string, is_empty boolean, exempt boolean"
