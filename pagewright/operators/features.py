@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as tx
 from pagewright.operators import hotkeys
 from pagewright.operators.clean import ORD, column_or, keep_first, number_column, with_order
+from pagewright.sources.storage import ensure_checkpoint_dir
 
 # Product columns that go into the aggregates, and the fill value of each measure.
 METADATA = (
@@ -41,7 +42,7 @@ def text_features(reviews: DataFrame) -> DataFrame:
 def _input_order_number(rows: DataFrame, order: str, name: str) -> DataFrame:
     """1..n over the whole table by ``order``: rows are range-partitioned and numbered inside each
     partition, then shifted by the sizes of the partitions before (one small row each)."""
-    hotkeys.ensure_checkpoint_dir(rows.sparkSession)
+    ensure_checkpoint_dir(rows.sparkSession)
     ranged = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order)
     fixed = ranged.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_at", 33)
@@ -147,7 +148,7 @@ def assemble_aggregates(
         merged = metadata.join(known, same, "left").drop("_product_id")
     merged = merged.fillna({"review_count": 0, **{ratio: 0.0 for ratio in RATIOS}})
     # one row per product; stored, because the largest count and the shares both need it
-    hotkeys.ensure_checkpoint_dir(merged.sparkSession)
+    ensure_checkpoint_dir(merged.sparkSession)
     return with_density(merged.checkpoint())
 
 

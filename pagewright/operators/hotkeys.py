@@ -8,24 +8,18 @@ combined with one number per earlier chunk.
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.sources.storage import ensure_checkpoint_dir
+
 HOT_ROWS = 5_000_000
 _GROUP, _CHUNK = "_group", "_chunk"
 _FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a private one only where none is set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagewright-"))
-
-
 @dataclass(frozen=True)
 class Chunks:
     """Rows by group: ``cold`` holds whole groups, ``hot`` the rows of hot groups with a chunk number

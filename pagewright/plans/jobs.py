@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
 from pagewright.operators import clean, features, log, pages as pg
-from pagewright.operators.hotkeys import ensure_checkpoint_dir
 from pagewright.schemas import CRAWL_MANIFEST, PRODUCT_SNAPSHOTS, REVIEWS_RAW
 from pagewright.sources import io
+from pagewright.sources.storage import ensure_checkpoint_dir
 
 
 def manifest_rows(rows: DataFrame, stage: str, scrape_time: str) -> DataFrame:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.functions import text as tx
-from pagewright.operators.hotkeys import ensure_checkpoint_dir
 from pagewright.schemas import CRAWL_MANIFEST
+from pagewright.sources.storage import scratch_path
 
 _CSV = {
     "header": "true",
@@ -31,12 +30,6 @@ RENDERED_FILE = r"review_page_(\d+)_(\d+)_browser_rendered_html\.html"
 _FOLDER = "page_file"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stage table from CSV. Without a schema every column is text; types are never guessed."""
     reader = spark.read.options(**_CSV)
