@@ -1,0 +1,117 @@
+"""Near-duplicate stage on SimHash classes: one document of each group stays.
+
+Fingerprints of five-word shingles are joined by the trie of :mod:`simhash` (at most ``radius`` bits
+apart). Pairs with a Jaccard similarity of 0.8 differ in up to 14 of 64 bits, far beyond what a Hamming
+budget can take, so a second source of candidates is added: documents with an equal band of min-hashes
+are compared with the smallest member of that band, by the exact similarity of their shingle sets. Links
+of both kinds are put together to groups.
+
+Copies collapse to one node before anything else. NULL and empty texts are copies of each other. Of a
+group the row with the smallest doc_id stays (NULL last), of repeated rows the first read. An empty
+table gives an empty result. All columns are kept; a column ``_row`` is replaced while the rows are numbered.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pagewright.llm import simhash
+from pagewright.llm.common import by_value
+from pagewright.sources.storage import stored
+
+BANDS, DEPTH = 16, 5
+_MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, BANDS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BAND_BLOCK = 2048
+
+
+def signature(text: str | None, size: int) -> tuple[int, int, int, list[int]]:
+    """Two hashes of the words, the fingerprint, and one hash per band of min-hashes."""
+    words = simhash.words_of(text)
+    whole = b" ".join(words)
+    low = np.full(BANDS * DEPTH, np.iinfo(np.uint64).max)
+    blocks = []
+    for block in simhash.shingle_hashes(words, size):
+        blocks.append(block)
+        for lo in range(0, len(block), BAND_BLOCK):
+            np.minimum(low, (block[lo : lo + BAND_BLOCK, None] * _MULTIPLIERS).min(axis=0), out=low)
+    bands = [xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(low.reshape(BANDS, DEPTH))]
+    names = [xxhash.xxh64_intdigest(whole, seed) - (1 << 63) for seed in (1, 2)]
+    return names[0], names[1], simhash.fingerprint(iter(blocks)), bands if words else []
+
+
+def signatures(rows: DataFrame, text: str, size: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signature(t.as_py(), size) for t in batch.column(1)]
+            columns = list(zip(*found, strict=True)) if found else [(), (), (), ()]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.record_batch(
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                names=["_row", "t1", "t2", "fp", "bands"],
+            )
+
+    return rows.select("_row", text).mapInArrow(run, "_row long, t1 long, t2 long, fp long, bands array<long>")
+
+
+def shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
+    """(node, shingles): the distinct shingles of a text as 32-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for t in batch.column(1):
+                blocks = [b.astype(np.uint32) for b in simhash.shingle_hashes(simhash.words_of(t.as_py()), size)]
+                found.append(np.unique(np.concatenate([*blocks, np.empty(0, np.uint32)])).view(np.int32))
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
+
+    return rows.select("node", text).mapInArrow(run, "node long, shingles array<int>")
+
+
+def band_links(nodes: DataFrame, whole: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
+    """(a, b) of nodes that share a band with its smallest member and are similar to it."""
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
+    groups = banded.groupBy("band", "value").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    pairs = banded.join(groups.drop("n"), ["band", "value"]).filter("a <> node")
+    pairs = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = whole.join(used.withColumnRenamed("node", "_row"), "_row", "left_semi").withColumnRenamed("_row", "node")
+    sets = stored(shingle_sets(texts, text, size), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    both = pairs.join(right, "b").join(left, "a")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = common >= similarity * (F.size("sa") + F.size("sb") - common)
+    return both.filter(alike).select("a", "b")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, radius: int = 3, similarity: float = 0.8
+) -> DataFrame:
+    """One row of each group of near-duplicates of ``docs``, all columns kept."""
+    kept = [c for c in docs.columns if c != "_row"]
+    whole = stored(docs.select(*kept, F.monotonically_increasing_id().alias("_row")), "rows")
+    marked = stored(signatures(whole, text, size), "signatures")
+    named = marked.join(whole.select("_row", key), "_row")
+    first = F.struct(F.col(key).isNull().alias("null"), F.col(key).alias("id"), F.col("_row").alias("row"))
+    nodes = named.groupBy("t1", "t2").agg(F.min(first).alias("first"), F.min("fp").alias("fp"), F.first("bands").alias("bands"))
+    nodes = stored(nodes.select(F.col("first.row").alias("node"), "first", "fp", "bands"), "nodes")
+    of_fp = nodes.groupBy("fp").agg(F.min("node").alias("owner"))
+    equal = nodes.join(of_fp, "fp").filter("owner <> node").select(F.col("owner").alias("a"), F.col("node").alias("b"))
+    close = simhash.trie_links(of_fp.select("fp"), radius)
+    close = close.join(of_fp.select(F.col("fp").alias("a"), F.col("owner").alias("oa")), "a")
+    close = close.join(of_fp.select(F.col("fp").alias("b"), F.col("owner").alias("ob")), "b")
+    close = close.select(F.col("oa").alias("a"), F.col("ob").alias("b"))
+    links = equal.unionByName(close).unionByName(band_links(nodes, whole, text, size, similarity))
+    labels = simhash.components(links)
+    grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    winners = grouped.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return whole.join(winners, "_row", "left_semi").select(*kept)
+
+
+by_value(__name__)

@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import quality, sharding, simhash
+from pagewright.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens, urls, warc
 from pagewright.llm.common import split_words, table
+from pagewright.sources.storage import scratch_path
+
+RULES = [
+    urls.host_rule("block", "net/"),
+    urls.host_rule("allow", "example.net/en/"),
+    urls.host_rule("block", "example.com/de/"),
+    urls.host_rule("allow", "org/fr/"),
+    urls.Rule("block", "||spam-farm.*^"),
+    urls.Rule("block", "||cheap-pills.*^"),
+    urls.Rule("block", "*/casino/*"),
+    urls.Rule("block", "*adserver*"),
+    urls.Rule("allow", "*/about/*"),
+]
+WEIGHTS = {"good": 0.9, "low": 0.07, "toxic": 0.03}
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,4 +57,47 @@ def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.withColumn("kept", kept).drop("text", "words")
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_simhash_trie, op3_quality_cascade)}
+def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op5_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op6_rarest_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = mixing.mixed(docs, labels, WEIGHTS, anchor="good")
+    chances = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(WEIGHTS)]
+    return found.select("doc_id", "tokens", *chances, "rate", "copies")
+
+
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path, payloads=False).filter("kind = 'record'")
+    return found.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_vector_packing, op2_simhash_trie, op3_quality_cascade, op4_snapshot_collapse, op5_trie_tokens,
+        op6_rarest_token, op7_soft_mixing, op8_warc_salvage, op9_latent_leaks, op10_license_diagonals,
+    )
+}
