@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import quality
+from pagewright.llm import decontaminate, mixing, neardup, quality, sharding
+from pagewright.llm.common import table
+from pagewright.llm.queries import WEIGHTS
 from pagewright.sources.storage import stored
 
 
@@ -18,7 +20,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_documents(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return neardup.drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark; a row without an id cannot be named by a leak and
+    is judged with the other such rows."""
+    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    leaks = leaks.select(leaks["doc_id"].alias("_leak")).distinct()
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+
+
+def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix to WEIGHTS takes them, at most once each."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), WEIGHTS, anchor="good")
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard and slot."""
+    return sharding.shard_documents(docs, 40)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing_weights),
+    ("sharding", shards),
+]
 
 # The classifier of the mixing stage cannot be expressed in SQL.
 ORACLE_SQL = None
