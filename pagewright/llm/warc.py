@@ -33,6 +33,7 @@ from pagewright.llm.common import by_value
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
+FIELD = re.compile(rb"[!-9;-~]+:|[ \t]")
 EMIT_BYTES = 4 << 20
 PIECE = 1 << 16
 RECORD = (
@@ -101,6 +102,9 @@ def parse_record(data: bytes, start: int) -> tuple[dict | None, int, str]:
     top = data.find(b"\r\n\r\n", start)
     if top < 0:
         return None, start, "headers do not end"
+    head = data[start:top].split(b"\r\n")[1:]
+    if not all(map(FIELD.match, head)):
+        return None, start, "headers are broken"
     fields = _fields(data[start:top])
     if not fields.get("content-length", "").isdecimal() or "warc-type" not in fields:
         return None, start, "headers are not complete"
