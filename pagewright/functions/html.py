@@ -305,14 +305,15 @@ def resolve_url(base: Column, link: Column) -> Column:
     return F.when(link == "", base).when(base == "", link).otherwise(joined)
 
 
-def review_links(html: Column, base: Column, max_pages: int = 10) -> Column:
+def review_links(html: Column, base: Column, max_pages: int | None = None) -> Column:
     """array<string> of the pages to read for a product: links that look like review pages, made
-    absolute, first seen first, with the base page put first when absent, at most ``max_pages``."""
+    absolute, first seen first, with the base page put first when absent; at most ``max_pages`` if given."""
     hrefs = F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
     wanted = F.filter(hrefs, lambda h: F.lower(h).rlike("|".join(LINK_WORDS)))
     resolved = F.transform(F.array_distinct(wanted), lambda h: resolve_url(base, h))
-    found = F.slice(F.array_distinct(resolved), 1, max_pages)
+    first = (lambda links: links) if max_pages is None else (lambda links: F.slice(links, 1, max_pages))
     listed = tx.let(
-        found, lambda f: F.when(F.array_contains(f, base), f).otherwise(F.concat(F.array(base), f))
+        first(F.array_distinct(resolved)),
+        lambda f: F.when(F.array_contains(f, base), f).otherwise(F.concat(F.array(base), f)),
     )
-    return F.slice(listed, 1, max_pages)
+    return first(listed)

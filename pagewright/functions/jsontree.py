@@ -9,9 +9,11 @@ Spark expressions over that array, so a page never leaves its partition.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from pagewright.functions import text as tx
 NODE = "struct<blob:int,pos:int,up:int,key:string,kind:string,text:string,first:int,size:int>"
 NODE_ARRAY = f"array<{NODE}>"
 SCALARS = ("str", "num", "bool")
+SKIPPED = -2
 
 # Pages turned into nodes at a time, which bounds the memory of a Python worker.
 PAGES_AT_ONCE = 64
@@ -28,19 +31,24 @@ _NODE_FIELDS = ("blob", "pos", "up", "key", "kind", "text", "first", "size")
 _KINDS = {str: "str", bool: "bool", int: "num", float: "num", dict: "dict", list: "list"}
 
 
-def _parse(texts):
-    """(index, value) of the texts that are JSON."""
+def _parse(texts, too_deep=None):
+    """(index, value) of the texts that are JSON. Those nested too deeply to be read go to ``too_deep``."""
     for index, text in enumerate(texts or ()):
         try:
             yield index, json.loads(text)
-        except (ValueError, RecursionError, TypeError):
+        except (ValueError, TypeError):
             continue
+        except RecursionError:
+            if too_deep is not None:
+                too_deep.append(index)
 
 
 def _nodes(texts, keep_json):
     """Node columns of one page. Siblings are neighbours in the array (``first``, ``size`` address
-    the children of a node, ``up`` its parent); ``pos`` is the rank in document order."""
-    parsed = list(_parse(texts))
+    the children of a node, ``up`` its parent); ``pos`` is the rank in document order. A text that is
+    nested too deeply is one node of kind ``skipped`` whose ``up`` is SKIPPED."""
+    too_deep = []
+    parsed = list(_parse(texts, too_deep))
     blobs, values = [b for b, _ in parsed], [v for _, v in parsed]
     keys, ups, firsts, sizes = [None] * len(values), [-1] * len(values), [], []
     at = 0
@@ -77,6 +85,10 @@ def _nodes(texts, keep_json):
         else None
         for v, kind, key in zip(values, kinds, keys)
     ]
+    for index in too_deep:
+        row = (index, -1, SKIPPED, None, "skipped", None, 0, 0)
+        for column, value in zip((blobs, pos, ups, keys, kinds, texts_out, firsts, sizes), row):
+            column.append(value)
     return blobs, pos, ups, keys, kinds, texts_out, firsts, sizes
 
 
@@ -151,6 +163,11 @@ def member(nodes: str, node: str, key: str) -> str:
     return f"get(filter({children(nodes, node)}, child -> child.key = '{key}'), 0)"
 
 
+def skipped(nodes: str) -> str:
+    """How many JSON texts were nested too deeply to be read."""
+    return f"size(filter({nodes}, node -> node.up = {SKIPPED}))"
+
+
 def roots(nodes: str) -> str:
     return f"filter({nodes}, node -> node.up = -1)"
 
@@ -174,3 +191,7 @@ def scalar_text(node: str) -> str:
     """Trimmed text of a scalar that is not blank, else NULL."""
     text = f"CASE WHEN {IS_SCALAR.format('s')} THEN s.text END"
     return tx.sql_let(node, "s", tx.sql_non_empty(tx.sql_strip(text)))
+
+
+# The helpers travel to the workers as code, so that these need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -181,8 +181,3 @@ def sold_band(value: Column) -> Column:
 
 def fill_flag(value: Column) -> Column:
     return F.coalesce(value.try_cast("boolean"), F.lit(False))
-
-
-def first_text(*values: Column) -> Column:
-    """First value, in the order given, that is not blank; trimmed, as text."""
-    return F.coalesce(*[non_empty(strip(v.cast("string"))) for v in values])

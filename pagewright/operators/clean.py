@@ -20,9 +20,12 @@ ORD = "_ord"
 
 
 def with_order(df: DataFrame, order_by: str | None) -> tuple[DataFrame, str]:
-    """The table with a column that holds its input order: the caller's, or the read order."""
+    """The table with a column that holds its input order: the caller's, or the read order. The latter
+    follows the files only if there is one, so a read of several files needs ``order_by``."""
     if order_by is not None:
         return df, order_by
+    if len(df.inputFiles()) > 1:
+        raise ValueError("the table comes from several files; name the column of its order in order_by")
     return df.withColumn(ORD, F.monotonically_increasing_id()), ORD
 
 

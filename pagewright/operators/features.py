@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as tx
@@ -39,43 +39,23 @@ def text_features(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _input_order_number(rows: DataFrame, order: str, name: str) -> DataFrame:
-    """1..n over the whole table by ``order``: rows are range-partitioned and numbered inside each
-    partition, then shifted by the sizes of the partitions before (one small row each)."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    ranged = rows.repartitionByRange(F.col(order)).sortWithinPartitions(order)
-    fixed = ranged.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
-    part = F.shiftright("_at", 33)
-    sizes = fixed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    # one row per partition of the exchange above, so this window is bounded by the partition count
-    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    numbered = fixed.withColumn("_part", part).join(F.broadcast(shifts), "_part")
-    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return numbered.withColumn(name, (F.col("_shift") + inside + 1).cast("int")).drop("_at", "_part", "_shift")
-
-
-def review_order(
-    reviews: DataFrame, order_by: str | None = None, hot_rows: int = hotkeys.HOT_ROWS
-) -> DataFrame:
+def review_order(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
     """Add ``relative_review_order``: 1, 2, ... per product by display time as text, ties by input
     order, NULL for a NULL product. Without both columns the rows are numbered in input order."""
     name = "relative_review_order"
     rows, order = with_order(reviews, order_by)
     if not {"product_id", "review_time_display"} <= set(reviews.columns):
-        return _input_order_number(rows, order, name).drop(ORD)
+        return hotkeys.number_rows(rows, [order], name).drop(ORD)
     named = rows.filter(F.col("product_id").isNotNull())
-    nameless = rows.filter(F.col("product_id").isNull()).withColumn(name, F.lit(None).cast("int"))
-    chunks = hotkeys.chunk(named, ["product_id"], ["review_time_display", order], hot_rows)
+    nameless = rows.filter(F.col("product_id").isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    chunks = hotkeys.chunk(named, ["product_id"], ["review_time_display", order])
     return chunks.numbered(name).done().unionByName(nameless).drop(ORD)
 
 
-def build_review_features(
-    reviews: DataFrame, order_by: str | None = None, hot_rows: int = hotkeys.HOT_ROWS
-) -> DataFrame:
+def build_review_features(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
     """Reviews with all features. The order is computed on the raw columns, so the derived text is
     not carried through the sort."""
-    return text_features(review_order(reviews, order_by, hot_rows))
+    return text_features(review_order(reviews, order_by))
 
 
 def product_rollup(features: DataFrame) -> DataFrame:

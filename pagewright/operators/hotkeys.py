@@ -1,9 +1,9 @@
 """Running values per group that survive a group of any size.
 
-``Window.partitionBy(key)`` puts a whole group into one task. That is fine for most groups, and
-wrong when one product or one run holds a third of the table. Here the rows of such hot groups are
-cut into ordered chunks of about equal size; a running value is then the value inside the chunk,
-combined with one number per earlier chunk.
+``Window.partitionBy(key)`` puts a whole group into one task, which is wrong when one product or one run
+holds a third of the table. Here rows are range-partitioned on (group, order), so that a group is cut
+into ordered chunks of about equal size; a running value is then the value inside the chunk, combined
+with one number per earlier chunk of the group. There is one plan for groups of all sizes.
 """
 
 from __future__ import annotations
@@ -13,29 +13,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.sources.storage import ensure_checkpoint_dir
+from pagewright.sources.storage import ensure_checkpoint_dir, stored
 
-HOT_ROWS = 5_000_000
 _GROUP, _CHUNK = "_group", "_chunk"
 _FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """Rows by group: ``cold`` holds whole groups, ``hot`` the rows of hot groups with a chunk number
-    that follows row order (None when no group is hot)."""
+    """Rows with their group as one value and a chunk number that follows row order."""
 
-    cold: DataFrame
-    hot: DataFrame | None
-    keys: tuple[str, ...]
+    rows: DataFrame
     order: tuple[str, ...]
 
-    def _each(self, step) -> Chunks:
-        hot = None if self.hot is None else step(self.hot)
-        return Chunks(step(self.cold), hot, self.keys, self.order)
-
     def with_column(self, name: str, value: Column) -> Chunks:
-        return self._each(lambda rows: rows.withColumn(name, value))
+        return Chunks(self.rows.withColumn(name, value), self.order)
 
     def running(self, name: str, kind: str, value: Column, exclusive: bool = False) -> Chunks:
         """Add ``name``: sum, max or min of ``value`` over the group's rows up to this one, this one
@@ -43,39 +35,27 @@ class Chunks:
         fold = _FOLDS[kind]
         last = -1 if exclusive else Window.currentRow
         in_order = [F.col(c).asc_nulls_last() for c in self.order]
-
-        def over(*keys) -> Column:
-            frame = Window.partitionBy(*keys).orderBy(*in_order)
-            inside = fold(value).over(frame.rowsBetween(Window.unboundedPreceding, last))
-            return F.coalesce(inside, F.lit(0)) if kind == "sum" else inside
-
-        cold = self.cold.withColumn(name, over(*self.keys))
-        if self.hot is None:
-            return Chunks(cold, None, self.keys, self.order)
-        # one row per group and chunk; cut from the lineage so that later steps do not repeat it
-        per_chunk = self.hot.groupBy(_GROUP, _CHUNK).agg(fold(value).alias("_chunk_value"))
+        frame = Window.partitionBy(_GROUP, _CHUNK).orderBy(*in_order)
+        inside = fold(value).over(frame.rowsBetween(Window.unboundedPreceding, last))
+        # one row per group and chunk: as many as there are groups, and one more per chunk boundary
+        per_chunk = self.rows.groupBy(_GROUP, _CHUNK).agg(fold(value).alias("_chunk_value"))
         earlier = Window.partitionBy(_GROUP).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carried = per_chunk.select(_GROUP, _CHUNK, fold("_chunk_value").over(earlier).alias("_carried"))
-        # the window and the join use the same partitioning, so the rows move once
-        rows = self.hot.withColumn("_own_chunk", over(_GROUP, _CHUNK))
-        rows = rows.join(carried.checkpoint(), [_GROUP, _CHUNK])
+        carried = stored(carried.filter(F.col("_carried").isNotNull()), "carried")
+        rows = self.rows.withColumn("_own", inside).join(carried, [_GROUP, _CHUNK], "left")
         merged = {
-            "sum": F.coalesce(F.col("_carried"), F.lit(0)) + F.col("_own_chunk"),
-            "max": F.greatest("_carried", "_own_chunk"),
-            "min": F.least("_carried", "_own_chunk"),
+            "sum": F.coalesce(F.col("_carried"), F.lit(0)) + F.coalesce(F.col("_own"), F.lit(0)),
+            "max": F.greatest("_carried", "_own"),
+            "min": F.least("_carried", "_own"),
         }[kind]
-        hot = rows.withColumn(name, merged).drop("_carried", "_own_chunk")
-        return Chunks(cold, hot, self.keys, self.order)
+        return Chunks(rows.withColumn(name, merged).drop("_carried", "_own"), self.order)
 
     def numbered(self, name: str) -> Chunks:
         """Add ``name``: 1, 2, 3, ... within the group."""
-        counted = self.running(name, "sum", F.lit(1))
-        return counted._each(lambda rows: rows.withColumn(name, F.col(name).cast("int")))
+        return self.running(name, "sum", F.lit(1).cast("bigint"))
 
     def done(self) -> DataFrame:
-        if self.hot is None:
-            return self.cold
-        return self.cold.unionByName(self.hot.drop(_GROUP, _CHUNK))
+        return self.rows.drop(_GROUP, _CHUNK)
 
 
 def group_of(keys) -> Column:
@@ -83,24 +63,30 @@ def group_of(keys) -> Column:
     return F.to_json(F.struct(*keys)).alias(_GROUP)
 
 
-def chunk(rows: DataFrame, keys, order, hot_rows: int = HOT_ROWS) -> Chunks:
-    """Prepare running values per group. One pass over the key columns finds groups above
-    ``hot_rows``; without any, groups stay whole and later steps are plain windows.
+def chunk(rows: DataFrame, keys, order) -> Chunks:
+    """Prepare running values per group.
 
-    ``order`` must order the rows of a group completely. The hot rows are range-partitioned on
-    (group, order) and checkpointed, because the chunk is the partition a row landed in and a lost
-    executor must not be able to change it.
+    ``order`` must order the rows of a group completely. The rows are checkpointed, because the chunk
+    is the partition a row landed in and a lost executor must not be able to change it.
     """
-    keys, order = tuple(keys), tuple(order)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size"))
-    large = sizes.filter(F.col("_size") > hot_rows).select(group_of(keys))
-    if large.isEmpty():
-        return Chunks(rows, None, keys, order)
     ensure_checkpoint_dir(rows.sparkSession)
-    large = large.checkpoint()
-    grouped = rows.withColumn(_GROUP, group_of(keys))
-    cold = grouped.join(large, _GROUP, "left_anti").drop(_GROUP)
     spread = [F.col(_GROUP), *[F.col(c).asc_nulls_last() for c in order]]
-    cut = grouped.join(large, _GROUP, "left_semi").repartitionByRange(*spread)
-    hot = cut.withColumn(_CHUNK, F.spark_partition_id()).checkpoint()
-    return Chunks(cold, hot, keys, order)
+    ranged = rows.withColumn(_GROUP, group_of(keys)).repartitionByRange(*spread)
+    return Chunks(ranged.withColumn(_CHUNK, F.spark_partition_id()).checkpoint(), tuple(order))
+
+
+def number_rows(rows: DataFrame, order, name: str, start: int = 1) -> DataFrame:
+    """``start``, ``start`` + 1, ... over the whole table by ``order``: rows are range-partitioned and
+    numbered inside each partition, then shifted by the sizes of the partitions before (one small row
+    each)."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    ranged = rows.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    fixed = ranged.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("_at", 33)
+    sizes = fixed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    # one row per partition of the exchange above, so this window is bounded by the partition count
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    numbered = fixed.withColumn("_part", part).join(F.broadcast(shifts), "_part")
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.withColumn(name, (F.col("_shift") + inside + start).cast("bigint")).drop("_at", "_part", "_shift")

@@ -4,43 +4,35 @@ A log row is one page of a run: ``run``, ``seq`` (order in the run), ``seed`` (t
 was read for), ``product_id``, ``page_no`` (order within the seed), ``n`` (rows it gave) and, where
 needed, ``stop_reason``. The cuts keep the rows that a run stopping at that point would have read.
 Apply them as streak, cap, stop, budget: the first two look only backwards, so a blocked page that
-they drop was never reached and must not stop the run.
+they drop was never reached and must not stop the run. Every limit is the caller's; None keeps all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.operators.hotkeys import HOT_ROWS, chunk
+from pagewright.operators.clean import keep_first
+from pagewright.operators.hotkeys import chunk
 
-# Limits of a run.
-EMPTY_STREAK = 3
-MAX_REVIEWS_PER_PRODUCT = 100
-MAX_REQUESTS_PER_RUN = 150
-
-# Up to this many rows per group Spark drops the surplus before the shuffle (window group limit).
-_GROUP_LIMIT_ROWS = 1000
-
-
-def _with_streak(log: DataFrame, keys, order, empty, hot_rows: int):
+def _with_streak(log: DataFrame, keys, order, empty):
     """Chunks with ``_streak``: how many rows in a row, this one included, are empty."""
-    numbered = chunk(log, keys, order, hot_rows).numbered("_at")
+    numbered = chunk(log, keys, order).numbered("_at")
     last_full = numbered.running("_full", "max", F.when(~empty, F.col("_at")))
     return last_full.with_column("_streak", F.col("_at") - F.coalesce("_full", F.lit(0)))
 
 
-def streak_cut(log: DataFrame, limit: int = EMPTY_STREAK, hot_rows: int = HOT_ROWS) -> DataFrame:
+def streak_cut(log: DataFrame, limit: int | None = None, keys=("run", "seed")) -> DataFrame:
     """Per run and seed, drop the pages after ``limit`` pages in a row without rows."""
-    streaks = _with_streak(log, ["run", "seed"], ["page_no"], F.col("n") == 0, hot_rows)
+    if limit is None:
+        return log
+    streaks = _with_streak(log, keys, ["page_no"], F.col("n") == 0)
     hit = F.when(F.col("_streak") >= limit, 1)
     stopped = streaks.running("_stopped", "max", hit, exclusive=True).done()
     return stopped.filter(F.col("_stopped").isNull()).select(*log.columns)
 
 
-def review_cap_cut(
-    log: DataFrame, cap: int = MAX_REVIEWS_PER_PRODUCT, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def review_cap_cut(log: DataFrame, cap: int | None = None, keys=("run", "product_id")) -> DataFrame:
     """Per run and product, drop the pages after the one whose running count reaches ``cap``.
 
     The count goes on between seeds of one product: once it has reached the cap, a later seed keeps
@@ -48,9 +40,11 @@ def review_cap_cut(
     cap or when its own seed has given no rows yet. Rows of an optional ``exempt`` column count but
     are never cut.
     """
-    by_product = chunk(log, ["run", "product_id"], ["seq"], hot_rows)
+    if cap is None:
+        return log
+    by_product = chunk(log, keys, ["seq"])
     counted = by_product.running("_before", "sum", F.col("n"), exclusive=True).done()
-    by_seed = chunk(counted, ["run", "product_id", "seed"], ["seq"], hot_rows)
+    by_seed = chunk(counted, [*keys, "seed"], ["seq"])
     both = by_seed.running("_in_seed", "sum", F.col("n"), exclusive=True).done()
     keep = (F.col("_before") < cap) | (F.col("_in_seed") == 0)
     if "exempt" in log.columns:
@@ -69,42 +63,45 @@ def stop_fast_cut(log: DataFrame, keep_blocked: bool = False) -> DataFrame:
     return log.join(stops, "run", "left").filter(F.col("_stop").isNull() | before).drop("_stop")
 
 
-def budget_cut(
-    log: DataFrame, max_requests: int = MAX_REQUESTS_PER_RUN, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def stop_once(log: DataFrame) -> DataFrame:
+    """The rows of a log of one run up to its first blocked page, that page included. The stop is one
+    value for the table, so no rows have to meet."""
+    stop = log.agg(F.min(F.when(F.col("stop_reason").isNotNull(), F.col("seq"))).alias("stop")).scalar()
+    return log.filter(stop.isNull() | (F.col("seq") <= stop))
+
+
+def budget_cut(log: DataFrame, max_requests: int | None = None) -> DataFrame:
     """Per run, keep the first ``max_requests`` pages and say in ``over_budget`` whether the run
     wanted more."""
-    if max_requests <= _GROUP_LIMIT_ROWS:
-        at = F.row_number().over(Window.partitionBy("run").orderBy("seq"))
-        numbered = log.withColumn("_at", at)
-    else:
-        numbered = chunk(log, ["run"], ["seq"], hot_rows).numbered("_at").done()
+    if max_requests is None:
+        return log.withColumn("over_budget", F.lit(False))
+    numbered = chunk(log, ["run"], ["seq"]).numbered("_at").done()
     wanted = log.groupBy("run").agg((F.count("*") > max_requests).alias("over_budget"))
     return numbered.filter(F.col("_at") <= max_requests).drop("_at").join(wanted, "run")
 
 
-def empty_payload_streak(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def empty_payload_streak(log: DataFrame) -> DataFrame:
     """Add ``consecutive_empty_payloads``: pages in a row, up to this one, with an empty body
     (``is_empty``)."""
-    streaks = _with_streak(log, ["run"], ["seq"], F.col("is_empty"), hot_rows).done()
+    streaks = _with_streak(log, ["run"], ["seq"], F.col("is_empty")).done()
     return streaks.select(*log.columns, F.col("_streak").alias("consecutive_empty_payloads"))
 
 
-def run_summary(log: DataFrame) -> DataFrame:
-    """Per run: pages read, the first stop reason, rows written (blocked pages write none)."""
+def run_summary(log: DataFrame, keys=("run",)) -> DataFrame:
+    """Per run (without ``keys`` for the table as one run): pages read, the first stop reason, rows written (blocked pages write none)."""
     blocked = F.col("stop_reason").isNotNull()
-    return log.groupBy("run").agg(
+    return log.groupBy(*keys).agg(
         F.count("*").alias("requests_made"),
         F.min_by("stop_reason", F.when(blocked, F.col("seq"))).alias("stop_reason"),
         F.sum(F.when(blocked, 0).otherwise(F.col("n"))).alias("rows_written"),
     )
 
 
-def number_payloads(payload_rows: DataFrame, key: str = "seed", hot_rows: int = HOT_ROWS) -> DataFrame:
+def number_payloads(payload_rows: DataFrame, key: str = "seed") -> DataFrame:
     """Set ``review_page`` of payload rows to the rank of their payload (``payload_no``) among those
     of the same seed that gave rows."""
     gave = payload_rows.select(key, "payload_no").distinct()
-    numbered = chunk(gave, [key], ["payload_no"], hot_rows).numbered("review_page").done()
+    numbered = chunk(gave, [key], ["payload_no"]).numbered("review_page").done()
     return payload_rows.drop("review_page").join(numbered, [key, "payload_no"])
 
 
@@ -140,8 +137,15 @@ def append_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def one_per_url(pages: DataFrame, order_by: str, stage: str | None = None) -> DataFrame:
+    """The first stored page of each URL by ``order_by``; with a ``stage`` column only pages of ``stage``."""
+    if stage is not None and "stage" in pages.columns:
+        pages = pages.filter(F.col("stage") == stage)
+    return keep_first(pages, ["url"], order_by)
+
+
 def match_links(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Stored pages of each discovered link, with the link's ``page_no``."""
+    """Stored pages (one per URL) of each discovered link, with the link's ``page_no``."""
     stored = pages.drop("page_no").withColumnRenamed("url", "link")
     own = [c for c in stored.columns if c not in links.columns or c == "link"]
     return links.join(stored.select(*own), "link")

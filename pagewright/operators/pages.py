@@ -60,10 +60,16 @@ def json_blobs(pages: DataFrame) -> DataFrame:
 
 def json_nodes(pages: DataFrame) -> DataFrame:
     """One row per JSON node of a page; ``pos`` is its rank in document order, from 0."""
-    nodes = unfold(_with_nodes(pages), ["page_id"], F.col("_nodes"), "at", "n")
+    read = F.filter("_nodes", lambda n: n["up"] != jt.SKIPPED)
+    nodes = unfold(_with_nodes(pages), ["page_id"], read, "at", "n")
     return nodes.select("page_id", "n.blob", "n.pos", "n.key", "n.kind", "n.text", "n.size")
 
 
+def skipped_json(pages: DataFrame) -> DataFrame:
+    """page_id and how many of its JSON texts were nested too deeply to be read."""
+    return _with_nodes(pages).select("page_id", F.expr(jt.skipped("_nodes")).alias("skipped_json"))
+
+
 def deep_find(pages: DataFrame, keys) -> DataFrame:
     """Every value whose key (any case) is in ``keys``, at any depth: page_id, pos, key, kind,
     value. Containers come as JSON text."""
@@ -217,7 +223,7 @@ def parse_rendered_reviews(pages: DataFrame, scrape_time: str) -> DataFrame:
     return _explode_reviews(rows, _kept(pages, "html"))
 
 
-def discover_links(pages: DataFrame, max_pages: int = 10) -> DataFrame:
+def discover_links(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Pages to read for each product page: page_id, page_no (from 1), link."""
     base = F.col("final_url") if "final_url" in pages.columns else F.col("url")
     links = hx.review_links(tx.text_of(F.col("html")), base, max_pages)
@@ -326,7 +332,7 @@ def block_reason(pages: DataFrame, stop_on_status=STOP_STATUS, stop_on_keywords=
     return inspect_blocks(pages, stop_on_status, stop_on_keywords).select("page_id", "stop_reason")
 
 
-def page_facts(pages: DataFrame, scrape_time: str, max_pages: int = 5, stop_on_status=STOP_STATUS,
+def page_facts(pages: DataFrame, scrape_time: str, max_pages: int | None = None, stop_on_status=STOP_STATUS,
                stop_on_keywords=None) -> DataFrame:
     """Everything a review harvest needs to know about a stored page, without its HTML: block
     verdict, shell reason, links, and its review rows as an array. One narrow pass, so the HTML is
@@ -341,4 +347,5 @@ def page_facts(pages: DataFrame, scrape_time: str, max_pages: int = 5, stop_on_s
         *[c for c in pages.columns if c not in ("html", "page_no")],
         "stop_reason", "stop_signal_class", "stop_signal_source", "stop_matched_text",
         "shell_reason", "response_hash", links.alias("links"), F.col("_reviews").alias("reviews"),
+        F.size("_reviews").cast("bigint").alias("n"), F.expr(jt.skipped("_nodes")).alias("skipped_json"),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import html as hx
 from pagewright.functions import text as tx
 from pagewright.operators import clean, features, log, pages as pg
+from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
 from pagewright.sources import io
 
@@ -149,7 +150,7 @@ def numbers(spark, folder) -> DataFrame:
 def mask_names(spark, folder) -> DataFrame:
     return table(spark, folder, "customer").select(
         "c_custkey", tx.mask_identifier(F.col("c_name")).alias("masked"),
-        tx.mask_identifier(F.substring("c_mktsegment", 1, 2)).alias("short_masked"),
+        tx.mask_identifier(F.col("c_nationkey").cast("string")).alias("short_masked"),
     )
 
 
@@ -367,11 +368,11 @@ _LOG = ("run", "seq", "seed", "product_id", "n")
 
 
 def streak_cut(spark, folder) -> DataFrame:
-    return log.streak_cut(page_log(spark, folder)).select(*_LOG)
+    return log.streak_cut(page_log(spark, folder), 3).select(*_LOG)
 
 
 def review_cap(spark, folder) -> DataFrame:
-    return log.review_cap_cut(page_log(spark, folder)).select(*_LOG)
+    return log.review_cap_cut(page_log(spark, folder), 100).select(*_LOG)
 
 
 def stop_fast(spark, folder) -> DataFrame:
@@ -379,7 +380,7 @@ def stop_fast(spark, folder) -> DataFrame:
 
 
 def ordered_cuts(spark, folder) -> DataFrame:
-    cut = log.review_cap_cut(log.streak_cut(page_log(spark, folder)))
+    cut = log.review_cap_cut(log.streak_cut(page_log(spark, folder), 3), 100)
     return log.stop_fast_cut(cut).select(*_LOG)
 
 
@@ -408,7 +409,7 @@ def payload_numbers(spark, folder) -> DataFrame:
     rows = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS seed", "l_linenumber AS payload_no", "l_quantity AS quantity"
     )
-    return log.number_payloads(rows.filter("quantity > 10"))
+    return log.number_payloads(rows)
 
 
 def link_match(spark, folder) -> DataFrame:
@@ -428,15 +429,17 @@ def seed_template(spark, folder) -> DataFrame:
 
 
 def seeds(spark, folder) -> DataFrame:
-    """Customers as seeds, written as CSV and loaded again; every third has no URL."""
+    """Customers as seeds, written as CSV files of unequal size and loaded again; every third has no URL."""
     rows = table(spark, folder, "customer").selectExpr(
+        "c_custkey", "floor(log2(c_custkey + 1)) AS part",
         "CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE concat(' https://shop.example/', c_custkey, ' ') END AS product_url",
         "c_mktsegment AS category_quota", "concat('\"', c_name, '\"', ',\n', c_custkey) AS chosen_reason",
         "'2026-01-01' AS seed_date",
     )
     path = io.scratch_path(spark, "seeds")
-    io.write_csv(rows, path)
-    return io.load_seeds(spark, path).drop("ord")
+    dealt = rows.repartitionByRange(5, "part").sortWithinPartitions("c_custkey")
+    io.write_csv(dealt.drop("c_custkey", "part"), path)
+    return io.load_seeds(spark, path)
 
 
 def export_round_trip(spark, folder) -> DataFrame:
@@ -468,32 +471,131 @@ def page_file_round_trip(spark, folder) -> DataFrame:
     return io.read_page_files(spark, path)
 
 
+def files_to_pages(spark, folder) -> DataFrame:
+    """Page, payload and rendered files with their manifest and seeds, read back as the tables of the
+    jobs: which URL each file was read from, and what was captured for whom."""
+    part = table(spark, folder, "part").filter("p_size % 5 = 0").selectExpr("p_partkey", "p_name", "p_type", "row_number() OVER (ORDER BY p_partkey) - 1 AS ord")
+    first = part.selectExpr(
+        "'review_harvest' AS stage", "cast(ord AS int) AS product_idx", "1 AS page_no",
+        "concat('<p>', p_name, '</p><a href=\"/r?page=', p_partkey, '\">more</a>') AS html",
+    )
+    second = part.selectExpr("'review_harvest'", "cast(ord AS int)", "2", "concat('<p>', p_type, '</p>')")
+    path = io.scratch_path(spark, "files")
+    io.write_page_files(first.union(second), path)
+    seeds_ = part.selectExpr("ord", "concat('https://shop.example/f-i.4.', p_partkey) AS product_url")
+    log_rows = seeds_.selectExpr(
+        "product_url AS source_url", "concat(product_url, '?seen') AS final_url", "200 AS status_code",
+    )
+    io.append_manifest(jobs.manifest_rows(log_rows, "review_harvest", WHEN), f"{path}-log")
+    pages = io.stored_pages(io.read_page_files(spark, path), io.read_manifest(spark, f"{path}-log"), seeds_)
+    return pages.select("product_idx", "page_no", "url", "final_url", F.coalesce("status_code", F.lit(0)).alias("status_code"), "html")
+
+
+def captured_files(spark, folder) -> DataFrame:
+    """One payload file per conversation turn, read back with the product of its seed."""
+    turns = table(spark, folder, "conversations").filter("turn < 3").select("conv_id", "turn", "role")
+    body = F.to_json(F.struct(F.concat(F.lit("api/"), F.col("turn")).alias("source_url"), F.struct("role", "turn").alias("payload")))
+    name = F.format_string("review_page_%03d_%03d_browser_payload.json", F.col("conv_id") + 1, F.col("turn") + 1)
+    path = io.scratch_path(spark, "captured")
+    files = turns.select(body.alias("value"), name.alias("page_file"))
+    files.repartition(8, "page_file").write.partitionBy("page_file").text(path)
+    seeds_ = turns.select(F.col("conv_id").alias("ord")).distinct().withColumn("product_url", F.concat(F.lit("u/"), "ord"))
+    return io.captured_for(io.read_payload_files(spark, path), seeds_).select("product_url", "payload_no", "source_url", "payload")
+
+
 def snapshot_job(spark, folder) -> DataFrame:
     pages = product_pages(spark, folder).selectExpr("page_id", "url", "url AS final_url", "200 AS status_code", "html")
     seeds_ = pages.selectExpr("page_id AS ord", "url AS product_url", "'x' AS category_quota")
-    found = jobs.snapshot_products(seeds_, pages, WHEN, max_requests=1_000_000_000)["products"]
+    found = jobs.snapshot_products(seeds_, pages, WHEN)["products"]
     return found.select("ord", "product_id", "title", "parse_status", "seed_category_quota")
 
 
+def _harvest_inputs(spark, folder):
+    """Six kinds of products: three pages of reviews; a review after three empty pages; shell pages with
+    a payload, with a card, with nothing; a link without a stored page. Product 1200 is blocked on its
+    second page. Every first page is stored twice."""
+    part = table(spark, folder, "part").selectExpr(
+        "p_partkey AS k", "p_partkey % 6 AS kind", "concat('https://shop.example/h-i.5.', p_partkey) AS u", "p_name", "p_brand", "p_type"
+    )
+    page = lambda reviews, links: (
+        f"concat('<html><title>t</title><body>', repeat('word ', 100), {links}, '<script>{{\"reviews\":[', {reviews}, ']}}</script></body></html>')"
+    )
+    review = lambda text: f"concat('{{\"text\":\"', {text}, '\",\"star\":5}}')"
+    links = lambda last: f"array_join(transform(sequence(2, {last}), n -> concat('<a href=\"', u, '?page=', n, '\">x</a>')), '')"
+    shell = "'<html><body><div id=\"main\"></div><script>window.__ASSETS__ = 1</script></body></html>'"
+    first = part.selectExpr("k", "kind", "u", "u AS url", "1 AS no", "'x' AS y", f"""CASE
+        WHEN kind = 0 THEN {page(review("p_name"), links(3))} WHEN kind = 1 THEN {page(review("p_name"), links(5))}
+        WHEN kind = 5 THEN {page(review("p_name"), links(3))} ELSE {shell} END AS html""")
+    later = part.filter("kind IN (0, 1, 5)").selectExpr("*", "explode(sequence(2, CASE kind WHEN 0 THEN 3 WHEN 1 THEN 5 ELSE 2 END)) AS no")
+    later = later.selectExpr("k", "kind", "u", "concat(u, '?page=', no) AS url", "no", "'x' AS y", f"""CASE
+        WHEN kind = 0 AND no = 2 THEN {page("concat(" + review("p_brand") + ", ',', " + review("p_type") + ")", "''")}
+        WHEN kind = 1 AND no < 5 THEN {page("''", "''")} ELSE {page(review("concat(p_name, ' ', no)"), "''")} END AS html""")
+    both = first.unionByName(later).unionByName(first.withColumn("no", F.lit(9)))
+    pages = both.selectExpr(
+        "k * 10 + no AS page_id", "url", "url AS final_url", "CASE WHEN k = 1200 AND no = 2 THEN 403 ELSE 200 END AS status_code", "html"
+    )
+    payloads = part.filter("kind = 2").selectExpr(
+        "u AS product_url", "1 AS payload_no", "'api' AS source_url",
+        "concat('{\"data\":{\"ratings\":[{\"comment\":\"', p_type, '\",\"rating_star\":4,\"ctime\":\"x\"}]}}') AS payload",
+    )
+    rendered = part.filter("kind = 3").selectExpr(
+        "u AS product_url", "u AS source_url", "concat('<div class=\"review-card\">5 star ', p_name, ' 2024-01-05</div>') AS html"
+    )
+    return part.selectExpr("k AS ord", "u AS product_url"), pages, payloads, rendered
+
+
+def _harvested(spark, folder) -> dict[str, DataFrame]:
+    seeds_, pages, payloads, rendered = _harvest_inputs(spark, folder)
+    return jobs.harvest_reviews(seeds_, pages, WHEN, payloads, rendered, max_empty_pages=3)
+
+
 def harvest_job(spark, folder) -> DataFrame:
+    found = _harvested(spark, folder)["reviews"]
+    return found.select("seed", "page_no", "review_ord", "product_id", "review_page", "review_text", "source_url")
+
+
+def harvest_dropped(spark, folder) -> DataFrame:
+    """Pages that the limit on empty pages cut, and links without a stored page."""
+    found = _harvested(spark, folder)
+    gone = found["dropped"].selectExpr("seed", "url", "'dropped' AS why")
+    return gone.unionByName(found["missing"].selectExpr("seed", "product_url AS url", "'missing' AS why"))
+
+
+def plain_harvest(spark, folder) -> DataFrame:
+    """The documents as embedded reviews of pages, harvested without any limit."""
     pages = review_pages(spark, folder).selectExpr("page_id", "url", "url AS final_url", "200 AS status_code", "html")
     seeds_ = pages.selectExpr("page_id AS ord", "url AS product_url")
-    found = jobs.harvest_reviews(seeds_, pages, WHEN, max_requests=1_000_000_000)["reviews"]
+    found = jobs.harvest_reviews(seeds_, pages, WHEN)["reviews"]
     return found.select("seed", "page_no", "review_ord", "product_id", "review_page", "review_text", "source_url")
 
 
 def _interim(spark, folder) -> tuple[str, str]:
     interim, processed = io.scratch_path(spark, "interim"), io.scratch_path(spark, "processed")
     named = products(spark, folder).withColumn("product_url", F.concat(F.lit("https://shop.example/"), "product_id"))
-    io.write_csv(named, f"{interim}/product_snapshots.csv")
-    io.write_csv(reviews(spark, folder), f"{interim}/reviews_raw.csv")
+    io.write_stage(number_rows(named, ["product_id"], "ord"), f"{interim}/product_snapshots.parquet")
+    io.write_stage(reviews(spark, folder), f"{interim}/reviews_raw.parquet")
     jobs.clean_validate(spark, interim, processed)
     return interim, processed
 
 
 def clean_job(spark, folder) -> DataFrame:
     _, processed = _interim(spark, folder)
-    return spark.read.parquet(f"{processed}/reviews.parquet").select("product_id", "review_text", "review_time_display", "star_rating")
+    return spark.read.parquet(f"{processed}/reviews.parquet")
+
+
+def stage_manifest(spark, folder) -> DataFrame:
+    """The counts that the cleaning job wrote into its manifest."""
+    _, processed = _interim(spark, folder)
+    return spark.read.json(f"{processed}/crawl_manifest.json").select("products_rows", "reviews_rows")
+
+
+def features_job_reviews(spark, folder) -> DataFrame:
+    """The review features that the feature job stores."""
+    _, processed = _interim(spark, folder)
+    jobs.metadata_features(spark, processed)
+    return spark.read.parquet(f"{processed}/review_features.parquet").select(
+        "ord", "product_id", "review_time_display", "relative_review_order", "text_length", "short_review_flag"
+    )
 
 
 def features_job(spark, folder) -> DataFrame:
@@ -512,6 +614,7 @@ QUERIES = {
         deep_find, reviews_html, review_candidates, reviews_payload, reviews_rendered, shell_pages,
         streak_cut, review_cap, stop_fast, ordered_cuts, budget, empty_streak, run_summary, source_choice,
         payload_numbers, link_match, missing_links, seed_template, seeds, export_round_trip,
-        manifest_round_trip, page_file_round_trip, snapshot_job, harvest_job, clean_job, features_job,
+        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, snapshot_job, harvest_job,
+        harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
     )
 }

@@ -187,6 +187,23 @@ def stop(source: str) -> str:
       WHERE stop_at IS NULL OR seq < stop_at)"""
 
 
+CLEANED = f"""cleaned AS (
+  SELECT *, {norm('review_text')} AS t, row_number() OVER (
+    PARTITION BY product_id, {norm('review_text')}, review_time_display, star_rating ORDER BY ord) AS copy
+  FROM (SELECT * REPLACE (CAST(star_rating AS DOUBLE) AS star_rating) FROM reviews) QUALIFY copy = 1)"""
+
+HARVESTED = """p AS (SELECT p_partkey AS k, p_partkey % 6 AS kind, 'https://shop.example/h-i.5.' || p_partkey AS u, p_name, p_brand, p_type FROM part),
+  rows_ AS (
+    SELECT *, (SELECT max(k) FROM p) >= 1200 AS blocked FROM (
+      SELECT k, kind, u, 1 AS no, 0 AS i, p_name AS text FROM p WHERE kind IN (0, 1, 5)
+      UNION ALL SELECT k, kind, u, 2, 0, p_brand FROM p WHERE kind = 0
+      UNION ALL SELECT k, kind, u, 2, 1, p_type FROM p WHERE kind = 0
+      UNION ALL SELECT k, kind, u, 3, 0, p_name || ' 3' FROM p WHERE kind = 0
+      UNION ALL SELECT k, kind, u, 5, 0, p_name || ' 5' FROM p WHERE kind = 1
+      UNION ALL SELECT k, kind, u, 1, 0, p_type FROM p WHERE kind = 2
+      UNION ALL SELECT k, kind, u, 1, 0, '5 star ' || p_name || ' 2024-01-05' FROM p WHERE kind = 3
+      UNION ALL SELECT k, kind, u, 2, 0, p_name || ' 2' FROM p WHERE kind = 5))"""
+
 LOG = "SELECT run, seq, seed, product_id, n FROM"
 TITLE = "CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_name || ' page' END"
 CARD = f"""cards AS (
@@ -245,7 +262,7 @@ SQL = {
       SELECT c_custkey, replace(trim(shown), ',', '.') AS numeric_string,
         CASE c_custkey % 4 WHEN 0 THEN c_custkey + 0.25::DOUBLE WHEN 3 THEN -10.0::DOUBLE * c_custkey ELSE -0.5 END AS number,
         regexp_replace(shown, '[^\d.]', '', 'g') AS digits FROM s""",
-    "mask_names": f"SELECT c_custkey, {mask('c_name')} AS masked, {mask('left(c_mktsegment, 2)')} AS short_masked FROM customer",
+    "mask_names": f"SELECT c_custkey, {mask('c_name')} AS masked, {mask('CAST(c_nationkey AS VARCHAR)')} AS short_masked FROM customer",
     "hash_text": "SELECT doc_id, sha256(text) AS hash FROM documents",
     "product_ids": r"""WITH u AS (SELECT page_id, url, regexp_replace(url, '[0-9]', '', 'g') AS bare,
           regexp_extract_all(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '\d+') AS digits FROM pages)
@@ -334,12 +351,12 @@ SQL = {
       SELECT d.seed, doc_id, CASE kind WHEN 0 THEN 'payload' WHEN 1 THEN 'card' ELSE 'embedded' END AS source FROM d JOIN s ON d.seed = s.seed
       WHERE (kind = 0 AND shell) OR (kind = 1 AND shell AND NOT payload) OR (kind = 2 AND (NOT shell OR NOT (payload OR card)))""",
     "payload_numbers": """SELECT l_orderkey AS seed, l_linenumber AS payload_no, l_quantity AS quantity,
-        dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS review_page FROM lineitem WHERE l_quantity > 10""",
+        dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS review_page FROM lineitem""",
     "link_match": f"""WITH {LINKS} SELECT l.page_id AS seed, l.page_no, l.link, p.page_id FROM links l JOIN pages p ON l.link = p.url""",
     "missing_links": f"""WITH {LINKS} SELECT page_id AS seed, page_no, link FROM links l WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = l.link)""",
     "seed_template": """SELECT '' AS product_url, p_brand AS category_quota, 'manual seed slot ' || k AS chosen_reason, '2026-01-01' AS seed_date
       FROM (SELECT DISTINCT p_brand FROM part) CROSS JOIN (SELECT unnest(range(1, 10)) AS k)""",
-    "seeds": """SELECT 'https://shop.example/' || c_custkey AS product_url, c_mktsegment AS category_quota,
+    "seeds": """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS ord, 'https://shop.example/' || c_custkey AS product_url, c_mktsegment AS category_quota,
         '"' || c_name || '",' || chr(10) || c_custkey AS chosen_reason, '2026-01-01' AS seed_date FROM customer WHERE c_custkey % 3 <> 0""",
     "export_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "manifest_round_trip": f"""WITH {BLOCK_PAGES}, {BLOCK_RULES} SELECT CAST(page_id AS VARCHAR) AS source_url, 'product_snapshot' AS stage, status_code,
@@ -348,10 +365,25 @@ SQL = {
     "page_file_round_trip": "SELECT 'review_harvest' AS stage, page_id AS product_idx, 1 AS page_no, html FROM pages",
     "snapshot_job": f"""SELECT p_partkey AS ord, CAST(p_partkey AS VARCHAR) AS product_id, {TITLE} AS title, 'ok' AS parse_status,
         'x' AS seed_category_quota FROM part""",
-    "harvest_job": f"""WITH {PAGE_REVIEWS} SELECT page_id AS seed, 1 AS page_no, review_ord, CAST(page_id AS VARCHAR) AS product_id, 1 AS review_page,
+    "plain_harvest": f"""WITH {PAGE_REVIEWS} SELECT page_id AS seed, 1 AS page_no, review_ord, CAST(page_id AS VARCHAR) AS product_id, 1 AS review_page,
         review_text, 'https://shop.example/d-i.1.' || page_id AS source_url FROM kept""",
-    "clean_job": f"""WITH {REVIEWS} SELECT DISTINCT product_id, {norm('review_text')} AS review_text, review_time_display,
-        CAST(star_rating AS DOUBLE) AS star_rating FROM reviews""",
+    "harvest_job": f"""WITH {HARVESTED} SELECT k AS seed, no AS page_no, i AS review_ord, CAST(k AS VARCHAR) AS product_id, no AS review_page,
+        text AS review_text, CASE WHEN kind = 2 THEN 'api' WHEN no = 1 THEN u ELSE u || '?page=' || no END AS source_url
+      FROM rows_ WHERE NOT (kind = 1 AND no = 5) AND (NOT blocked OR k < 1200 OR (k = 1200 AND no = 1))""",
+    "harvest_dropped": f"""WITH {HARVESTED} SELECT k AS seed, u || '?page=5' AS url, 'dropped' AS why FROM p WHERE kind = 1
+      UNION ALL SELECT k, u || '?page=3', 'missing' FROM p WHERE kind = 5""",
+    "files_to_pages": """WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part WHERE p_size % 5 = 0)
+      SELECT i AS product_idx, 1 AS page_no, 'https://shop.example/f-i.4.' || p_partkey AS url, 'https://shop.example/f-i.4.' || p_partkey || '?seen' AS final_url,
+        200 AS status_code, '<p>' || p_name || '</p><a href="/r?page=' || p_partkey || '">more</a>' AS html FROM p
+      UNION ALL SELECT i, 2, 'https://shop.example/r?page=' || p_partkey, 'https://shop.example/r?page=' || p_partkey, 0, '<p>' || p_type || '</p>' FROM p""",
+    "captured_files": """SELECT 'u/' || conv_id AS product_url, turn + 1 AS payload_no, 'api/' || turn AS source_url,
+        '{"role":"' || role || '","turn":' || turn || '}' AS payload FROM conversations WHERE turn < 3""",
+    "stage_manifest": f"""WITH {REVIEWS}, {PRODUCTS}, {CLEANED} SELECT (SELECT count(*) FROM products) AS products_rows, (SELECT count(*) FROM cleaned) AS reviews_rows""",
+    "clean_job": f"""WITH {REVIEWS}, {CLEANED} SELECT ord, product_id, t AS review_text, review_time_display, star_rating, {norm('variant_text')} AS variant_text,
+        t AS normalized_review_text FROM cleaned""",
+    "features_job_reviews": f"""WITH {REVIEWS}, {CLEANED} SELECT ord, product_id, review_time_display,
+        row_number() OVER (PARTITION BY product_id ORDER BY review_time_display, ord) AS relative_review_order,
+        length(t) AS text_length, length(t) < 20 AS short_review_flag FROM cleaned""",
     "features_job": f"""WITH {REVIEWS}, {PRODUCTS},
       cleaned AS (SELECT DISTINCT product_id, {norm('review_text')} AS review_text, review_time_display, star_rating FROM reviews),
       {aggregates('cleaned', norm('category_breadcrumb'))}""",

@@ -19,14 +19,10 @@ def _fields(spec: str) -> T.StructType:
     return out
 
 
-SEEDS = _fields("product_url category_quota chosen_reason seed_date")
-
 PAGES = _fields(
     "page_id:long url final_url status_code:int stage product_idx:int page_no:int html"
 )
 
-PAYLOADS = _fields("product_idx:int page_no:int source_url payload")
-
 PRODUCT_SNAPSHOTS = _fields(
     "product_id product_url scrape_time title category_breadcrumb price_display "
     "discount_display sold_count_display rating_avg_display rating_count_display shop_name "
@@ -45,5 +41,3 @@ CRAWL_MANIFEST = _fields(
     "stage source_url final_url status_code:int elapsed_s:double size_bytes:long error "
     "stop_reason stop_signal_class stop_signal_source stop_matched_text scrape_time"
 )
-
-RUN_SUMMARY = _fields("requests_made:long stop_reason rows_written:long")

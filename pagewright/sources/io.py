@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.functions import text as tx
-from pagewright.schemas import CRAWL_MANIFEST
+from pagewright.operators.hotkeys import number_rows
+from pagewright.operators.pages import discover_links
+from pagewright.schemas import CRAWL_MANIFEST, PAGES
 from pagewright.sources.storage import scratch_path
 
 _CSV = {
@@ -47,24 +49,65 @@ def with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> bool:
-    """Write a stage table; an empty one is not written. Returns whether it was."""
-    if df.isEmpty():
-        return False
-    df.write.mode("overwrite").options(**_CSV).csv(path)
-    return True
+    """Write a stage table as CSV; an empty one leaves nothing. Returns whether it was written. The plan
+    runs once: the rows are counted while they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**_CSV).csv(path)
+    if seen.get["rows"]:
+        return True
+    target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return False
+
+
+def write_stage(df: DataFrame, path: str) -> int:
+    """Write a stage table as Parquet with its order in ``ord``; returns the number of rows."""
+    if "ord" not in df.columns:
+        raise ValueError("a stage table carries its order in the column ord")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a CSV table with ``ord``: 0, 1, ... by file name and position in the file. A file of
+    this format is read from start to end by one task, so its rows come in order."""
+    rows = read_csv(spark, path).withColumns(
+        {"_file": F.col("_metadata.file_path"), "_line": F.monotonically_increasing_id()}
+    )
+    return number_rows(rows, ["_file", "_line"], "ord", start=0).drop("_file", "_line")
+
+
+def read_stage(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stage table with its order in ``ord``: ``path``.parquet, or ``path``.csv in file order."""
+    if exists(spark, f"{path}.parquet"):
+        return spark.read.parquet(f"{path}.parquet")
+    if exists(spark, f"{path}.csv"):
+        return with_types(in_file_order(spark, f"{path}.csv"), schema)
+    raise FileNotFoundError(f"there is no {path}.parquet and no {path}.csv; run the stage before first")
 
 
 def load_seeds(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Seeds with a product URL, in file order (``ord``), at most ``limit`` of them."""
+    """Seeds with a product URL, numbered from 0 in file order (``ord``); the first ``limit`` if given."""
     seeds = read_csv(spark, path)
     if "product_url" not in seeds.columns:
         raise ValueError("the seed table must include a product_url column")
     seeds = seeds.withColumns(
-        {"ord": F.monotonically_increasing_id(), "product_url": tx.strip(tx.text_of(F.col("product_url")))}
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_line": F.monotonically_increasing_id(),
+            "product_url": tx.strip(tx.text_of(F.col("product_url"))),
+        }
     ).filter(F.col("product_url") != "")
+    seeds = number_rows(seeds, ["_file", "_line"], "ord", start=0).drop("_file", "_line")
     if seeds.isEmpty():
         raise ValueError("the seed table has no valid product_url values; fill the template rows first")
-    return seeds if limit is None else seeds.orderBy("ord").limit(limit)
+    return seeds if limit is None else seeds.filter(F.col("ord") < limit)
 
 
 def seed_template(categories: DataFrame, slots: int, seed_date: str) -> DataFrame:
@@ -134,6 +177,32 @@ def read_rendered_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select((_number(F.col("file"), RENDERED_FILE, 1) - 1).alias("product_idx"), "html")
 
 
+def stored_pages(files: DataFrame, manifest: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Page files joined with the manifest and the seeds to the PAGES table, one row per file.
+
+    The first page of a product has the seed's URL, page n the n-th link found on the first page. Final
+    URL and status are those of the last manifest row of the stage and URL, by scrape time.
+    """
+    last = manifest.groupBy("stage", F.col("source_url").alias("url")).agg(
+        F.max_by(F.struct("final_url", "status_code"), F.coalesce("scrape_time", F.lit(""))).alias("m")
+    ).select("stage", "url", F.col("m.final_url").alias("final_url"), F.col("m.status_code").alias("status_code"))
+    numbered = files.withColumn("page_id", F.expr("shiftleft(cast(product_idx AS bigint), 21) + page_no * 2 + cast(stage = 'product_snapshot' AS int)"))
+    firsts = numbered.filter("page_no = 1").join(seeds.select(F.col("ord").alias("product_idx"), F.col("product_url").alias("url")), "product_idx")
+    firsts = firsts.join(last, ["stage", "url"], "left").withColumn("final_url", F.coalesce("final_url", "url"))
+    found = discover_links(firsts.withColumnRenamed("page_id", "_first").withColumn("page_id", F.struct("stage", "product_idx")), max_pages)
+    links = found.select("page_id.stage", "page_id.product_idx", "page_no", F.col("link").alias("url")).filter("page_no > 1")
+    later = numbered.filter("page_no > 1").join(links, ["stage", "product_idx", "page_no"]).join(last, ["stage", "url"], "left")
+    later = later.withColumn("final_url", F.coalesce("final_url", "url"))
+    return firsts.unionByName(later).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PAGES])
+
+
+def captured_for(captured: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Payload or rendered files with the ``product_url`` of their seed; a rendered page's ``source_url``
+    is that URL too."""
+    named = captured.join(seeds.select(F.col("ord").alias("product_idx"), "product_url"), "product_idx")
+    return named if "source_url" in named.columns else named.withColumn("source_url", F.col("product_url"))
+
+
 def export_table(df: DataFrame, path: str) -> dict:
     """Write Parquet to ``path`` and CSV beside it. The CSV is written from the stored Parquet, so
     the plan runs once; the row count is observed during that write."""

@@ -46,15 +46,14 @@ def keys(df):
     return sorted((r.run, r.seq) for r in df.select("run", "seq").collect())
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_cuts_equal_a_loop(spark, hot_rows):
+def test_cuts_equal_a_loop(spark):
     rows = random_log(1)
     log = spark.createDataFrame(rows, SCHEMA).repartition(5)
     plain = log.drop("exempt")
-    streak = lg.streak_cut(plain, 3, hot_rows)
+    streak = lg.streak_cut(plain, 3)
     assert keys(streak) == loop(rows, 3, None, False)
-    assert keys(lg.review_cap_cut(plain, 10, hot_rows)) == loop(rows, None, 10, False)
-    both = lg.review_cap_cut(streak, 10, hot_rows)
+    assert keys(lg.review_cap_cut(plain, 10)) == loop(rows, None, 10, False)
+    both = lg.review_cap_cut(streak, 10)
     assert keys(both) == loop(rows, 3, 10, False)
     assert keys(lg.stop_fast_cut(both)) == loop(rows, 3, 10, True)
 
@@ -77,11 +76,10 @@ def test_cut_order_matters(spark):
     assert keys(wrong) == [(1, 1), (1, 2), (1, 3)]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_empty_payload_streak(spark, hot_rows):
+def test_empty_payload_streak(spark):
     rows = random_log(3)
     log = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    got = {(r.run, r.seq): r.consecutive_empty_payloads for r in lg.empty_payload_streak(log, hot_rows).collect()}
+    got = {(r.run, r.seq): r.consecutive_empty_payloads for r in lg.empty_payload_streak(log).collect()}
     streak = {}
     for r in rows:
         streak[r[0]] = streak.get(r[0], 0) + 1 if r[7] else 0
@@ -93,7 +91,7 @@ def test_empty_payload_streak(spark, hot_rows):
 def test_budget(spark, budget):
     rows = random_log(4)
     log = spark.createDataFrame(rows, SCHEMA)
-    got = lg.budget_cut(log, budget, hot_rows=3).collect()
+    got = lg.budget_cut(log, budget).collect()
     sizes = {}
     for r in rows:
         sizes[r[0]] = sizes.get(r[0], 0) + 1
@@ -125,7 +123,7 @@ def test_source_choice(spark):
 
 def test_payload_numbers_skip_empty_payloads(spark):
     rows = spark.createDataFrame([(1, 2, "a"), (1, 5, "b"), (1, 5, "c"), (2, 9, "d")], "seed int, payload_no int, t string")
-    got = {r.t: r.review_page for r in lg.number_payloads(rows, hot_rows=1).collect()}
+    got = {r.t: r.review_page for r in lg.number_payloads(rows).collect()}
     assert got == {"a": 1, "b": 2, "c": 2, "d": 1}
 
 
@@ -136,7 +134,32 @@ def test_link_match(spark):
     assert [r.link for r in lg.missing_links(links, pages).collect()] == ["u2"]
 
 
-def test_group_limit_runs_before_the_shuffle(spark):
-    log = spark.createDataFrame(random_log(5), SCHEMA)
-    plan = lg.budget_cut(log, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+def test_no_limit_keeps_everything(spark):
+    rows = random_log(5)
+    log = spark.createDataFrame(rows, SCHEMA)
+    for cut in (lg.streak_cut, lg.review_cap_cut, lg.budget_cut):
+        assert cut(log).count() == len(rows)
+
+
+def test_a_group_is_cut_into_chunks(spark):
+    """One group, several partitions: the carried values go through all of them."""
+    from pagewright.operators import hotkeys
+
+    table = spark.range(0, 200000).selectExpr("'g' AS g", "id AS at", "id % 7 AS n").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunks = hotkeys.chunk(table, ["g"], ["at"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert chunks.rows.select("_chunk").distinct().count() > 1
+    got = chunks.running("total", "sum", chunks.rows["n"]).numbered("nth").done().orderBy("at").collect()
+    total = 0
+    for i, r in enumerate(got):
+        total += i % 7
+        assert (r.nth, r.total) == (i + 1, total)
+
+
+def test_one_page_per_url(spark):
+    pages = spark.createDataFrame([(2, "u", "a"), (1, "u", "b"), (3, "u", "c"), (4, "v", "a")], "page_id int, url string, stage string")
+    assert sorted((r.page_id, r.url) for r in lg.one_per_url(pages, "page_id").collect()) == [(1, "u"), (4, "v")]
+    assert sorted((r.page_id, r.url) for r in lg.one_per_url(pages, "page_id", "a").collect()) == [(2, "u"), (4, "v")]

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from pagewright.plans.catalog import QUERIES
 from tests.check_oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -11,9 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 
 
 def names():
-    import __spark_entry__ as entry
-
-    return sorted(entry.queries())
+    return sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -16,31 +16,34 @@ def page_table(spark, *htmls, url=PRODUCT_URL):
 
 def test_product_snapshot(spark):
     row = pg.parse_product_snapshots(page_table(spark, SAMPLE_PAGE), WHEN).first()
-    assert row.title == "Lampu Meja Lipat"
-    assert row.product_id == "456"
-    assert row.category_breadcrumb == "Rumah > Lampu"
-    assert row.product_description == "Lampu kecil & terang."
-    assert (row.price_display, row.rating_avg_display, row.rating_count_display) == ("199000", "4.9", "128")
-    assert (row.shop_name, row.shop_url) == ("Toko Terang", "https://shop.example/terang")
-    assert row.variant_summary == "Hitam"
-    assert row.required_field_completeness == 1.0 and row.parse_status == "ok"
+    assert row.title == "Oolong tin | Leaf and Kettle" and row.product_id == "9001"
+    assert row.category_breadcrumb == "Drinks > Tea > Oolong"
+    assert row.product_description == "Lightly roasted <oolong>"
+    # the better key wins wherever it stands; the first rating in reading order is a review's
+    assert (row.price_display, row.sold_count_display, row.rating_avg_display) == ("48000", "310", "4")
+    assert (row.shop_name, row.shop_location, row.follower_count_display) == ("Leaf and Kettle", "Alishan", "1200")
+    assert row.rating_count_display is None and row.variant_summary is None
+    assert row.required_field_completeness == 0.889 and row.parse_status == "ok"
 
 
 def test_reviews_from_html(spark):
     rows = pg.parse_reviews(page_table(spark, SAMPLE_PAGE), WHEN).orderBy("review_ord").collect()
-    assert [r.review_text for r in rows] == ["Lampunya terang sekali", "Kotaknya rapi"]
-    assert rows[0].media_flag and rows[0].seller_reply_flag and rows[0].image_count == 1
-    assert not rows[1].media_flag and not rows[1].seller_reply_flag
-    assert [r.star_rating for r in rows] == ["5", "4"]
-    assert [r.reviewer_name_masked for r in rows] == ["Lina", "Bayu"]
-    assert rows[1].purchase_variant == rows[1].variant_text == "Putih"
-    assert rows[0].source_url == PRODUCT_URL
+    assert [r.review_text for r in rows] == ["Second steep is the best one", "Tin arrived dented, tea is fine", "Smells of orchids"]
+    assert [r.star_rating for r in rows] == ["4", "3", "5"]
+    assert [r.reviewer_name_masked for r in rows] == ["mei", "otto", "mei"]
+    assert [(r.media_flag, r.video_flag, r.image_count) for r in rows] == [(False, False, 0), (True, True, 3), (False, False, 0)]
+    assert [r.seller_reply_flag for r in rows] == [False, False, True]
+    assert [r.review_time_display for r in rows] == ["1733011200", None, None]
+    assert {r.source_url for r in rows} == {PRODUCT_URL}
 
 
 def test_reviews_from_payload(spark):
     df = spark.createDataFrame([(PRODUCT_URL, PAYLOAD)], "url string, payload string")
     rows = pg.parse_payload_reviews(df, WHEN).orderBy("review_ord").collect()
-    assert len(rows) == 2 and rows[0].media_flag and rows[0].seller_reply_flag
+    assert [(r.review_text, r.star_rating) for r in rows] == [
+        ("Too floral for me", None), ("Bought it three times", "5"), ("Pleasant", "4")]
+    # an empty list of images is no medium
+    assert [(r.seller_reply_flag, r.media_flag) for r in rows] == [(False, False), (True, False), (False, False)]
     import hashlib
 
     text = json.dumps(json.loads(PAYLOAD), sort_keys=True, ensure_ascii=False)
@@ -48,29 +51,29 @@ def test_reviews_from_payload(spark):
 
 
 def test_reviews_from_rendered_cards(spark):
+    """Three blocks look like cards; one is too short."""
     rows = pg.parse_rendered_reviews(page_table(spark, RENDERED_CARDS), WHEN).orderBy("review_ord").collect()
-    assert len(rows) == 2
-    assert rows[0].star_rating == "5" and rows[0].seller_reply_flag and rows[0].image_count == 1
-    assert rows[0].helpful_count_display == "3" and rows[0].review_time_display == "2026-04-05"
-    # the variant runs on to the next bar because line breaks are collapsed first
-    assert rows[0].variant_text.startswith("Hitam 3 helpful")
-    assert rows[1].star_rating == "4" and rows[1].variant_text == "Putih"
-    assert "2026-04-06" in rows[1].review_text
+    assert [r.star_rating for r in rows] == ["2", "4"] and [r.image_count for r in rows] == [0, 2]
+    assert (rows[0].review_time_display, rows[0].variant_text, rows[0].helpful_count_display) == ("7 January 2025", "loose leaf", "12")
+    assert rows[1].video_flag and rows[1].media_flag and not rows[0].media_flag
+    assert rows[1].review_text == "Seller response: sorry! 4/5 fragrant and fresh" and rows[1].review_time_display is None
 
 
 def test_links_keep_the_base_page_first(spark):
     rows = pg.discover_links(page_table(spark, SAMPLE_PAGE)).orderBy("page_no").collect()
-    assert [r.link for r in rows] == [PRODUCT_URL, "https://shop.example/contoh-produk/reviews?page=2"]
+    assert [r.link for r in rows] == [
+        PRODUCT_URL, "https://tea.example/ratings/all", PRODUCT_URL + "?sort=new&amp;page=3"]
     assert pg.discover_links(page_table(spark, SAMPLE_PAGE), max_pages=1).count() == 1
+    many = "".join(f"<a href='?page={n}'>x</a>" for n in range(2, 60))
+    assert pg.discover_links(page_table(spark, many)).count() == 59
 
 
 def test_shell_page(spark):
     rows = pg.detect_shell_pages(page_table(spark, SHELL_PAGE, SAMPLE_PAGE)).orderBy("page_id").collect()
     assert rows[0].shell_reason == "shell_page_no_embedded_reviews" and rows[0].signal_count == 6
     assert rows[1].shell_reason is None
-    # ld+json is read by two passes, the state script only by one; list members qualify twice,
-    # replies with a text key but no context do not
-    assert rows[1].blob_count == 3 and rows[1].review_candidate_count == 4
+    # ld+json is read by two passes, the state script only by one; the rows stand under a key that names no reviews
+    assert rows[1].blob_count == 3 and rows[1].review_candidate_count == 3
 
 
 def block(spark, html, status=200, final_url="https://shop.example/p", **kw):
