@@ -17,8 +17,9 @@ Without documents or items the result is empty. Further columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import by_value
 from pagewright.sources.storage import stored
 
-DIMS = 1 << 14  # hashed terms
+DIMS = 1 << 13  # hashed terms
 RANK, EXTRA = 64, 8
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 64, 32  # a window is two strides
 BLOCK = 1024
 MIN_WORDS = 5
 ANSWER_WORDS = 5
@@ -57,18 +58,26 @@ class Terms(dict):
 
 
 def term_counts(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
-    """Passages that have each term, and the number of passages."""
+    """Passages that have each term (a passage with two words of one term counts twice), and the number
+    of passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, have, n = Terms(), np.zeros(DIMS, np.int64), 0
+        seen, have, n = Counter(), np.zeros(DIMS, np.int64), 0
+
+        def flush() -> None:
+            terms = (xxhash.xxh64_intdigest(w) % DIMS for w in seen)
+            np.add.at(have, np.fromiter(terms, np.int64, len(seen)), np.fromiter(seen.values(), np.int64, len(seen)))
+            seen.clear()
+
         for batch in batches:
             for value in batch.column(0):
                 words = words_of(value.as_py())
-                for lo in range(0, len(words), SPAN):
-                    ids = np.fromiter(map(terms.__getitem__, words[lo : lo + SPAN]), np.int64)
-                    at = np.arange(len(ids)) // WINDOW
-                    have += np.bincount(np.unique(at * DIMS + ids) % DIMS, minlength=DIMS)
-                    n += int(at[-1]) + 1
+                starts = range(0, len(words), WINDOW)
+                seen.update(chain.from_iterable(set(words[lo : lo + WINDOW]) for lo in starts))
+                n += len(starts)
+                if len(seen) > KNOWN:
+                    flush()
+        flush()
         ids = np.flatnonzero(have)
         yield pa.record_batch([pa.array(np.append(ids, -1)), pa.array(np.append(have[ids], n))], names=["term", "n"])
 
@@ -193,16 +202,25 @@ def search(
             at = np.flatnonzero(found >= 0)
             if not len(at):
                 continue
-            sums = np.concatenate([np.zeros((1, vectors.shape[1])), np.cumsum(vectors[found[at]], axis=0, dtype=np.float64)])
+            # sums of half windows; a window is two of them
+            half = at // STRIDE
+            begin = np.flatnonzero(np.diff(half, prepend=-1))
+            halves = np.zeros((-(-len(part) // STRIDE) + 1, vectors.shape[1]), np.float32)
+            halves[half[begin]] = np.add.reduceat(vectors[found[at]], begin, axis=0)
             starts = np.arange(0, max(1, min(SPAN, len(part) - STRIDE)), STRIDE)
-            begin, end = np.searchsorted(at, starts), np.searchsorted(at, starts + WINDOW)
-            folded = (sums[end] - sums[begin]).astype(np.float32)
+            folded = halves[: len(starts)] + halves[1 : len(starts) + 1]
             folded /= np.maximum(np.linalg.norm(folded, axis=1, keepdims=True), 1e-12)
             near = folded @ aims.T
+            last = None
             for w, i in zip(*np.nonzero(near >= cosine), strict=True):
                 start = lo + int(starts[w])
-                span = words[max(0, start - STRIDE) : start + WINDOW + STRIDE]
+                if start != last:
+                    span = words[max(0, start - STRIDE) : start + WINDOW + STRIDE]
+                    last, have = start, set(span)
                 owner, passage, answer = items[i]
+                # no subsequence can hold words that the span does not have
+                if sum(map(have.__contains__, passage)) < share * len(passage):
+                    continue
                 covered = common_length(passage, span) / len(passage)
                 if covered >= share and 2 * common_length(answer, span) >= len(answer):
                     yield owner, float(near[w, i]), covered, start
@@ -224,7 +242,7 @@ def search(
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text",
-    cosine: float = 0.4, share: float = 0.6,
+    cosine: float = 0.5, share: float = 0.6,
 ) -> DataFrame:
     """(doc_id, item_id, cosine, share, start): one row per document and item that it contains, with its
     best window."""
