@@ -8,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 50_000
 WHITE = r"[\x20\x09-\x0D]+"
 # lower-casing of A-Z only, on UTF-8 bytes
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -32,4 +33,9 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def small(rows: DataFrame, n: int) -> DataFrame:
+    """``rows``, a table of ``n`` rows made from a parameter, marked for broadcast unless it is large."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 by_value(__name__)

@@ -19,7 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import let, split_words
+from pagewright.llm.common import let, small, split_words
 
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 3
@@ -78,9 +78,9 @@ def words_of(text: Column) -> Column:
 
 def diagonals(docs: DataFrame, templates, keys: list[str], text: str = "text", k: int = K) -> DataFrame:
     """keys, template, label, words, runs, diagonal, and the voting positions of the text and the template."""
-    spark = docs.sparkSession
-    runs = spark.createDataFrame(template_runs(templates, k), "template int, label string, words int, runs int, at int, run string")
-    runs = runs.withColumn("hash", F.xxhash64("run"))
+    rows = template_runs(templates, k)
+    runs = docs.sparkSession.createDataFrame(rows, "template int, label string, words int, runs int, at int, run string")
+    runs = small(runs.withColumn("hash", F.xxhash64("run")), len(rows))
 
     def rolling(words: Column) -> Column:
         firsts = F.slice(words, 1, F.greatest(F.size(words) - (k - 1), F.lit(0)))
