@@ -22,6 +22,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm.common import small
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN_GAPS = "[^A-Za-z0-9]+"
 
@@ -75,7 +77,7 @@ def rule_index(addresses: DataFrame, rules: list[Rule]) -> DataFrame:
     table = spark.createDataFrame(rows, "id int, verdict string, pattern string, rank int, name string, regex string, literals array<string>")
     filed = table.select("*", F.explode("literals").alias("token")).drop("literals")
     seen = addresses.select(F.explode("tokens").alias("token"))
-    counts = seen.join(filed.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    counts = seen.join(small(filed.select("token").distinct(), len(rows)), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
     ranked = filed.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     best = ranked.groupBy("id").agg(F.min(F.struct("n", "token")).getField("token").alias("token"))
     return filed.join(best, ["id", "token"])
@@ -88,7 +90,7 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
     rows = rows.withColumn("address", F.concat("host", "path"))
     found = rows.filter("host <> '' OR path <> ''").select("address", tokens_of(F.col("address")).alias("tokens"))
     index = rule_index(found, rules)
-    fetched = found.select("address", F.explode("tokens").alias("token")).join(index, "token")
+    fetched = found.select("address", F.explode("tokens").alias("token")).join(small(index, len(rules)), "token")
     fits = fetched.filter(F.expr("address RLIKE regex"))
     order = F.struct(
         F.coalesce("rank", F.lit(-1)), (F.col("verdict") == "allow").cast("int"), -F.col("id"),
