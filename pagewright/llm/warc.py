@@ -1,10 +1,10 @@
 """WARC archives: a writer through Spark's text sink and a salvage reader.
 
 The writer makes one record per page. Of pages with equal payloads the one with the smallest page_id is
-a response with the payload, the others are revisits that refer to it. Files are plain WARC/1.1 and
-hold at most ``records_per_file`` records, which bounds what a reader task has to hold.
+a response with the payload, the others are revisits that refer to it. Files are WARC/1.1, packed as one
+gzip member each, and hold at most ``records_per_file`` records, which bounds what a reader task has to hold.
 
-The reader takes any WARC file, plain or one gzip member per record. A record is accepted if its headers,
+The reader takes any WARC file, plain or of gzip members with one or more records. A record is accepted if its headers,
 length, end mark and payload digest are right. After a failed check it searches for the next version
 line or gzip member that starts a valid record, goes on there, and logs the bytes in between as a gap.
 A file is read whole by one task, so its size is bounded by the memory of a task.
@@ -32,12 +32,14 @@ from pagewright.llm.common import by_value
 
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-VERSION = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
+VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+MAGIC = b"\x1f\x8b"
+START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 FIELD = re.compile(rb"[!-9;-~]+:|[ \t]")
 EMIT_BYTES = 4 << 20
 PIECE = 1 << 16
 RECORD = (
-    "file string, start long, length long, kind string, reason string, type string, record_id string, "
+    "file string, start long, length long, inner long, kind string, reason string, type string, record_id string, "
     "refers_to string, uri string, digest string, payload_bytes long, payload binary"
 )
 
@@ -87,7 +89,7 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
 def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000, **columns) -> None:
     rows = records(pages, **columns).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file)
-    rows.text(path)
+    rows.option("compression", "gzip").text(path)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -97,7 +99,7 @@ def _fields(head: bytes) -> dict[str, str]:
 
 def parse_record(data: bytes, start: int) -> tuple[dict | None, int, str]:
     """(record, its end, "") or (None, start, reason) for the plain record that should begin at ``start``."""
-    if not VERSION.match(data, start) or data[start : start + 1] != b"W":
+    if not VERSION.match(data, start):
         return None, start, "no version line"
     top = data.find(b"\r\n\r\n", start)
     if top < 0:
@@ -131,54 +133,77 @@ def parse_record(data: bytes, start: int) -> tuple[dict | None, int, str]:
     }, end + 4, ""
 
 
-def parse_member(data: bytes, start: int) -> tuple[list[dict] | None, int, str]:
-    """The records of the gzip member or the plain record at ``start``."""
-    if data[start : start + 3] != b"\x1f\x8b\x08":
-        found, end, reason = parse_record(data, start)
-        return (None if found is None else [found]), end, reason
-    unzip, parts, fed = zlib.decompressobj(31), [], start
-    try:
-        while not unzip.eof and fed < len(data):
-            parts.append(unzip.decompress(data[fed : fed + PIECE]))
-            fed += PIECE
-    except zlib.error:
-        return None, start, "gzip member is broken"
-    if not unzip.eof:
-        return None, start, "gzip member does not end"
-    plain, end = b"".join(parts), min(fed, len(data)) - len(unzip.unused_data)
-    found, at = [], 0
-    while at < len(plain):
-        record, at, reason = parse_record(plain, at)
+def unzip(data: bytes, start: int) -> tuple[bytes, int | None]:
+    """What can be read of the gzip member at ``start``, and its end if it is whole."""
+    member, parts, fed, step = zlib.decompressobj(31), [], start, PIECE
+    while not member.eof and fed < len(data):
+        before = member.copy()
+        try:
+            parts.append(member.decompress(data[fed : fed + step]))
+            fed += step
+        except zlib.error:
+            if step == 1:
+                return b"".join(parts), None
+            # what a failing call has unpacked is lost, so go on from before it in smaller steps
+            member, step = before, max(1, step >> 8)
+    return b"".join(parts), min(fed, len(data)) - len(member.unused_data) if member.eof else None
+
+
+def salvage_plain(data: bytes) -> Iterator[dict]:
+    """Records and gaps of bytes without gzip members."""
+    at = 0
+    while at < len(data):
+        record, end, reason = parse_record(data, at)
         if record is None:
-            return None, start, reason
-        found.append(record)
-    return found, end, ""
+            marks = (m.start() for m in VERSION.finditer(data, at + 1))
+            end = next((m for m in marks if parse_record(data, m)[0] is not None), len(data))
+        kind = {"kind": "gap", "reason": reason} if record is None else {"kind": "record", "reason": None}
+        yield {"start": at, "length": end - at, **kind, **(record or {})}
+        at = end
+
+
+def _begins_well(data: bytes, start: int) -> bool:
+    """Whether a record can be read at ``start``, plain or in the readable part of a gzip member."""
+    if data[start : start + 2] != MAGIC:
+        return parse_record(data, start)[0] is not None
+    return any(r["kind"] == "record" for r in salvage_plain(unzip(data, start)[0]))
 
 
 def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of an archive in file order; together they cover every byte."""
+    """Records and gaps of an archive in file order; together they cover every byte. What comes out of a
+    gzip member has the place of the member and its own place ``inner`` in the unpacked bytes. Of a
+    damaged member the readable records are kept and the whole member is logged as a gap; an empty member
+    has no row."""
     at = 0
     while at < len(data):
-        found, end, reason = parse_member(data, at)
-        if found is not None:
-            for record in found:
+        inside: list[dict] = []
+        if data[at : at + 2] == MAGIC:
+            plain, end = unzip(data, at)
+            inside = [{**r, "inner": r["start"]} for r in salvage_plain(plain)]
+            good = any(r["kind"] == "record" for r in inside)
+            reason = "gzip member is broken" if end is None else "no record in the gzip member"
+            if end is not None and (good or not plain):
+                yield from ({**r, "start": at, "length": end - at} for r in inside)
+                at = end
+                continue
+        else:
+            record, end, reason = parse_record(data, at)
+            if record is not None:
                 yield {"start": at, "length": end - at, "kind": "record", "reason": None, **record}
-            at = end
-            continue
-        after = at + 1
-        while mark := VERSION.search(data, after):
-            if parse_member(data, mark.start())[0] is not None:
-                break
-            after = mark.start() + 1
-        end = mark.start() if mark else len(data)
-        yield {"start": at, "length": end - at, "kind": "gap", "reason": reason}
+                at = end
+                continue
+        marks = (m.start() for m in START.finditer(data, at + 1))
+        end = next((m for m in marks if _begins_well(data, m)), len(data))
+        place = {"start": at, "length": end - at}
+        yield {**place, "kind": "gap", "reason": reason}
+        yield from ({**r, **place} for r in inside if r["kind"] == "record")
         at = end
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Records and gaps (``kind``) of the files under ``path``; see RECORD for the columns."""
     names = [f.split()[0] for f in RECORD.split(", ")]
-    kinds = {"start": pa.int64(), "length": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
+    kinds = {"start": pa.int64(), "length": pa.int64(), "inner": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
     schema = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,13 +72,34 @@ def test_salvage_after_damage():
 
 
 def test_salvage_of_gzip_members():
-    members = [gzip.compress(record(k, bytes([k]) * 100000), mtime=0) for k in range(5)]
+    rng = random.Random(4)
+    members = [gzip.compress(record(k, rng.randbytes(100000)), mtime=0) for k in range(5)]
     bad = bytearray(members[1])
     bad[len(bad) // 2] ^= 255
     data = members[0] + bytes(bad) + members[2] + members[3][: len(members[3]) // 2] + members[4]
     found = list(warc.salvage(data))
     covered(found, data)
     assert [r["record_id"] for r in found if r["kind"] == "record"] == ["<urn:page:0>", "<urn:page:2>", "<urn:page:4>"]
+    assert [r["reason"] for r in found if r["kind"] == "gap"] == ["gzip member is broken"] * 2
+
+
+def test_salvage_inside_a_member():
+    """One member for all records: a bad record in it, and a member cut short after some records."""
+    rng = random.Random(5)
+    parts = [record(k, rng.randbytes(2000)) for k in range(6)]
+    bad = bytearray(parts[2])
+    bad[-20] ^= 1
+    whole = gzip.compress(b"".join([*parts[:2], bytes(bad), *parts[3:]]), mtime=0)
+    found = list(warc.salvage(whole))
+    assert [r["kind"] for r in found] == ["record", "record", "gap", "record", "record", "record"]
+    assert [r["inner"] for r in found][:3] == [0, len(parts[0]), len(parts[0]) + len(parts[1])]
+    short = gzip.compress(b"".join(parts), mtime=0)
+    data = short[: len(short) * 2 // 3] + whole
+    found = list(warc.salvage(data))
+    covered(found, data)
+    names = [r["record_id"] for r in found if r["kind"] == "record"]
+    assert names[-5:] == [f"<urn:page:{k}>" for k in (0, 1, 3, 4, 5)] and names[:-5] == [f"<urn:page:{k}>" for k in range(len(names) - 5)]
+    assert 3 <= len(names) - 5 <= 4
 
 
 def test_salvage_of_random_damage():
