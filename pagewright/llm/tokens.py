@@ -27,7 +27,7 @@ from pagewright.llm.common import by_value
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-NODES = 300_000
+NODES = 1_000_000
 PENALTY = 10.0
 
 
@@ -44,41 +44,63 @@ def load_pieces(path: str = MODEL) -> dict[str, float]:
 
 
 class ForwardTrie:
-    """Trie of pre-tokens; node 0 is the root. ``counts`` holds the terminal counts."""
+    """Trie of pre-tokens; node 0 is the root. ``counts`` maps a word, as UTF-8 without the space mark,
+    to its terminal count and inserts it where it is new."""
 
-    def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+    def __init__(self, pieces: dict[str, float], nodes: int = NODES):
+        self.pieces, self.nodes = pieces, nodes
         self.unknown = min(pieces.values(), default=0.0) - PENALTY
+        ends: dict[str, set[int]] = {}
+        for piece in pieces:
+            ends.setdefault(piece[-2:], set()).add(len(piece))
+        # lengths of the pieces that end in two letters (or are one letter)
+        self.lengths = {end: sorted(lengths) for end, lengths in ends.items()}
+        self.counts = Terminals(self)
         self.clear()
 
     def clear(self) -> None:
-        self.children: dict[tuple[int, str], int] = {}
-        self.forward: list[tuple[float, int]] = [(0.0, 0)]  # score, minus the pieces
-        self.counts: dict[str, int] = {}
+        self.children: dict[int, int] = {}  # by node and letter as one number
+        self.score, self.used = [0.0], [0]
+        self.counts.clear()
 
     def insert(self, word: str) -> int:
+        """The number of pieces of ``word``; nodes that it shares with earlier words are not worked out again."""
+        children, score, used, pieces, lengths = self.children, self.score, self.used, self.pieces, self.lengths
         path, node = [0], 0
         for i, letter in enumerate(word, 1):
-            node = self.children.get((path[-1], letter), 0)
+            key = node << 21 | ord(letter)
+            node = children.get(key, 0)
             if not node:
-                node = self.children[path[-1], letter] = len(self.forward)
-                self.forward.append(self._best(word, i, path))
+                before = path[-1]
+                best, n = score[before] + self.unknown, used[before] + len(letter.encode("utf-8", "surrogatepass"))
+                value = pieces.get(letter)
+                if value is not None:
+                    best, n = score[before] + value, used[before] + 1
+                for length in lengths.get(word[i - 2 : i], ()) if i > 1 else ():
+                    if length > i:
+                        break
+                    value = pieces.get(word[i - length : i])
+                    if value is not None:
+                        start = path[i - length]
+                        value += score[start]
+                        if value > best or (value == best and used[start] + 1 < n):
+                            best, n = value, used[start] + 1
+                node = children[key] = len(score)
+                score.append(best)
+                used.append(n)
             path.append(node)
-        self.counts[word] = found = -self.forward[node][1]
-        return found
+        return used[node]
+
 
-    def _best(self, word: str, end: int, path: list[int]) -> tuple[float, int]:
-        """Forward value at ``end``, from those of the nodes above."""
-        pieces, forward = self.pieces, self.forward
-        score, pieces_so_far = forward[path[end - 1]]
-        best = (score + self.unknown, pieces_so_far - len(word[end - 1].encode("utf-8", "surrogatepass")))
-        for start in range(max(0, end - self.longest), end):
-            value = pieces.get(word[start:end])
-            if value is not None:
-                score, pieces_so_far = forward[path[start]]
-                best = max(best, (score + value, pieces_so_far - 1))
-        return best
+class Terminals(dict):
+    def __init__(self, trie: ForwardTrie):
+        self.trie = trie
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self.trie.score) > self.trie.nodes:
+            self.trie.clear()
+        self[word] = found = self.trie.insert(SPACE + word.decode())
+        return found
 
 
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL) -> DataFrame:
@@ -91,17 +113,8 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
             words_in, tokens_in = [], []
             for value in batch.column(1):
                 words = (value.as_py() or "").encode().split()
-                total = 0
-                for word in words:
-                    token = SPACE + word.decode()
-                    found = trie.counts.get(token)
-                    if found is None:
-                        if len(trie.forward) > NODES:
-                            trie.clear()
-                        found = trie.insert(token)
-                    total += found
                 words_in.append(len(words))
-                tokens_in.append(total)
+                tokens_in.append(sum(map(trie.counts.__getitem__, words)))
             columns = [batch.column(0), pa.array(words_in, pa.int64()), pa.array(tokens_in, pa.int64())]
             yield pa.record_batch(columns, names=[key, "n_pretokens", "n_tokens"])
 
