@@ -8,7 +8,7 @@ of both kinds are put together to groups.
 
 Copies collapse to one node before anything else. NULL and empty texts are copies of each other. Of a
 group the row with the smallest doc_id stays (NULL last), of repeated rows the first read. An empty
-table gives an empty result. All columns are kept; a column ``_row`` is replaced while the rows are numbered.
+table gives an empty result. All columns are kept but one named ``_row``.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def band_links(nodes: DataFrame, whole: DataFrame, text: str, size: int, similar
     pairs = banded.join(groups.drop("n"), ["band", "value"]).filter("a <> node")
     pairs = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = whole.join(used.withColumnRenamed("node", "_row"), "_row", "left_semi").withColumnRenamed("_row", "node")
+    texts = whole.select("_row", text).join(used.withColumnRenamed("node", "_row"), "_row", "left_semi").withColumnRenamed("_row", "node")
     sets = stored(shingle_sets(texts, text, size), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))

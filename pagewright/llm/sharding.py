@@ -2,7 +2,7 @@
 
 Documents with equal texts form a group, and a group is placed whole on the shard where the dot product
 of its (bytes, tokens, rows) with what the shard has left is highest, large groups first. A group over
-half a shard is cut into pieces of about a quarter shard, because no placing could balance it.
+a whole shard is cut into pieces of about a quarter shard, because no placing could balance it.
 
 One such pass is sequential, so it runs at two levels. Groups are dealt by hash into a fixed number of
 cells, and each cell packs its own groups into one bin per shard, streaming them in sorted order with
@@ -11,8 +11,8 @@ on the parameters alone, are packed into the shards in the same way.
 
 A NULL text counts no bytes and no tokens and is a group of its own, apart from the empty text. Ties
 go to the lowest shard, rows of a group keep their read order. Repeated rows are rows. An empty table
-gives an empty result. Further columns are kept by :func:`shard_documents` (a column named like one
-that it adds is replaced) and not read by :func:`assign`.
+gives an empty result. Further columns are kept by :func:`shard_documents` (shard, slot and _row,
+if they are there, are replaced or dropped) and not read by :func:`assign`.
 """
 
 from __future__ import annotations
@@ -72,11 +72,11 @@ def place(rows: DataFrame, shards: int, weights=WEIGHTS, cells: int = CELLS) ->
     total = groups.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMS]).first().asDict()
     shard = {d: total[d] / shards for d in DIMS}
     heavy_share = _largest(shard)
-    # at most 2 * shards groups in each dimension can be over half a shard, so this table is bounded
-    heavy = groups.filter(heavy_share > 0.5).select("group", F.ceil(heavy_share * 4).alias("pieces"))
+    # fewer groups than shards can be over a whole shard in each dimension, so this table is bounded
+    heavy = groups.filter(heavy_share > 1).select("group", F.ceil(heavy_share * 4).alias("pieces"))
     rows = rows.join(F.broadcast(heavy), "group", "left")
     rows = rows.withColumn("piece", F.coalesce(F.pmod(F.xxhash64("row"), "pieces"), F.lit(-1).cast("long"))).drop("pieces")
-    light = groups.filter(heavy_share <= 0.5)
+    light = groups.filter(heavy_share <= 1)
     light = light.withColumn("cell", F.pmod(F.xxhash64("group"), F.lit(cells)).cast("int"))
     inner = {d: total[d] / shards / cells for d in DIMS}
     dealt = light.repartition(cells, "cell").sortWithinPartitions("cell", _largest(inner).desc(), "group")
@@ -131,7 +131,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
 def shard_documents(docs: DataFrame, shards: int, text: str = "text", weights=WEIGHTS) -> DataFrame:
     """``docs`` with ``shard`` and ``slot``. The rows are stored once with a number, which ties each to
     its place whatever repeats."""
-    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    kept = [c for c in docs.columns if c not in ("shard", "slot", "_row")]
     whole = stored(docs.select(*kept, F.monotonically_increasing_id().alias("_row")), "rows")
     narrow = whole.select(F.col("_row").alias("row"), *[c.alias(n) for n, c in _facts(F.col(text)).items()])
     placed = stored(place(stored(narrow, "sizes"), shards, weights).drop("group"), "shards")

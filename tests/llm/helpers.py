@@ -2,12 +2,12 @@
 
 import random
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, row string, rows string, p string, h1 string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, row string, rows string, p string, h1 string, node string, fp string, _row string"
 
 
 def docs(spark, pairs):
     """(doc_id, text) pairs as documents with further columns whose names clash with inner ones."""
-    rows = [(i, t, "en", "s", len(t or ""), "x", "y", "z", "p", "h") for i, t in pairs]
+    rows = [(i, t, "en", "s", len(t or ""), "x", "y", "z", "p", "h", "n", "f", "r") for i, t in pairs]
     return spark.createDataFrame(rows, DOCS)
 
 

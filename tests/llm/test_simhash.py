@@ -136,7 +136,7 @@ def test_one_of_each_group_stays(spark):
     pairs = awkward()
     table = docs(spark, pairs)
     kept = neardup.drop_near_duplicates(table)
-    assert kept.columns == table.columns
+    assert kept.columns == [c for c in table.columns if c != "_row"]
     texts = [r.text for r in kept.collect()]
     norm = lambda t: " ".join((t or "").lower().split())
     assert len({norm(t) for t in texts}) == len(texts) == len({norm(t) for _, t in pairs})
