@@ -21,6 +21,7 @@ from pagewright.llm.common import let, split_words
 from pagewright.sources.storage import stored
 
 WINDOW = 5
+SAMPLE_FILES = 6
 SYMBOLS = r"[#*$%&|<>]+"
 
 
@@ -91,9 +92,10 @@ def default_rules(text: Column, words: Column | None = None) -> dict[str, Column
 
 
 def plan_cascade(docs: DataFrame, rules: dict[str, Column], sample_rows: int = 2000, runs: int = 2) -> list[dict]:
-    """Rules with ``seconds`` and ``rejected`` share on ``sample_rows`` rows of ``docs`` (the only bound;
-    it decides the order, never the verdict), best first. Equal rules keep their given order."""
-    sample = stored(docs.limit(sample_rows), "quality-sample")
+    """Rules with ``seconds`` and ``rejected`` share on a random sample of about ``sample_rows`` rows of
+    ``docs`` (it decides the order, never the verdict), best first. Equal rules keep their given order."""
+    fraction = min(1.0, sample_rows / max(1, docs.count()))
+    sample = stored(docs.sample(fraction, seed=17).repartition(SAMPLE_FILES), "quality-sample")
     measured = []
     for name, rejects in rules.items():
         hits = sample.agg(F.count("*").alias("n"), F.count_if(F.coalesce(rejects, F.lit(False))).alias("bad"))
