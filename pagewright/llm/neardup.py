@@ -21,8 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm import simhash
 from pagewright.llm.common import by_value
+from pagewright.llm.simhash import components, fingerprint, shingle_hashes, trie_links, words_of
 from pagewright.sources.storage import stored
 
 BANDS, DEPTH = 16, 5
@@ -32,17 +32,17 @@ BAND_BLOCK = 2048
 
 def signature(text: str | None, size: int) -> tuple[int, int, int, list[int]]:
     """Two hashes of the words, the fingerprint, and one hash per band of min-hashes."""
-    words = simhash.words_of(text)
+    words = words_of(text)
     whole = b" ".join(words)
     low = np.full(BANDS * DEPTH, np.iinfo(np.uint64).max)
     blocks = []
-    for block in simhash.shingle_hashes(words, size):
+    for block in shingle_hashes(words, size):
         blocks.append(block)
         for lo in range(0, len(block), BAND_BLOCK):
             np.minimum(low, (block[lo : lo + BAND_BLOCK, None] * _MULTIPLIERS).min(axis=0), out=low)
     bands = [xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(low.reshape(BANDS, DEPTH))]
     names = [xxhash.xxh64_intdigest(whole, seed) - (1 << 63) for seed in (1, 2)]
-    return names[0], names[1], simhash.fingerprint(iter(blocks)), bands if words else []
+    return names[0], names[1], fingerprint(iter(blocks)), bands if words else []
 
 
 def signatures(rows: DataFrame, text: str, size: int) -> DataFrame:
@@ -66,7 +66,7 @@ def shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
         for batch in batches:
             found = []
             for t in batch.column(1):
-                blocks = [b.astype(np.uint32) for b in simhash.shingle_hashes(simhash.words_of(t.as_py()), size)]
+                blocks = [b.astype(np.uint32) for b in shingle_hashes(words_of(t.as_py()), size)]
                 found.append(np.unique(np.concatenate([*blocks, np.empty(0, np.uint32)])).view(np.int32))
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
 
@@ -103,12 +103,12 @@ def drop_near_duplicates(
     nodes = stored(nodes.select(F.col("first.row").alias("node"), "first", "fp", "bands"), "nodes")
     of_fp = nodes.groupBy("fp").agg(F.min("node").alias("owner"))
     equal = nodes.join(of_fp, "fp").filter("owner <> node").select(F.col("owner").alias("a"), F.col("node").alias("b"))
-    close = simhash.trie_links(of_fp.select("fp"), radius)
+    close = trie_links(of_fp.select("fp"), radius)
     close = close.join(of_fp.select(F.col("fp").alias("a"), F.col("owner").alias("oa")), "a")
     close = close.join(of_fp.select(F.col("fp").alias("b"), F.col("owner").alias("ob")), "b")
     close = close.select(F.col("oa").alias("a"), F.col("ob").alias("b"))
     links = equal.unionByName(close).unionByName(band_links(nodes, whole, text, size, similarity))
-    labels = simhash.components(links)
+    labels = components(links)
     grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     winners = grouped.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
     return whole.join(winners, "_row", "left_semi").select(*kept)
