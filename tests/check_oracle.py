@@ -57,7 +57,7 @@ def main():
     con, bad = connect(folder), 0
     oracles = entry.oracle_sql()
     for name, query in entry.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if name not in oracles or sys.argv[2:] and name not in sys.argv[2:]:
             continue
         try:
             got, want, took, other = compare(spark, con, folder, name, query, oracles[name])
