@@ -2,9 +2,11 @@
 
 Fingerprints of five-word shingles are joined by the trie of :mod:`simhash` (at most ``radius`` bits
 apart). Pairs with a Jaccard similarity of 0.8 differ in up to 14 of 64 bits, far beyond what a Hamming
-budget can take, so a second source of candidates is added: documents with an equal band of min-hashes
-are compared with the smallest member of that band, by the exact similarity of their shingle sets. Links
-of both kinds are put together to groups.
+budget can take, so a second source of candidates is added: all pairs of documents with an equal band of
+min-hashes, tested by the exact similarity of their shingle sets. First every member is tested against the
+smallest one of its band. Of the pairs left, those that the links so far have not put into one group are
+tested too: a band is dealt into blocks of about ``MEMBERS``, and a task tests one block against another, so
+no band has to fit in one task. Links of all kinds are put together to groups.
 
 Copies collapse to one node before anything else. NULL and empty texts are copies of each other. Of a
 group the row with the smallest doc_id stays (NULL last), of repeated rows the first read. An empty
@@ -22,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import by_value
-from pagewright.llm.simhash import components, fingerprint, shingle_hashes, trie_links, words_of
+from pagewright.llm.simhash import components, fingerprint, shingle_hashes, star, trie_links, words_of
 from pagewright.sources.storage import stored
 
 BANDS, DEPTH = 16, 5
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, BANDS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BAND_BLOCK = 2048
+MEMBERS = 256  # of a band in one block
 
 
 def signature(text: str | None, size: int) -> tuple[int, int, int, list[int]]:
@@ -73,15 +76,16 @@ def shingle_sets(rows: DataFrame, text: str, size: int) -> DataFrame:
     return rows.select("node", text).mapInArrow(run, "node long, shingles array<int>")
 
 
-def band_links(nodes: DataFrame, whole: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
+def banded(nodes: DataFrame) -> DataFrame:
+    """(band, value, node, a) of the bands with several members; a is the smallest of them."""
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "value"))
+    groups = rows.groupBy("band", "value").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    return rows.join(groups.drop("n"), ["band", "value"])
+
+
+def anchor_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of nodes that share a band with its smallest member and are similar to it."""
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    groups = banded.groupBy("band", "value").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = banded.join(groups.drop("n"), ["band", "value"]).filter("a <> node")
-    pairs = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = whole.select("_row", text).join(used.withColumnRenamed("node", "_row"), "_row", "left_semi").withColumnRenamed("_row", "node")
-    sets = stored(shingle_sets(texts, text, size), "sets")
+    pairs = stored(members.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(right, "b").join(left, "a")
@@ -90,6 +94,76 @@ def band_links(nodes: DataFrame, whole: DataFrame, text: str, size: int, similar
     return both.filter(alike).select("a", "b")
 
 
+def open_tasks(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, value, p, q, block, node, label): the members of block p and of block q of a band are to be
+    tested against each other. Pairs with the smallest member are done and pairs with one label are in one
+    group; so the members with the most frequent label of a band have blocks of their own, which are not
+    tested among themselves."""
+    rest = members.filter("a <> node").drop("a").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    parts = rest.groupBy("band", "value", "label").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("band", "value").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n")).filter("n > top.n")
+    rest = rest.join(mixed, ["band", "value"])
+    own, others = F.ceil(F.col("top.n") / MEMBERS), F.ceil((F.col("n") - F.col("top.n")) / MEMBERS)
+    top, dealt = F.col("label") == F.col("top.label"), F.xxhash64("node")
+    rest = rest.withColumn("block", F.when(top, others + F.pmod(dealt, own)).otherwise(F.pmod(dealt, others)))
+    against = F.explode(F.sequence(F.lit(0).cast("long"), F.when(top, others).otherwise(others + own) - 1))
+    rest = rest.withColumn("against", against)
+    return rest.select(
+        "band", "value", F.least("block", "against").alias("p"), F.greatest("block", "against").alias("q"), "block", "node", "label"
+    )
+
+
+def similar_pairs(sets: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of ``left`` x ``right`` with different labels and a similarity of at least ``similarity``."""
+    sizes = np.array([len(s) for s in sets])
+    values, found = np.unique(np.concatenate([sets[i] for i in right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(right)), sizes[right])[np.argsort(found, kind="stable")]
+    ends = np.cumsum(np.bincount(found, minlength=len(values)))
+    begins = np.concatenate([[0], ends[:-1]])
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in left:
+        at = np.minimum(np.searchsorted(values, sets[i]), len(values) - 1)
+        at = at[values[at] == sets[i]]
+        # the owners of all shingles in common, one run after the other
+        n = ends[at] - begins[at]
+        places = np.arange(n.sum()) + np.repeat(begins[at] - np.cumsum(n) + n, n)
+        common = np.bincount(owner[places], minlength=len(right))
+        alike = common >= similarity * (sizes[i] + sizes[right] - common)
+        hits = right[alike & (labels[right] != labels[i])]
+        a.append(np.full(len(hits), i))
+        b.append(hits)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def block_links(tasks: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that join exactly what the similar pairs of each task join, beside what has one label."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        nodes, labels, block, p, q = (rows.column(c).to_numpy() for c in ("node", "label", "block", "p", "q"))
+        shingles = [s.values.to_numpy() for s in rows.column("shingles")]
+        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        a, b = similar_pairs(shingles, labels, left, right, similarity) if len(left) and len(right) else ([], [])
+        label = star(len(nodes), np.asarray(a, np.int64), np.asarray(b, np.int64))
+        tied = np.flatnonzero(label != np.arange(len(nodes)))
+        return pa.table({"a": nodes[label[tied]], "b": nodes[tied]})
+
+    return tasks.join(sets, "node").groupBy("band", "value", "p", "q").applyInArrow(run, "a long, b long")
+
+
+def band_components(nodes: DataFrame, whole: DataFrame, links: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
+    """(node, label) of the groups that ``links`` and the similar pairs of all bands make."""
+    members = stored(banded(nodes), "members")
+    used = members.select(F.col("node").alias("_row")).distinct()
+    texts = whole.select("_row", text).join(used, "_row", "left_semi").withColumnRenamed("_row", "node")
+    sets = stored(shingle_sets(texts, text, size), "sets")
+    labels = components(links.unionByName(anchor_links(members, sets, similarity)))
+    tasks = stored(open_tasks(members, labels), "tasks")
+    if tasks.isEmpty():
+        return labels
+    known = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return components(known.unionByName(block_links(tasks, sets, similarity)))
+
+
 def drop_near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, radius: int = 3, similarity: float = 0.8
 ) -> DataFrame:
@@ -107,8 +181,7 @@ def drop_near_duplicates(
     close = close.join(of_fp.select(F.col("fp").alias("a"), F.col("owner").alias("oa")), "a")
     close = close.join(of_fp.select(F.col("fp").alias("b"), F.col("owner").alias("ob")), "b")
     close = close.select(F.col("oa").alias("a"), F.col("ob").alias("b"))
-    links = equal.unionByName(close).unionByName(band_links(nodes, whole, text, size, similarity))
-    labels = components(links)
+    labels = band_components(nodes, whole, equal.unionByName(close), text, size, similarity)
     grouped = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     winners = grouped.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
     return whole.join(winners, "_row", "left_semi").select(*kept)

@@ -147,3 +147,44 @@ def test_one_of_each_group_stays(spark):
 def test_a_hot_group_of_copies(spark):
     table = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1000, "one two three four five six").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"))
     assert neardup.drop_near_duplicates(table).count() == 2001
+
+
+def test_a_base_in_the_middle_of_its_variants(spark):
+    """Variants are similar to the base (0.82) and not to each other (0.67): the smallest member of a band
+    is a mere cousin of the others, and all are one group."""
+    rng = random.Random(6)
+    base = prose(rng, 504, 10**6)
+    spots = lambda: [25 * k + 10 + rng.randrange(10) for k in range(0, 20, 2)]
+    variants = []
+    for k in range(1000):
+        words = base.split()
+        for at in spots():
+            words[at] = f"new{k}x{at}"
+        variants.append(" ".join(words))
+    assert all(jaccard(v, base) >= 0.8 for v in variants)
+    table = docs(spark, list(enumerate(variants[:500])) + [(500, base)] + [(501 + k, v) for k, v in enumerate(variants[500:])])
+    # by chance 0.06 % of the pairs share no band
+    assert neardup.drop_near_duplicates(table).count() <= 4
+
+
+@pytest.mark.parametrize("members", [256, 3])
+def test_all_pairs_of_a_band_are_tested(spark, monkeypatch, members):
+    monkeypatch.setattr(neardup, "MEMBERS", members)
+    rng = random.Random(7)
+    texts, bands = [], []
+    for _ in range(12):
+        base = prose(rng, 60, 10**6)
+        texts += [base, *(edited(rng, base, rng.choice([1, 1, 2])) for _ in range(6))]
+    # few bands, and whole families in one of them
+    bands = [[k // 14, 100 + rng.randrange(4)] for k in range(len(texts))]
+    nodes = spark.createDataFrame(list(enumerate(bands)), "node long, bands array<long>")
+    whole = spark.createDataFrame(list(enumerate(texts)), "_row long, text string")
+    none = spark.createDataFrame([], "a long, b long")
+    got = {r.node: r.label for r in neardup.band_components(nodes, whole, none, "text", 5, 0.8).collect()}
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if any(x == y for x, y in zip(bands[i], bands[j], strict=True)) and jaccard(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((want[i], want[j]))
+                want = [low if w == high else w for w in want]
+    assert [got.get(k, k) for k in range(len(texts))] == want and 12 < len(set(want)) < len(texts)
