@@ -7,7 +7,7 @@
    benchmark passages, ``BLOCK`` passages at a time (a stated query set against all rows, in blocks).
    Windows with a cosine of at least ``cosine`` are candidates.
 4. Check: a candidate counts if the longest common subsequence of words covers ``share`` of the passage
-   and half of its answer (the column ``answer`` if there is one, else the passage's last words).
+   and, where the column ``answer`` has a value, half of that answer.
 
 Words are runs of ASCII letters and digits and of other letters, with A-Z lower-cased. Items under
 ``MIN_WORDS`` words are no evidence and are not searched. NULL and empty texts match nothing. Repeated
@@ -35,7 +35,6 @@ RANK, EXTRA = 64, 8
 WINDOW, STRIDE = 64, 32  # a window is two strides
 BLOCK = 1024
 MIN_WORDS = 5
-ANSWER_WORDS = 5
 SPAN = 1 << 14  # words of a document that are searched at a time
 KNOWN = 200_000  # words that a task remembers
 _WORD = bytes(
@@ -108,8 +107,7 @@ def item_passages(benchmark: DataFrame, key: str, text: str) -> DataFrame:
                     continue
                 for part, lo in enumerate(range(0, max(1, len(words) - STRIDE), STRIDE)):
                     passage = words[lo : lo + WINDOW]
-                    tail = answer or passage[-ANSWER_WORDS:]
-                    rows.append((batch.column(0)[i].as_py(), part, b" ".join(passage).decode(), b" ".join(tail).decode()))
+                    rows.append((batch.column(0)[i].as_py(), part, b" ".join(passage).decode(), b" ".join(answer).decode()))
             columns = zip(*rows, strict=True) if rows else ((), (), (), ())
             kinds = (batch.schema.field(0).type, pa.int32(), pa.string(), pa.string())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[key, "part", "passage", "answer"])

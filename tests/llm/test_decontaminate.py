@@ -98,3 +98,36 @@ def test_search_recall_against_brute_force(spark):
     normal = dc.contaminated(docs(spark, leaks), bench(spark, items)).collect()
     pairs = lambda rows: {(r.doc_id, r.item_id) for r in rows}
     assert len(pairs(normal) & pairs(strict)) >= 0.9 * len(pairs(strict))
+
+
+def test_items_without_an_answer_are_judged_by_their_share(spark):
+    """Items cut short or with words replaced, against an exhaustive check of all spans."""
+    rng = random.Random(12)
+    items = [(i, prose(rng, rng.randint(15, 59), 3000)) for i in range(40)]
+    leaks = []
+    for k in range(160):
+        words = items[k % 40][1].split()
+        if k // 40 == 0:
+            words = words[: -(-len(words) * 4 // 5)]
+        elif k // 40 == 1:
+            words = words[: -(-len(words) * 65 // 100)]
+        elif k // 40 == 2:
+            for at in rng.sample(range(len(words)), len(words) * 3 // 10):
+                words[at] = "changed"
+        else:  # the tail alone is another one
+            words[-5:] = ["other"] * 5
+        host = prose(rng, rng.randint(0, 200), 3000).split()
+        at = rng.randint(0, len(host))
+        leaks.append((k, " ".join([*host[:at], *words, *host[at:]])))
+    want = set()
+    for k, text in leaks:
+        words = text.encode().split()
+        for i, item in items:
+            passage = item.encode().split()
+            spans = range(0, max(1, len(words) - dc.STRIDE), dc.STRIDE)
+            if any(dc.common_length(passage, words[max(0, lo - dc.STRIDE) : lo + dc.WINDOW + dc.STRIDE]) >= 0.6 * len(passage) for lo in spans):
+                want.add((k, i))
+    assert {(k, k % 40) for k in range(160)} <= want
+    for table in (bench(spark, items), bench(spark, items).withColumn("answer", F.lit(None).cast("string"))):
+        got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs(spark, leaks), table).collect()}
+        assert got <= want and len(got) >= 0.97 * len(want)
