@@ -1,8 +1,9 @@
 """WARC archives: a writer through Spark's text sink and a salvage reader.
 
 The writer makes one record per page. Of pages with equal payloads the one with the smallest page_id is
-a response with the payload, the others are revisits that refer to it. Files are WARC/1.1, packed as one
-gzip member each, and hold at most ``records_per_file`` records, which bounds what a reader task has to hold.
+a response with the payload, the others are revisits that refer to it. Files are WARC/1.1 with a gzip
+member per record, so that damage to one does not reach the next, and hold at most ``records_per_file``
+records, which bounds what a reader task has to hold.
 
 The reader takes any WARC file, plain or of gzip members with one or more records. A record is accepted if its headers,
 length, end mark and payload digest are right. After a failed check it searches for the next version
@@ -19,6 +20,7 @@ not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -38,6 +40,7 @@ START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 FIELD = re.compile(rb"[!-9;-~]+:|[ \t]")
 EMIT_BYTES = 4 << 20
 PIECE = 1 << 16
+EMPTY = gzip.compress(b"", mtime=0)
 RECORD = (
     "file string, start long, length long, inner long, kind string, reason string, type string, record_id string, "
     "refers_to string, uri string, digest string, payload_bytes long, payload binary"
@@ -87,9 +90,29 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     ).alias("value"))
 
 
+def packed(record: bytes) -> bytes:
+    """The gzip member of a record, without the zero byte that ends it. That byte is the highest of the
+    record's length, so a record of 16 MB or more takes an empty member along, which ends in zeros."""
+    member = gzip.compress(record, 6, mtime=0)
+    return (member if member.endswith(b"\0") else member + EMPTY)[:-1]
+
+
 def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000, **columns) -> None:
-    rows = records(pages, **columns).write.option("lineSep", END).option("maxRecordsPerFile", records_per_file)
-    rows.option("compression", "gzip").text(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members, held = [], 0
+            for value in batch.column(0):
+                members.append(packed(value.as_py() + END.encode()))
+                held += len(members[-1])
+                if held > EMIT_BYTES:
+                    yield pa.record_batch([pa.array(members, pa.binary())], names=["value"])
+                    members, held = [], 0
+            yield pa.record_batch([pa.array(members, pa.binary())], names=["value"])
+
+    members = records(pages, **columns).select(F.col("value").cast("binary")).mapInArrow(run, "value binary")
+    # the text sink writes the bytes of a string as they are; the last byte of a member comes from lineSep
+    rows = members.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file)
+    rows.option("compression", "none").text(path)
 
 
 def _fields(head: bytes) -> dict[str, str]:

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -113,3 +114,35 @@ def test_salvage_of_random_damage():
         covered(found, data)
         assert sum(r["kind"] == "record" for r in found) >= 6
     assert list(warc.salvage(b"")) == [] and [r["kind"] for r in warc.salvage(b"WARC/1.1\r\n")] == ["gap"]
+
+
+def test_damage_to_written_archives(spark):
+    """Files of write_archives with bytes overwritten or missing lose the records that were hit, and no other."""
+    rng = random.Random(8)
+    rows = [(k, f"http://a/{k}", " ".join(rng.choice(["one", "two", "ünï", "<p>", str(k)]) for _ in range(rng.randint(0, 2000)))) for k in range(300)]
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages(spark, rows).coalesce(1), path)
+    files = [f for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+    total = 0
+    for file in files:
+        data = file.read_bytes()
+        whole = list(warc.salvage(data))
+        covered(whole, data)
+        total += len(whole)
+        assert {r["kind"] for r in whole} <= {"record"}
+        assert gzip.decompress(data).count(b"WARC-Record-ID: ") == len(whole)
+        for part in (0.02, 0.1, 0.5, 0.9):
+            at = int(len(data) * part)
+            for bad in (data[:at] + rng.randbytes(16) + data[at + 16 :], data[:at] + data[at + 512 :]):
+                found = list(warc.salvage(bad))
+                covered(found, bad)
+                hit = sum(r["start"] < at + 512 and r["start"] + r["length"] > at for r in whole)
+                assert sum(r["kind"] == "record" for r in found) >= len(whole) - hit
+    assert total == len(rows)
+
+
+def test_a_record_over_the_length_byte():
+    big = record(1, bytes(1 << 24))
+    data = warc.packed(big) + b"\0" + warc.packed(record(2, b"x")) + b"\0"
+    assert gzip.decompress(data) == big + record(2, b"x")
+    assert [r["record_id"] for r in warc.salvage(data)] == ["<urn:page:1>", "<urn:page:2>"]
