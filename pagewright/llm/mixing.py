@@ -4,10 +4,11 @@
    ``train_rows`` of them, chosen by a hash of their id; the only sample here) and gives every document
    a posterior p over the domains.
 2. Every document gets a rate r >= 0 so that the expected tokens of domain k, the sum of
-   r * tokens * p_k, come near its target in the least-squares sense. The rates follow from projected
-   gradient steps on the whole table. A step moves r by p . g with one vector g of as many numbers as
-   there are domains, so the history of g is all that is kept: each pass works the rates out again from
-   it and returns the domain totals.
+   r * tokens * p_k, come near its target in the least-squares sense, the gap of each domain weighted by
+   one over the tokens it has, so that rare domains count. The rates follow from projected gradient steps
+   on the whole table. A step moves r by p . g with one vector g of as many numbers as there are domains,
+   so the history of g is all that is kept: each pass works the rates out again from it and returns the
+   domain totals. Steps end when each domain is at its target or none moves, both measured on its own target.
 3. r is the expected number of copies: its whole part plus one more for the share of documents given by
    its fraction, decided by a hash of the id.
 
@@ -32,6 +33,7 @@ from pagewright.sources.storage import stored
 
 TRAIN_ROWS = 10_000
 FEATURES = 4096
+ROUNDS = 200
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -79,9 +81,11 @@ def rate_of(steps: list[list[float]], p: Column, most: float) -> Column:
     return F.aggregate(moves, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r - dot(g))))
 
 
-def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, most: float, rounds: int = 40, close: float = 1e-4) -> list[list[float]]:
+def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, most: float, rounds: int = 40, close: float = 1e-4, own: bool = False) -> list[list[float]]:
     """The steps g. ``members`` has tokens and p. Targets are ``weights`` scaled so that ``anchor`` keeps
-    the tokens it has. Each round is one aggregate of the table to a number per domain."""
+    the tokens it has. Each round is one aggregate of the table to a number per domain. With ``own`` a
+    domain's step is its gap over the tokens it has, and ``close`` is a share of its target (of the tokens
+    it has where the target is zero); else all steps have one scale and ``close`` is a share of all tokens."""
     k = range(len(domains))
     p = [F.get("p", F.lit(i)) for i in k]
     moments = [F.sum(F.col("tokens") * p[i]).alias(f"t{i}") for i in k]
@@ -94,16 +98,23 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float],
     share = np.array([weights[d] for d in domains])
     target = share / share[domains.index(anchor)] * have[domains.index(anchor)] / total
     curve = np.array([[row[f"m{i}_{j}"] / total for j in k] for i in k])
-    pace = 1.0 / np.linalg.eigvalsh(curve).max()
-    steps: list[list[float]] = []
     now = have / total
+    if own:
+        # the rows of curve sum to now, so the largest eigenvalue of the scaled curve is 1
+        pace = np.divide(1.0, now, out=np.zeros(len(now)), where=now > 0)
+        scale = np.where(target > 0, target, now)
+    else:
+        pace, scale = 1.0 / np.linalg.eigvalsh(curve).max(), np.ones(len(now))
+    steps: list[list[float]] = []
     for _ in range(rounds):
         gap = now - target
+        if own and (np.abs(gap) <= close * scale).all():
+            break
         steps.append([float(x) for x in pace * gap])
         rate = rate_of(steps, F.col("p"), most)
         sums = members.withColumn("r", rate).agg(*[F.sum(F.col("r") * F.col("tokens") * p[i]).alias(f"t{i}") for i in k]).first()
         before, now = now, np.array([sums[f"t{i}"] for i in k]) / total
-        if np.abs(now - before).max() < close:
+        if (np.abs(now - before) < close * scale).all() or own and (now == before).all():
             break
     return steps
 
@@ -118,7 +129,7 @@ def mixed(
     scored = posteriors(docs.select("doc_id", text), labelled, domains, text, train_rows)
     tokens = F.size(split_words(F.col(text))).cast("long")
     members = stored(scored.select("doc_id", tokens.alias("tokens"), "p"), "members")
-    rate = rate_of(fit_rates(members, domains, weights, anchor, most), F.col("p"), most)
+    rate = rate_of(fit_rates(members, domains, weights, anchor, most, ROUNDS, own=True), F.col("p"), most)
     rated = members.withColumn("rate", rate)
     # 53 bits of the hash as a number from 0 to 1
     chance = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("copies")), 11) / F.lit(float(1 << 53))

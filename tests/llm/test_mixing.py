@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pagewright.llm import mixing
@@ -82,3 +83,34 @@ def test_awkward_rows(spark):
     none = mixing.mixed(table, spark.createDataFrame([], LABELS), WEIGHTS, "good").collect()
     assert {tuple(r.p) for r in none} == {(1.0, 0.0, 0.0)} and {r.copies for r in none} == {1}
     assert mixing.mix(table.limit(0), label_rows(spark, {1: "good", 2: "low"}), WEIGHTS, "good").count() == 0
+
+
+@pytest.mark.parametrize(("shares", "weights", "rates"), [
+    ((0.985, 0.005, 0.01), (0.98, 0.019, 0.001), (1.0, 1.0, 0.1005)),
+    ((0.8, 0.19, 0.01), (0.8, 0.19, 0.001), (1.0, 1.0, 0.1)),
+    ((0.96, 0.005, 0.035), (0.9, 0.07, 0.03), (1.0, 1.0, 0.9143)),
+    ((0.93, 0.02, 0.05), (0.9, 0.07, 0.03), (1.0, 1.0, 0.62)),
+])
+def test_rare_domains_reach_their_targets(spark, shares, weights, rates):
+    """Sure posteriors: every domain has one rate, its target over what it has."""
+    rows = [(int(1e6 * s), [float(i == k) for i in range(3)]) for k, s in enumerate(shares)]
+    members = spark.createDataFrame(rows, "tokens long, p array<double>")
+    steps = mixing.fit_rates(members, list(WEIGHTS), dict(zip(WEIGHTS, weights, strict=True)), "good", 1.0, mixing.ROUNDS, own=True)
+    got = {r.p.index(1.0): r.rate for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), 1.0)).collect()}
+    assert np.allclose([got[k] for k in range(3)], rates, atol=1e-3)
+
+
+def test_soft_rare_domains_reach_their_targets(spark):
+    """Blurred posteriors with one percent of the tokens in a domain."""
+    rng = np.random.default_rng(5)
+    kinds = rng.choice(3, 4000, p=[0.79, 0.2, 0.01])
+    p = 0.97 * np.eye(3)[kinds] + 0.03 * rng.dirichlet([40, 9, 1], 4000)
+    tokens = rng.integers(20, 200, 4000)
+    rows = [(int(t), [float(x) for x in q]) for t, q in zip(tokens, p, strict=True)]
+    members = spark.createDataFrame(rows, "tokens long, p array<double>").repartition(4)
+    weights = {"good": 0.8, "low": 0.1, "toxic": 0.004}
+    steps = mixing.fit_rates(members, list(weights), weights, "good", 1.0, mixing.ROUNDS, own=True)
+    rate = np.array([(r.rate, r.tokens, *r.p) for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), 1.0)).collect()])
+    have, reached = rate[:, 1] @ rate[:, 2:], (rate[:, 0] * rate[:, 1]) @ rate[:, 2:]
+    target = np.array(list(weights.values())) / 0.8 * have[0]
+    assert np.allclose(reached / target, 1, atol=0.01) and len(steps) < mixing.ROUNDS
