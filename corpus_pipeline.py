@@ -14,6 +14,9 @@ from pagewright.llm.common import table
 from pagewright.llm.queries import WEIGHTS
 from pagewright.sources.storage import stored
 
+# no toxic document is wanted here, however rare they are
+CLEAN_WEIGHTS = {**WEIGHTS, "toxic": 0.0}
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
@@ -34,8 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix to WEIGHTS takes them, at most once each."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), WEIGHTS, anchor="good")
+    """Documents as often as the mix to CLEAN_WEIGHTS takes them, at most once each."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), CLEAN_WEIGHTS, anchor="good")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tempfile
 
 import numpy as np
 import pytest
@@ -114,3 +115,17 @@ def test_soft_rare_domains_reach_their_targets(spark):
     have, reached = rate[:, 1] @ rate[:, 2:], (rate[:, 0] * rate[:, 1]) @ rate[:, 2:]
     target = np.array(list(weights.values())) / 0.8 * have[0]
     assert np.allclose(reached / target, 1, atol=0.01) and len(steps) < mixing.ROUNDS
+
+
+@pytest.mark.parametrize("share", [0.12, 0.01])
+def test_toxic_documents_do_not_leave_the_pipeline(spark, share):
+    """The pipeline's mixing stage: confidently toxic rows go and good rows stay, rare or not."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    n, toxic = 2000, round(2000 * share)
+    pairs = [(i, prose(rng, rng.randint(20, 120), 300) + (" idiot scum trash moron" if i < toxic else "")) for i in range(n)]
+    folder = tempfile.mkdtemp(prefix="run-")
+    label_rows(spark, {i: "toxic" if i < toxic else "good" for i in range(n)}).write.parquet(f"{folder}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.mixing_weights(spark, docs(spark, pairs), folder).collect()}
+    assert not kept & set(range(toxic)) and len(kept) >= 0.99 * (n - toxic)
