@@ -471,10 +471,8 @@ def page_file_round_trip(spark, folder) -> DataFrame:
     return io.read_page_files(spark, path)
 
 
-def files_to_pages(spark, folder) -> DataFrame:
-    """Page, payload and rendered files with their manifest and seeds, read back as the tables of the
-    jobs: which URL each file was read from, and what was captured for whom."""
-    part = table(spark, folder, "part").filter("p_size % 5 = 0").selectExpr("p_partkey", "p_name", "p_type", "row_number() OVER (ORDER BY p_partkey) - 1 AS ord")
+def _files_to_pages(spark, part) -> DataFrame:
+    part = number_rows(part.select("p_partkey", "p_name", "p_type"), ["p_partkey"], "ord", 0)
     first = part.selectExpr(
         "'review_harvest' AS stage", "cast(ord AS int) AS product_idx", "1 AS page_no",
         "concat('<p>', p_name, '</p><a href=\"/r?page=', p_partkey, '\">more</a>') AS html",
@@ -491,6 +489,17 @@ def files_to_pages(spark, folder) -> DataFrame:
     return pages.select("product_idx", "page_no", "url", "final_url", F.coalesce("status_code", F.lit(0)).alias("status_code"), "html")
 
 
+def files_to_pages(spark, folder) -> DataFrame:
+    """:func:`all_files_to_pages` of the fifth of the products that its SQL twin has."""
+    return _files_to_pages(spark, table(spark, folder, "part").filter("p_size % 5 = 0"))
+
+
+def all_files_to_pages(spark, folder) -> DataFrame:
+    """Page, payload and rendered files with their manifest and seeds, read back as the tables of the
+    jobs: which URL each file was read from, and what was captured for whom."""
+    return _files_to_pages(spark, table(spark, folder, "part"))
+
+
 def captured_files(spark, folder) -> DataFrame:
     """One payload file per conversation turn, read back with the product of its seed."""
     turns = table(spark, folder, "conversations").filter("turn < 3").select("conv_id", "turn", "role")
@@ -614,7 +623,7 @@ QUERIES = {
         deep_find, reviews_html, review_candidates, reviews_payload, reviews_rendered, shell_pages,
         streak_cut, review_cap, stop_fast, ordered_cuts, budget, empty_streak, run_summary, source_choice,
         payload_numbers, link_match, missing_links, seed_template, seeds, export_round_trip,
-        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, snapshot_job, harvest_job,
+        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, all_files_to_pages, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
     )
 }
