@@ -500,9 +500,8 @@ def all_files_to_pages(spark, folder) -> DataFrame:
     return _files_to_pages(spark, table(spark, folder, "part"))
 
 
-def captured_files(spark, folder) -> DataFrame:
-    """One payload file per conversation turn, read back with the product of its seed."""
-    turns = table(spark, folder, "conversations").filter("turn < 3").select("conv_id", "turn", "role")
+def _captured_files(spark, turns) -> DataFrame:
+    turns = turns.select("conv_id", "turn", "role")
     body = F.to_json(F.struct(F.concat(F.lit("api/"), F.col("turn")).alias("source_url"), F.struct("role", "turn").alias("payload")))
     name = F.format_string("review_page_%03d_%03d_browser_payload.json", F.col("conv_id") + 1, F.col("turn") + 1)
     path = io.scratch_path(spark, "captured")
@@ -512,6 +511,16 @@ def captured_files(spark, folder) -> DataFrame:
     return io.captured_for(io.read_payload_files(spark, path), seeds_).select("product_url", "payload_no", "source_url", "payload")
 
 
+def captured_files(spark, folder) -> DataFrame:
+    """:func:`all_captured_files` of the first three turns, which its SQL twin has."""
+    return _captured_files(spark, table(spark, folder, "conversations").filter("turn < 3"))
+
+
+def all_captured_files(spark, folder) -> DataFrame:
+    """One payload file per conversation turn, read back with the product of its seed."""
+    return _captured_files(spark, table(spark, folder, "conversations"))
+
+
 def snapshot_job(spark, folder) -> DataFrame:
     pages = product_pages(spark, folder).selectExpr("page_id", "url", "url AS final_url", "200 AS status_code", "html")
     seeds_ = pages.selectExpr("page_id AS ord", "url AS product_url", "'x' AS category_quota")
@@ -623,7 +632,7 @@ QUERIES = {
         deep_find, reviews_html, review_candidates, reviews_payload, reviews_rendered, shell_pages,
         streak_cut, review_cap, stop_fast, ordered_cuts, budget, empty_streak, run_summary, source_choice,
         payload_numbers, link_match, missing_links, seed_template, seeds, export_round_trip,
-        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, all_files_to_pages, snapshot_job, harvest_job,
+        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
     )
 }

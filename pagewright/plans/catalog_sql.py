@@ -382,6 +382,8 @@ SQL = {
       SELECT i AS product_idx, 1 AS page_no, 'https://shop.example/f-i.4.' || p_partkey AS url, 'https://shop.example/f-i.4.' || p_partkey || '?seen' AS final_url,
         200 AS status_code, '<p>' || p_name || '</p><a href="/r?page=' || p_partkey || '">more</a>' AS html FROM p
       UNION ALL SELECT i, 2, 'https://shop.example/r?page=' || p_partkey, 'https://shop.example/r?page=' || p_partkey, 0, '<p>' || p_type || '</p>' FROM p""",
+    "all_captured_files": """SELECT 'u/' || conv_id AS product_url, turn + 1 AS payload_no, 'api/' || turn AS source_url,
+        '{"role":"' || role || '","turn":' || turn || '}' AS payload FROM conversations""",
     "stage_manifest": f"""WITH {REVIEWS}, {PRODUCTS}, {CLEANED} SELECT (SELECT count(*) FROM products) AS products_rows, (SELECT count(*) FROM cleaned) AS reviews_rows""",
     "clean_job": f"""WITH {REVIEWS}, {CLEANED} SELECT ord, product_id, t AS review_text, review_time_display, star_rating, {norm('variant_text')} AS variant_text,
         t AS normalized_review_text FROM cleaned""",
