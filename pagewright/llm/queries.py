@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat, decontaminate, licenses, mixing, quality, sharding, simhash, tokens, urls, warc
-from pagewright.llm.common import split_words, table
+from pagewright.llm import chat, decontaminate, licenses, mixing, quality, runs, sharding, simhash, tokens, urls, warc
+from pagewright.llm.common import by_value, split_words, table
 from pagewright.sources.storage import scratch_path
 
 RULES = [
@@ -94,10 +96,36 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def repeat_some(key: int | None, words: list[bytes]) -> list[bytes]:
+    """The words, in a tenth of the documents with a part that repeats; a NULL key is never among them."""
+    n, h = len(words), zlib.crc32(str(key).encode())
+    if key is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_block_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, those of :func:`repeat_some` included."""
+    found = runs.collapse_runs(table(spark, sf_dir, "documents"), rewrite=repeat_some)
+    found = found.withColumn("best", runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_vector_packing, op2_simhash_trie, op3_quality_cascade, op4_snapshot_collapse, op5_trie_tokens,
         op6_rarest_token, op7_soft_mixing, op8_warc_salvage, op9_latent_leaks, op10_license_diagonals,
+        op13_block_convolution,
     )
 }
+
+by_value(__name__)
