@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat, decontaminate, licenses, mixing, quality, runs, sharding, simhash, tokens, urls, warc
+from pagewright.llm import chat, decontaminate, licenses, mixing, quality, runs, search, sharding, simhash, tokens, urls, warc
 from pagewright.llm.common import by_value, split_words, table
 from pagewright.sources.storage import scratch_path
 
@@ -96,6 +96,11 @@ def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 50)
+
+
 def repeat_some(key: int | None, words: list[bytes]) -> list[bytes]:
     """The words, in a tenth of the documents with a part that repeats; a NULL key is never among them."""
     n, h = len(words), zlib.crc32(str(key).encode())
@@ -124,7 +129,7 @@ QUERIES = {
     for f in (
         op1_vector_packing, op2_simhash_trie, op3_quality_cascade, op4_snapshot_collapse, op5_trie_tokens,
         op6_rarest_token, op7_soft_mixing, op8_warc_salvage, op9_latent_leaks, op10_license_diagonals,
-        op13_block_convolution,
+        op11_shared_search, op13_block_convolution,
     )
 }
 

@@ -5,6 +5,9 @@ from pagewright.llm.queries import RULES
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 SQL = {
     "op3_quality_cascade": rf"""
 WITH w AS (
@@ -31,6 +34,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR 2 * len(regexp_extract_all(t, '!')) > n_words OR 10 * n_dup_lines > 4 * n_lines
     OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM b""",
+    "op11_shared_search": rf"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents
+), n AS (
+  SELECT doc_id, count(*)::BIGINT AS n FROM t GROUP BY doc_id
+), c AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark
+), tf AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY term
+), s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (doc_id), c GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50""",
 }
 
 

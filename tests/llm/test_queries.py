@@ -19,10 +19,10 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op3_quality_cascade", "op4_snapshot_collapse", "op6_rarest_token", "op8_warc_salvage", "op10_license_diagonals"])
+@pytest.mark.parametrize("name", ["op3_quality_cascade", "op4_snapshot_collapse", "op6_rarest_token", "op8_warc_salvage", "op10_license_diagonals", "op11_shared_search"])
 def test_twins(spark, con, name):
     import __spark_entry__ as entry
 
@@ -30,7 +30,7 @@ def test_twins(spark, con, name):
     assert got == want and got[1]
 
 
-@pytest.mark.parametrize("name", ["op1_vector_packing", "op2_simhash_trie", "op5_trie_tokens", "op7_soft_mixing"])
+@pytest.mark.parametrize("name", ["op1_vector_packing", "op2_simhash_trie", "op5_trie_tokens", "op7_soft_mixing", "op13_block_convolution"])
 def test_one_row_per_document(spark, name):
     import __spark_entry__ as entry
 
