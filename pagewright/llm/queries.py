@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat, decontaminate, licenses, mixing, quality, runs, search, sharding, simhash, tokens, urls, warc
+from pagewright.llm import chat, decontaminate, jaccard, licenses, mixing, quality, runs, search, sharding, simhash, tokens, urls, warc
 from pagewright.llm.common import by_value, split_words, table
 from pagewright.sources.storage import scratch_path
 
@@ -101,6 +101,11 @@ def op11_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), 50)
 
 
+def op12_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents with a Jaccard similarity of 0.8 or more on five-word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def repeat_some(key: int | None, words: list[bytes]) -> list[bytes]:
     """The words, in a tenth of the documents with a part that repeats; a NULL key is never among them."""
     n, h = len(words), zlib.crc32(str(key).encode())
@@ -129,7 +134,7 @@ QUERIES = {
     for f in (
         op1_vector_packing, op2_simhash_trie, op3_quality_cascade, op4_snapshot_collapse, op5_trie_tokens,
         op6_rarest_token, op7_soft_mixing, op8_warc_salvage, op9_latent_leaks, op10_license_diagonals,
-        op11_shared_search, op13_block_convolution,
+        op11_shared_search, op12_matrix_join, op13_block_convolution,
     )
 }
 

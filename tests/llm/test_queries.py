@@ -30,7 +30,7 @@ def test_twins(spark, con, name):
     assert got == want and got[1]
 
 
-@pytest.mark.parametrize("name", ["op1_vector_packing", "op2_simhash_trie", "op5_trie_tokens", "op7_soft_mixing", "op13_block_convolution"])
+@pytest.mark.parametrize("name", ["op1_vector_packing", "op2_simhash_trie", "op5_trie_tokens", "op7_soft_mixing", "op12_matrix_join", "op13_block_convolution"])
 def test_one_row_per_document(spark, name):
     import __spark_entry__ as entry
 
