@@ -30,15 +30,19 @@ class Chunks:
         return Chunks(self.rows.withColumn(name, value), self.order)
 
     def running(self, name: str, kind: str, value: Column, exclusive: bool = False) -> Chunks:
-        """Add ``name``: sum, max or min of ``value`` over the group's rows up to this one, this one
-        included unless ``exclusive`` (before the first value NULL, for sums 0)."""
-        fold = _FOLDS[kind]
+        """Add ``name``: sum, max, min or last of ``value`` over the group's rows up to this one, this one
+        included unless ``exclusive`` (before the first value NULL, for sums 0). NULLs count for none."""
+        fold = _FOLDS.get(kind)
         last = -1 if exclusive else Window.currentRow
         in_order = [F.col(c).asc_nulls_last() for c in self.order]
+        at = F.struct(*[x for c in self.order for x in (F.col(c).isNull(), F.col(c))])
+        if kind == "last":
+            fold = lambda v: F.last(v, ignorenulls=True)
         frame = Window.partitionBy(_GROUP, _CHUNK).orderBy(*in_order)
         inside = fold(value).over(frame.rowsBetween(Window.unboundedPreceding, last))
         # one row per group and chunk: as many as there are groups, and one more per chunk boundary
-        per_chunk = self.rows.groupBy(_GROUP, _CHUNK).agg(fold(value).alias("_chunk_value"))
+        of_chunk = F.max_by(value, F.when(value.isNotNull(), at)) if kind == "last" else fold(value)
+        per_chunk = self.rows.groupBy(_GROUP, _CHUNK).agg(of_chunk.alias("_chunk_value"))
         earlier = Window.partitionBy(_GROUP).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carried = per_chunk.select(_GROUP, _CHUNK, fold("_chunk_value").over(earlier).alias("_carried"))
         carried = stored(carried.filter(F.col("_carried").isNotNull()), "carried")
@@ -47,6 +51,7 @@ class Chunks:
             "sum": F.coalesce(F.col("_carried"), F.lit(0)) + F.coalesce(F.col("_own"), F.lit(0)),
             "max": F.greatest("_carried", "_own"),
             "min": F.least("_carried", "_own"),
+            "last": F.coalesce("_own", "_carried"),
         }[kind]
         return Chunks(rows.withColumn(name, merged).drop("_carried", "_own"), self.order)
 
