@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
 from pagewright.functions import text as tx
-from pagewright.operators import clean, features, log, pages as pg
+from pagewright.operators import clean, features, log, pages as pg, temporal
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
 from pagewright.sources import io
@@ -489,11 +489,6 @@ def _files_to_pages(spark, part) -> DataFrame:
     return pages.select("product_idx", "page_no", "url", "final_url", F.coalesce("status_code", F.lit(0)).alias("status_code"), "html")
 
 
-def files_to_pages(spark, folder) -> DataFrame:
-    """:func:`all_files_to_pages` of the fifth of the products that its SQL twin has."""
-    return _files_to_pages(spark, table(spark, folder, "part").filter("p_size % 5 = 0"))
-
-
 def all_files_to_pages(spark, folder) -> DataFrame:
     """Page, payload and rendered files with their manifest and seeds, read back as the tables of the
     jobs: which URL each file was read from, and what was captured for whom."""
@@ -511,11 +506,6 @@ def _captured_files(spark, turns) -> DataFrame:
     return io.captured_for(io.read_payload_files(spark, path), seeds_).select("product_url", "payload_no", "source_url", "payload")
 
 
-def captured_files(spark, folder) -> DataFrame:
-    """:func:`all_captured_files` of the first three turns, which its SQL twin has."""
-    return _captured_files(spark, table(spark, folder, "conversations").filter("turn < 3"))
-
-
 def all_captured_files(spark, folder) -> DataFrame:
     """One payload file per conversation turn, read back with the product of its seed."""
     return _captured_files(spark, table(spark, folder, "conversations"))
@@ -622,6 +612,50 @@ def features_job(spark, folder) -> DataFrame:
     return spark.read.parquet(f"{processed}/product_aggregates.parquet")
 
 
+def asof_orders(spark, folder) -> DataFrame:
+    """The latest order of a customer at or before each of their events. Order dates are brought into the
+    month of the events."""
+    events = table(spark, folder, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_custkey AS user_id", "o_orderkey", "o_totalprice",
+        "timestamp'2024-01-01' + make_dt_interval(datediff(o_orderdate, '1995-01-01') % 30) AS ordered",
+    )
+    found = temporal.asof_join(events, orders, "user_id", "ts", "ordered", right_order=["o_orderkey"])
+    return found.select("event_id", "user_id", "o_orderkey", "o_totalprice", F.unix_micros("ordered").alias("ordered"))
+
+
+def asof_recent(spark, folder) -> DataFrame:
+    """Page views with the last click of the user strictly before them, three days old at most."""
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    clicks = events.filter("event_type = 'click'").select("user_id", F.col("ts").alias("clicked"), F.col("event_id").alias("click_id"))
+    views = events.filter("event_type = 'view'").select("event_id", "user_id", "ts")
+    found = temporal.asof_join(views, clicks, "user_id", "ts", "clicked", ["click_id"], tolerance="3 days", exact=False, how="inner")
+    return found.select("event_id", "click_id", F.unix_micros("clicked").alias("clicked"))
+
+
+def _visits(spark, folder) -> DataFrame:
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    cents = F.sum(F.round(F.col("value") * 100).cast("long"))
+    return temporal.sessions(events, "user_id", "ts", "12 hours", order=["event_id"], cents=cents)
+
+
+def visits(spark, folder) -> DataFrame:
+    """Sessions of users: events less than twelve hours apart."""
+    return _visits(spark, folder).select(
+        "user_id", "session", F.unix_micros("session_start").alias("session_start"), F.unix_micros("session_end").alias("session_end"), "n_rows", "cents"
+    )
+
+
+def overlapping_visits(spark, folder) -> DataFrame:
+    """Pairs of visits of one region that overlap in time."""
+    nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("region"))
+    home = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey").join(nation, "c_nationkey")
+    placed = _visits(spark, folder).join(home.drop("c_nationkey"), "user_id").select("region", "user_id", "session", "session_start", "session_end")
+    pairs = temporal.overlapping(placed, "region", "session_start", "session_end", ["user_id", "session"])
+    both = F.unix_micros(F.least("session_end", "session_end_b")) - F.unix_micros("session_start_b")
+    return pairs.select("region", "user_id", "session", "user_id_b", "session_b", both.alias("micros"))
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -632,7 +666,8 @@ QUERIES = {
         deep_find, reviews_html, review_candidates, reviews_payload, reviews_rendered, shell_pages,
         streak_cut, review_cap, stop_fast, ordered_cuts, budget, empty_streak, run_summary, source_choice,
         payload_numbers, link_match, missing_links, seed_template, seeds, export_round_trip,
-        manifest_round_trip, page_file_round_trip, files_to_pages, captured_files, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
+        manifest_round_trip, page_file_round_trip, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
+        asof_orders, asof_recent, visits, overlapping_visits,
     )
 }

@@ -211,6 +211,13 @@ CARD = f"""cards AS (
     2 AS image_count, true AS media_flag, false AS seller_reply_flag FROM part
   UNION ALL SELECT p_partkey, 1, {squeeze("'Seller reply ' || p_type")}, 0, false, true FROM part)"""
 
+# sessions of users, twelve hours apart
+VISITS = """WITH g AS (
+    SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 12 HOUR, true)::INT AS fresh FROM events
+  ), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id)::BIGINT AS session FROM g
+  ), v AS (SELECT user_id, session, min(ts) AS session_start, max(ts) AS session_end, count(*)::BIGINT AS n_rows,
+      sum(round(value * 100)::BIGINT)::BIGINT AS cents FROM s GROUP BY ALL)"""
+
 SQL = {
     "clean_reviews": f"""WITH base AS (
         SELECT doc_id * 2 AS ord, source AS product_id, text AS review_text, CAST(doc_id % 7 AS VARCHAR) AS review_time_display,
@@ -372,12 +379,6 @@ SQL = {
       FROM rows_ WHERE NOT (kind = 1 AND no = 5) AND (NOT blocked OR k < 1200 OR (k = 1200 AND no = 1))""",
     "harvest_dropped": f"""WITH {HARVESTED} SELECT k AS seed, u || '?page=5' AS url, 'dropped' AS why FROM p WHERE kind = 1
       UNION ALL SELECT k, u || '?page=3', 'missing' FROM p WHERE kind = 5""",
-    "files_to_pages": """WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part WHERE p_size % 5 = 0)
-      SELECT i AS product_idx, 1 AS page_no, 'https://shop.example/f-i.4.' || p_partkey AS url, 'https://shop.example/f-i.4.' || p_partkey || '?seen' AS final_url,
-        200 AS status_code, '<p>' || p_name || '</p><a href="/r?page=' || p_partkey || '">more</a>' AS html FROM p
-      UNION ALL SELECT i, 2, 'https://shop.example/r?page=' || p_partkey, 'https://shop.example/r?page=' || p_partkey, 0, '<p>' || p_type || '</p>' FROM p""",
-    "captured_files": """SELECT 'u/' || conv_id AS product_url, turn + 1 AS payload_no, 'api/' || turn AS source_url,
-        '{"role":"' || role || '","turn":' || turn || '}' AS payload FROM conversations WHERE turn < 3""",
     "all_files_to_pages": """WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part)
       SELECT i AS product_idx, 1 AS page_no, 'https://shop.example/f-i.4.' || p_partkey AS url, 'https://shop.example/f-i.4.' || p_partkey || '?seen' AS final_url,
         200 AS status_code, '<p>' || p_name || '</p><a href="/r?page=' || p_partkey || '">more</a>' AS html FROM p
@@ -393,4 +394,18 @@ SQL = {
     "features_job": f"""WITH {REVIEWS}, {PRODUCTS},
       cleaned AS (SELECT DISTINCT product_id, {norm('review_text')} AS review_text, review_time_display, star_rating FROM reviews),
       {aggregates('cleaned', norm('category_breadcrumb'))}""",
+    "asof_orders": """WITH o AS (
+        SELECT o_custkey, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (date_diff('day', DATE '1995-01-01', o_orderdate::DATE) % 30) AS ordered,
+          max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY ALL)
+      SELECT event_id, user_id, o_orderkey, o_totalprice, epoch_us(ordered) AS ordered
+      FROM events ASOF LEFT JOIN o ON user_id = o_custkey AND ts >= ordered""",
+    "asof_recent": """WITH c AS (SELECT user_id, ts AS clicked, max(event_id) AS click_id FROM events WHERE event_type = 'click' GROUP BY ALL)
+      SELECT event_id, click_id, epoch_us(clicked) AS clicked FROM (SELECT * FROM events WHERE event_type = 'view') v
+      ASOF JOIN c ON v.user_id = c.user_id AND v.ts > c.clicked WHERE clicked >= v.ts - INTERVAL 3 DAY""",
+    "visits": f"""{VISITS} SELECT user_id, session, epoch_us(session_start) AS session_start, epoch_us(session_end) AS session_end, n_rows, cents FROM v""",
+    "overlapping_visits": f"""{VISITS}, r AS (SELECT v.*, n_regionkey AS region FROM v JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+      SELECT a.region, a.user_id, a.session, b.user_id AS user_id_b, b.session AS session_b,
+        epoch_us(least(a.session_end, b.session_end)) - epoch_us(b.session_start) AS micros
+      FROM r a JOIN r b ON a.region = b.region AND a.session_end >= b.session_start
+        AND (a.session_start, a.user_id, a.session) < (b.session_start, b.user_id, b.session)""",
 }
