@@ -36,7 +36,8 @@ from pagewright.sources.storage import stored
 
 BLOCK_COST = 1 << 16  # of the items that are scored together: their terms, and ROOT_COST for each
 ROOT_COST = 32
-CELLS = 1 << 21  # accumulators held at a time
+ROWS = 256  # texts taken apart at a time
+CELLS = 1 << 20  # accumulators held at a time
 HELD = 1 << 18  # candidates held before the worse ones go
 PARTS = 32  # of an item's candidates
 # letters A-Z lower-cased, other ASCII signs that are no digits or letters blank, on UTF-8 bytes
@@ -47,7 +48,8 @@ def forward_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, n, terms, counts) of each row with terms; n is the number of terms with repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pieces = (batch.slice(lo, ROWS) for batch in batches for lo in range(0, batch.num_rows, ROWS))
+        for batch in pieces:
             found = [Counter((t.as_py() or "").encode().translate(TERMS).split()) for t in batch.column(1)]
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             terms = pa.array([w for f in found for w in f], pa.string())
