@@ -42,14 +42,18 @@ def review_cap_cut(log: DataFrame, cap: int | None = None, keys=("run", "product
     """
     if cap is None:
         return log
-    by_product = chunk(log, keys, ["seq"])
-    counted = by_product.running("_before", "sum", F.col("n"), exclusive=True).done()
-    by_seed = chunk(counted, [*keys, "seed"], ["seq"])
-    both = by_seed.running("_in_seed", "sum", F.col("n"), exclusive=True).done()
-    keep = (F.col("_before") < cap) | (F.col("_in_seed") == 0)
+    counted = chunk(log, keys, ["seq"]).running("_before", "sum", F.col("n"), exclusive=True).done()
+    # where the cap is reached, a seed keeps its pages up to the first with rows
+    seed = [*keys, "seed"]
+    firsts = log.groupBy(*[F.col(c).alias(f"_{c}") for c in seed]).agg(F.min(F.when(F.col("n") != 0, F.col("seq"))).alias("_full"))
+    same = F.lit(True)
+    for c in seed:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    both = counted.join(firsts, same)
+    keep = (F.col("_before") < cap) | F.col("_full").isNull() | (F.col("seq") <= F.col("_full"))
     if "exempt" in log.columns:
         keep = keep | F.col("exempt")
-    return both.filter(keep).drop("_before", "_in_seed")
+    return both.filter(keep).select(*log.columns)
 
 
 def stop_fast_cut(log: DataFrame, keep_blocked: bool = False) -> DataFrame:
