@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.functions import text as tx
+from pagewright.sources.storage import stored
 
 # Which columns get which treatment, and what makes two rows the same.
 PRODUCT_TEXT = ("title", "category_breadcrumb", "shop_name", "product_description", "variant_summary")
@@ -21,12 +22,13 @@ ORD = "_ord"
 
 def with_order(df: DataFrame, order_by: str | None) -> tuple[DataFrame, str]:
     """The table with a column that holds its input order: the caller's, or the read order. The latter
-    follows the files only if there is one, so a read of several files needs ``order_by``."""
+    follows the files only if there is one, so a read of several files needs ``order_by``. It is written
+    down, as a second pass over the plan could give other numbers."""
     if order_by is not None:
         return df, order_by
     if len(df.inputFiles()) > 1:
         raise ValueError("the table comes from several files; name the column of its order in order_by")
-    return df.withColumn(ORD, F.monotonically_increasing_id()), ORD
+    return stored(df.withColumn(ORD, F.monotonically_increasing_id()), "ordered"), ORD
 
 
 def column_or(df: DataFrame, name: str, default) -> Column:
@@ -40,17 +42,25 @@ def number_column(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double") if isinstance(kind, T.NumericType) else tx.to_number(F.col(name))
 
 
+def key_digest(keys) -> Column:
+    """The keys as 32 bytes; NULL keys equal each other. Keys may be whole texts."""
+    parts = [F.sha2(F.col(k).cast("string"), 256).alias(k) for k in keys]
+    return F.unhex(F.sha2(F.to_json(F.struct(*parts)), 256))
+
+
 def keep_first(df: DataFrame, keys, order_by: str) -> DataFrame:
-    """One row per key combination, the first by ``order_by``; NULL keys equal each other.
+    """One row per key combination, the first by ``order_by`` (NULL last); NULL keys equal each other.
+    ``order_by`` tells the rows of a key apart; rows equal in both all stay.
 
-    An aggregate, not a window: copies of a row meet in their own partition first, so a key with
-    very many copies sends one row per partition. Rows are grouped by a digest of the keys because
-    keys may be whole texts.
+    The smallest order per digest of the keys is a hash aggregate of fixed width, in which copies meet in
+    their own partition first. The rows are then picked by (digest, order), which differ from row to row, so
+    a key with very many copies is no large group anywhere and no whole row is sorted for the aggregate.
     """
-    parts = [F.sha2(F.col(k).cast("string"), 256).alias(k) for k in keys]
-    digest = F.unhex(F.sha2(F.to_json(F.struct(*parts)), 256))
-    first = F.min_by(F.struct(*df.columns), F.col(order_by))
-    return df.groupBy(digest.alias("_key")).agg(first.alias("_row")).select("_row.*")
+    key, first = "_key_digest", "_first_order"
+    keyed = df.withColumn(key, key_digest(keys))
+    firsts = keyed.groupBy(F.col(key).alias("_digest")).agg(F.min(order_by).alias(first))
+    same = (F.col(key) == F.col("_digest")) & F.col(order_by).eqNullSafe(F.col(first))
+    return keyed.join(firsts, same, "left_semi").drop(key)
 
 
 def clean_products(products: DataFrame, order_by: str | None = None) -> DataFrame:
@@ -63,8 +73,8 @@ def clean_products(products: DataFrame, order_by: str | None = None) -> DataFram
     return keep_first(rows, PRODUCT_KEY, order).drop(ORD)
 
 
-def clean_reviews(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
-    """Normalized and masked review rows, first one per product, text, time and star."""
+def treated_reviews(reviews: DataFrame) -> DataFrame:
+    """Normalized and masked review rows, copies included."""
     have = set(reviews.columns)
     treated = {c: tx.normalize_text(F.col(c)) for c in REVIEW_TEXT if c in have}
     if "reviewer_name_masked" in have:
@@ -73,6 +83,11 @@ def clean_reviews(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
         treated["star_rating"] = number_column(reviews, "star_rating")
     treated |= {c: tx.fill_flag(F.col(c)) for c in REVIEW_FLAGS if c in have}
     treated["normalized_review_text"] = tx.normalize_text(F.col("review_text"))
-    rows, order = with_order(reviews.withColumns(treated), order_by)
+    return reviews.withColumns(treated)
+
+
+def clean_reviews(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
+    """Normalized and masked review rows, first one per product, text, time and star."""
+    rows, order = with_order(treated_reviews(reviews), order_by)
     keys = [c for c in REVIEW_KEY if c in rows.columns]
     return keep_first(rows, keys, order).drop(ORD)
