@@ -15,7 +15,7 @@ from pagewright.functions import text as tx
 from pagewright.operators import clean, features, log, pages as pg, temporal
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
-from pagewright.sources import io
+from pagewright.sources import incremental, io
 
 WHEN = "2026-01-01T00:00:00+00:00"
 
@@ -656,6 +656,25 @@ def overlapping_visits(spark, folder) -> DataFrame:
     return pairs.select("region", "user_id", "session", "user_id_b", "session_b", both.alias("micros"))
 
 
+def incremental_keep_first(spark, folder) -> DataFrame:
+    """The first document of each text and language from a store into which the documents came in three
+    batches, the latest ones first."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text", "n_chars")
+    store = incremental.create_store(spark, io.scratch_path(spark, "store"), docs.schema, ["text", "lang"], "doc_id", slices=16, buckets=4)
+    for batch in (2, 0, 1):
+        incremental.merge(store, docs.filter(F.col("doc_id") % 3 == batch))
+    return store.read().select("doc_id", "source", "lang", "n_chars")
+
+
+def incremental_clean(spark, folder) -> DataFrame:
+    """Cleaned reviews kept up to date in a store: two harvests, the second one with all of the first."""
+    raw = reviews(spark, folder)
+    store = jobs.review_store(spark, io.scratch_path(spark, "store"), raw, slices=16, buckets=4)
+    jobs.merge_reviews(store, raw.filter("ord % 2 = 1"))
+    jobs.merge_reviews(store, raw)
+    return store.read()
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -668,6 +687,6 @@ QUERIES = {
         payload_numbers, link_match, missing_links, seed_template, seeds, export_round_trip,
         manifest_round_trip, page_file_round_trip, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
-        asof_orders, asof_recent, visits, overlapping_visits,
+        asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
     )
 }

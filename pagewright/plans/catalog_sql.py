@@ -408,4 +408,8 @@ SQL = {
         epoch_us(least(a.session_end, b.session_end)) - epoch_us(b.session_start) AS micros
       FROM r a JOIN r b ON a.region = b.region AND a.session_end >= b.session_start
         AND (a.session_start, a.user_id, a.session) < (b.session_start, b.user_id, b.session)""",
+    "incremental_keep_first": """SELECT doc_id, source, lang, n_chars FROM documents
+      QUALIFY row_number() OVER (PARTITION BY text, lang ORDER BY doc_id) = 1""",
+    "incremental_clean": f"""WITH {REVIEWS}, {CLEANED} SELECT ord, product_id, t AS review_text, review_time_display, star_rating, {norm('variant_text')} AS variant_text,
+        t AS normalized_review_text FROM cleaned""",
 }

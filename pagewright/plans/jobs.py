@@ -9,7 +9,7 @@ from pagewright.functions import html as hx
 from pagewright.operators import clean, features, log, pages as pg
 from pagewright.operators.hotkeys import number_rows
 from pagewright.schemas import CRAWL_MANIFEST, PRODUCT_SNAPSHOTS, REVIEWS_RAW
-from pagewright.sources import io
+from pagewright.sources import incremental, io
 from pagewright.sources.storage import stored
 
 
@@ -216,6 +216,20 @@ def clean_validate(spark, interim: str, processed: str) -> dict:
     return io.write_stage_manifest(spark, {**counts, **exports}, f"{processed}/crawl_manifest.json")
 
 
+def review_store(spark, path: str, reviews, **sizes) -> incremental.Store:
+    """A new, empty store of cleaned reviews for raw ones with the columns of ``reviews``."""
+    schema = clean.treated_reviews(reviews).schema
+    keys = [c for c in clean.REVIEW_KEY if c in schema.names]
+    return incremental.create_store(spark, path, schema, keys, "ord", **sizes)
+
+
+def merge_reviews(store: incremental.Store, reviews) -> dict[str, int]:
+    """Clean the reviews of one more harvest and merge them into the store, which then holds what
+    :func:`pagewright.operators.clean.clean_reviews` gives for all harvests together. Only the new rows are
+    cleaned, and only slices with a change are written."""
+    return incremental.merge(store, clean.treated_reviews(reviews))
+
+
 def metadata_features(spark, processed: str) -> dict:
     """Review features and product aggregates of the cleaned tables, exported with a manifest. The
     features are stored first and the aggregates read them back, so they are computed once."""

@@ -1,0 +1,106 @@
+import random
+import re
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagewright.sources import incremental as inc
+
+SCHEMA = "ord long, k string, k2 int, text string"
+
+
+def rows_of(rng, n, keys):
+    return [(rng.randrange(10**6), rng.choice([None, *keys]), rng.choice([None, 1, 2]), f"t{rng.random()}") for _ in range(n)]
+
+
+def first_rows(batches):
+    best = {}
+    for r in (r for b in batches for r in b):
+        key = r[1:3]
+        if key not in best or r[0] < best[key][0]:
+            best[key] = r
+    return sorted(map(str, best.values()))
+
+
+def new_store(spark, slices=8, buckets=4):
+    path = tempfile.mkdtemp(prefix="run-")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return inc.create_store(spark, f"{path}/s", schema, ["k", "k2"], slices=slices, buckets=buckets)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def content(store):
+    return sorted(str(tuple(r)) for r in store.read().collect())
+
+
+def test_batches_in_any_order_give_the_first_rows(spark):
+    rng = random.Random(2)
+    store, batches = new_store(spark), []
+    for n in (200, 0, 150, 3):
+        rows = rows_of(rng, n, [f"k{i}" for i in range(60)])
+        batches.append(rows)
+        before = len(first_rows(batches[:-1]))
+        done = inc.merge(store, frame(spark, rows))
+        assert content(store) == first_rows(batches)
+        assert done["new"] == len(first_rows(batches)) - before
+    again = inc.merge(store, frame(spark, batches[0]))
+    assert again == {"new": 0, "replaced": 0, "slices": 0} and content(store) == first_rows(batches)
+
+
+def test_a_store_is_opened_again(spark):
+    store = new_store(spark)
+    rows = rows_of(random.Random(1), 100, ["a", "b", "c"])
+    inc.merge(store, frame(spark, rows))
+    spark.sql(f"DROP TABLE {store.table}")  # as a later session finds it
+    again = inc.open_store(spark, store.path)
+    assert (again.keys, again.order, again.slices, again.buckets) == (("k", "k2"), "ord", 8, 4)
+    assert content(again) == first_rows([rows])
+    inc.merge(again, frame(spark, [(-1, "a", 1, "first")]))
+    assert content(again) == first_rows([rows, [(-1, "a", 1, "first")]])
+
+
+def test_only_changed_slices_are_written(spark):
+    store = new_store(spark, slices=32)
+    inc.merge(store, spark.range(2000).select(F.col("id").alias("ord"), F.col("id").cast("string").alias("k"), F.lit(1).alias("k2"), F.lit("x").alias("text")))
+    files = lambda: {r["f"] for r in spark.table(store.table).select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before = files()
+    done = inc.merge(store, frame(spark, [(-5, "7", 1, "earlier"), (9999, "8", 1, "later, no change"), (1, "new", 1, "y")]))
+    changed = {re.search(r"_slice=\d+", f)[0] for f in before ^ files()}
+    assert done["new"] == 1 and done["replaced"] == 1 and done["slices"] == len(changed) <= 2
+    assert store.read().filter("k = '7'").first()["text"] == "earlier" and store.read().count() == 2001
+
+
+def test_the_stored_side_is_not_shuffled(spark):
+    store = new_store(spark)
+    inc.merge(store, frame(spark, rows_of(random.Random(3), 300, [f"k{i}" for i in range(99)])))
+    batch = inc._placed(store, frame(spark, rows_of(random.Random(4), 50, ["k1", "k2", "z"])))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = inc.changes_of(store, batch)
+        plans = [p._jdf.queryExecution().executedPlan().toString() for p in (changes, inc.merged_rows(store, changes, [0, 1, 2]))]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        scan = next(line for line in plan.splitlines() if "FileScan" in line and store.table in line)
+        assert "Bucketed: true" in scan and re.search(r"PartitionFilters: \[[^\]]*_slice", scan)
+        lines = plan.splitlines()
+        above, depth = lines.index(scan), scan.index("FileScan")
+        parents = []
+        for line in reversed(lines[:above]):  # the nodes above the scan, up to the join
+            at = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            if at < depth:
+                depth = at
+                parents.append(line.strip(" :+-"))
+                if "Join" in line:
+                    break
+        assert "Join" in parents[-1] and not any("Exchange" in p for p in parents)
+
+
+def test_a_store_refuses_clashing_columns(spark):
+    schema = spark.createDataFrame([], "ord long, _key string").schema
+    with pytest.raises(ValueError):
+        inc.create_store(spark, tempfile.mkdtemp(prefix="run-") + "/s", schema, ["_key"])
