@@ -11,8 +11,9 @@ The matrix has a row per distinct set of n-grams and a column per n-gram; rows t
 3. The product runs over these columns. A column splits into classes of sizes that can meet; columns with the
    same members are one. Every member is multiplied with one member of its column, a few times over, and rows
    that are linked need no further product among themselves. The pairs that are then still open are
-   multiplied block by block of members: a task accumulates the overlaps of one block with another and keeps
-   the pairs that reach the bound of their sizes. So no column has to fit in one task.
+   multiplied block by block of members, so that no column has to fit in one task: a task accumulates the
+   overlaps of the rows' rare parts and discards pairs that cannot reach the bound of their sizes any more.
+   All pairs that are left are multiplied in full and kept if they reach the bound.
 4. Connected components of all links.
 
 Documents with equal sets are one row of the matrix and linked. NULL and empty texts have no n-grams and no
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import LOWER, by_value
-from pagewright.llm.simhash import components, star
+from pagewright.llm.simhash import components
 from pagewright.sources.storage import stored
 
 BLOCK_ENTRIES = 1 << 22  # of the matrix in one column or row block, about
@@ -85,8 +86,8 @@ def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
 
 def _cut(block: np.ndarray, owner: np.ndarray, t1: np.ndarray, t2: np.ndarray, n: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     """One row per block: the matrix rows that have entries in it (t1, t2, n), the number of entries of
-    each, and the entries. ``owner`` is the matrix row of an entry."""
-    order = np.lexsort((owner, block))
+    each, and the entries. ``owner`` is the matrix row of an entry, in rising order."""
+    order = np.argsort(block, kind="stable")  # the entries of a row stand together
     block, owner, values = block[order], owner[order], values[order]
     fresh = np.flatnonzero(np.append(len(block) > 0, (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])))
     counts = np.diff(np.append(fresh, len(block)))
@@ -116,7 +117,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], own_rows: bool) -> tuple[np.nda
     order = np.lexsort((block, t2, t1))
     changes = lambda x: np.append(len(order) > 0, x[order][1:] != x[order][:-1])[: len(order)]
     fresh = changes(t1) | changes(t2)
-    row = np.empty(len(order), np.int64)
+    row = np.empty(len(order), np.int32)
     row[order] = np.cumsum(fresh) - 1
     firsts = order[fresh]
     owner = np.repeat(row, counts)
@@ -140,7 +141,7 @@ def column_parts(docs: DataFrame, text: str, size: int, blocks: int) -> DataFram
             sizes = np.array([len(g) for g in grams], np.int64)
             values = np.concatenate([np.empty(0, np.uint64), *grams])
             block = (values >> np.uint64(20)) % np.uint64(blocks)
-            return _cut(block, np.repeat(np.arange(len(grams)), sizes), t1, t2, sizes, values)
+            return _cut(block, np.repeat(np.arange(len(grams), dtype=np.int32), sizes), t1, t2, sizes, values)
 
         for batch in batches:
             for t in batch.column(0):
@@ -166,11 +167,15 @@ def row_parts(parts: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t1, t2, n, owner, entries = _gathered(batches, own_rows=True)
-        _, at, rows = np.unique(entries, return_inverse=True, return_counts=True)
-        shared = rows[at] > 1
-        often = np.minimum(63, 3 * np.log2(rows[at][shared])).astype(np.uint64)
-        keyed = (often << np.uint64(57)) | (entries[shared] & _LOW)
-        owner = owner[shared]
+        order = np.argsort(entries)
+        owner, entries = owner[order], entries[order]
+        first = np.flatnonzero(np.append(len(entries) > 0, entries[1:] != entries[:-1]))
+        rows = np.diff(np.append(first, len(entries)))
+        shared = np.repeat(rows > 1, rows)
+        often = np.minimum(63, 3 * np.log2(np.repeat(rows[rows > 1], rows[rows > 1]))).astype(np.uint64)
+        keyed, owner = (often << np.uint64(57)) | (entries[shared] & _LOW), owner[shared]
+        order = np.argsort(owner, kind="stable")
+        owner, keyed = owner[order], keyed[order]
         yield _cut(t1.view(np.uint64)[owner] % np.uint64(blocks), owner, t1, t2, n, keyed)
 
     return parts.repartition(blocks, "block").mapInArrow(run, PARTS)
@@ -232,22 +237,22 @@ def still_open(columns: DataFrame) -> DataFrame:
     return columns.join(mixed.filter("members > top.k AND homes > 0").drop("homes"), "column")
 
 
-def _similar(common, a, b, percent: int):
-    return (100 + percent) * common >= percent * (a + b)
+def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose rows are similar."""
+    left = rows.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("entries").alias("ea"))
+    right = rows.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("entries").alias("eb"))
+    both = stored(pairs.distinct(), "pairs").join(right, "b").join(left, "a")
+    common = F.size(F.array_intersect("ea", "eb"))
+    return both.filter((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def round_links(open_rows: DataFrame, rows: DataFrame, percent: int, seed: int) -> DataFrame:
-    """(a, b): similar rows, one of them a column's member at home that a hash picks."""
+def round_pairs(open_rows: DataFrame, percent: int, seed: int) -> DataFrame:
+    """(a, b): members of a column and one of its members at home, which a hash picks."""
     order = F.struct(F.xxhash64("node", F.lit(seed)), "node", "n", "label")
     picked = open_rows.filter("home").groupBy("column").agg(F.min(order).alias("p"))
     pairs = open_rows.join(picked, "column").filter("label <> p.label")
-    sizes = (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
-    pairs = pairs.filter(sizes).select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-    left = rows.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("entries").alias("ea"))
-    right = rows.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("entries").alias("eb"))
-    both = stored(pairs, "pairs").join(right, "b").join(left, "a")
-    common = F.size(F.array_intersect("ea", "eb"))
-    return both.filter(_similar(common, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    pairs = pairs.filter(100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
+    return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -266,10 +271,25 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_links(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) that join exactly what the similar pairs of open columns join, beside what has one label. The
-    members with a column's most frequent label have blocks of their own, which are not multiplied among
-    themselves."""
+def may_link(left: tuple, right: tuple, percent: int) -> np.ndarray:
+    """Which rows of one block can be similar to which of another. A block is (heads, sizes, entries kept).
+    Of two rows, an entry of one's head that comes before the end of the other's head is in that head or not
+    in the other row at all, so the entries that a row surely has alone are counted; what is left has to
+    reach the overlap that the sizes ask for."""
+    common = overlaps(left[0], right[0])
+    sizes = left[1][:, None] + right[1]
+    least = (percent * sizes + 99 + percent) // (100 + percent)
+    out = common > 0
+    for rows, others, shared, turn in ((left, right, common, lambda x: x), (right, left, common.T, np.transpose)):
+        ends = np.array([h[-1] for h in others[0]], np.int64).view(np.uint64)
+        within = np.stack([np.searchsorted(h.view(np.uint64), ends, "right") for h in rows[0]])
+        out &= turn(rows[2][:, None] - (within - shared)) >= least
+    return out
+
+
+def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of open columns that can be similar and have different labels. The members with a
+    column's most frequent label have blocks of their own, which are not multiplied among themselves."""
     own, others = F.ceil(F.col("top.w") / MEMBERS), F.ceil((F.col("weight") - F.col("top.w")) / MEMBERS)
     top, dealt = F.col("label") == F.col("top.label"), F.xxhash64("node")
     dealt = open_rows.withColumn("block", F.when(top, others + F.pmod(dealt, own)).otherwise(F.pmod(dealt, others)))
@@ -280,24 +300,22 @@ def block_links(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFram
     )
 
     def run(found: pa.Table) -> pa.Table:
-        nodes, labels, n, home, block, p, q = (
-            found.column(c).to_numpy() for c in ("node", "label", "n", "home", "block", "p", "q")
+        nodes, labels, n, kept, home, block, p, q = (
+            found.column(c).to_numpy() for c in ("node", "label", "n", "kept", "home", "block", "p", "q")
         )
-        entries = [e.values.to_numpy() for e in found.column("entries")]
+        heads = [e.values.to_numpy() for e in found.column("heads")]
         left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
         a = b = np.empty(0, np.int64)
         if len(left) and len(right):
-            common = overlaps([entries[i] for i in left], [entries[i] for i in right])
-            alike = _similar(common, n[left][:, None], n[right], percent)
-            alike &= (labels[left][:, None] != labels[right]) & (home[left][:, None] | home[right])
-            i, j = np.nonzero(alike)
-            a, b = left[i], right[j]
-        label = star(len(nodes), a, b)
-        tied = np.flatnonzero(label != np.arange(len(nodes)))
-        return pa.table({"a": nodes[label[tied]], "b": nodes[tied]})
+            part = lambda at: ([heads[i] for i in at], n[at], kept[at])
+            close = may_link(part(left), part(right), percent) & (labels[left][:, None] != labels[right])
+            close &= home[left][:, None] | home[right]
+            i, j = np.nonzero(close)
+            a, b = nodes[left[i]], nodes[right[j]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    whole = tasks.join(rows.select("node", "entries"), "node")
-    return whole.groupBy("column", "p", "q").applyInArrow(run, "a long, b long")
+    heads = rows.select("node", F.size("entries").cast("long").alias("kept"), F.slice("entries", F.lit(1), F.col("head").cast("int")).alias("heads"))
+    return tasks.join(heads, "node").groupBy("column", "p", "q").applyInArrow(run, "a long, b long")
 
 
 def jaccard_labels(rows: DataFrame, percent: int) -> DataFrame | None:
@@ -307,7 +325,8 @@ def jaccard_labels(rows: DataFrame, percent: int) -> DataFrame | None:
         open_rows = stored(still_open(with_labels(columns, labels)), "open")
         if open_rows.isEmpty():
             break
-        found = round_links(open_rows, rows, percent, seed) if seed < ROUNDS else block_links(open_rows, rows, percent)
+        pairs = round_pairs(open_rows, percent, seed) if seed < ROUNDS else block_pairs(open_rows, rows, percent)
+        found = verified(pairs, rows, percent)
         links = found if labels is None else found.unionByName(labels.select(F.col("label").alias("a"), F.col("node").alias("b")))
         labels = components(links)
     return labels

@@ -100,6 +100,30 @@ def test_overlaps():
     assert got.tolist() == [[len(set(a) & set(b)) for b in rows[8:]] for a in rows[:8]]
 
 
+def test_bounds_discard_no_similar_pair():
+    """Rows whose rarest entries are known: what can be discarded is not similar."""
+    rng = np.random.default_rng(3)
+    discarded = 0
+    for _ in range(300):
+        base = rng.choice(400, 60, replace=False)
+        pair = [np.sort(np.unique(np.concatenate([base, rng.choice(400, rng.integers(0, 14))]))[: rng.integers(50, 75)].astype(np.int64)) for _ in range(2)]
+        n = [len(x) + int(rng.integers(0, 9)) for x in pair]  # some entries that no other row has
+        blocks = []
+        for x, size in zip(pair, n, strict=True):
+            head = len(x) - -(-80 * size // 100) + 1
+            if head <= 0:
+                break
+            blocks.append(([x[:head]], np.array([size]), np.array([len(x)])))
+        if len(blocks) < 2:
+            continue
+        common = len(set(pair[0]) & set(pair[1]))
+        similar = 180 * common >= 80 * sum(n)
+        kept = bool(jaccard.may_link(*blocks, 80)[0, 0])
+        assert kept or not similar
+        discarded += not kept
+    assert discarded > 20
+
+
 def test_empty_table(spark):
     assert jaccard.jaccard_components(docs(spark, [])).count() == 0
     got = jaccard.jaccard_components(docs(spark, [(1, None), (2, ""), (3, "one")])).collect()
