@@ -33,6 +33,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores as it takes to be none of ``columns``, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(rows: DataFrame, n: int) -> DataFrame:
     """``rows``, a table of ``n`` rows made from a parameter, marked for broadcast unless it is large."""
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows

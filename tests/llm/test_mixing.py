@@ -48,19 +48,39 @@ def test_rates_meet_the_targets(spark):
     assert abs(sum(r.copies * r.tokens for r in got) / (rate * tokens).sum() - 1) < 0.1
 
 
-def test_rates_equal_plain_projected_gradient(spark):
+def least_squares(tokens, p, weights, most, rounds=5000):
+    """Plain projected gradient with small steps: the totals and the sum of squares it ends with."""
+    have = tokens @ p
+    share = np.array(list(weights.values()))
+    target = share / share[0] * have[0]
+    rate = np.ones(len(tokens))
+    for _ in range(rounds):
+        rate = np.clip(rate - 0.5 * p @ (((rate * tokens) @ p - target) / have), 0, most)
+    total = (rate * tokens) @ p
+    return total, ((total - target) ** 2 / have).sum(), ((have - target) ** 2 / have).sum()
+
+
+@pytest.mark.parametrize(("weights", "most", "focus"), [
+    ({"good": 0.8, "low": 0.15, "toxic": 0.05}, 1.0, 0.3), ({"good": 0.8, "low": 0.15, "toxic": 0.05}, 3.0, 1.0),
+    ({"good": 0.9, "low": 0.07, "toxic": 0.0}, 1.0, 0.1), ({"good": 0.2, "low": 0.7, "toxic": 0.1}, 2.0, 0.3),
+])
+def test_squares_are_as_low_as_plain_projected_gradient_gets_them(spark, weights, most, focus):
     rng = np.random.default_rng(1)
-    tokens, p = rng.integers(1, 100, 200), rng.dirichlet(np.ones(3), 200)
+    tokens, p = rng.integers(1, 100, 300), rng.dirichlet(np.full(3, focus), 300)
     rows = [(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(tokens, p, strict=True))]
     members = spark.createDataFrame(rows, "doc_id long, tokens long, p array<double>").repartition(4)
-    steps = mixing.fit_rates(members, list(WEIGHTS), WEIGHTS, "good", 3.0, rounds=15, close=0.0)
-    got = {r.doc_id: r.rate for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), 3.0)).collect()}
-    total, rate = tokens.sum(), np.ones(200)
-    target = np.array(list(WEIGHTS.values())) / WEIGHTS["good"] * (tokens @ p)[0] / total
-    pace = 1 / np.linalg.eigvalsh((p.T * tokens) @ p / total).max()
-    for _ in range(len(steps)):
-        rate = np.clip(rate - pace * (p @ ((rate * tokens) @ p / total - target)), 0, 3)
-    assert len(steps) == 15 and np.allclose([got[i] for i in range(200)], rate, atol=1e-9)
+    steps = mixing.fit_rates(members, list(weights), weights, "good", most)
+    got = {r.doc_id: r.rate for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), most)).collect()}
+    rate = np.ones(300)
+    for g in steps:
+        rate = np.clip(rate - p @ np.array(g), 0, most)
+    assert len(steps) < mixing.ROUNDS and np.allclose([got[i] for i in range(300)], rate, atol=1e-9)
+    total, squares, before = least_squares(tokens, p, weights, most)
+    have = tokens @ p
+    target = np.array(list(weights.values())) / weights["good"] * have[0]
+    reached = (rate * tokens) @ p
+    assert ((reached - target) ** 2 / have).sum() <= 1.03 * squares + 1e-4 * before
+    assert np.allclose(reached / have.sum(), total / have.sum(), atol=0.02)
 
 
 def test_mix_repeats_and_drops_rows(spark):
@@ -96,7 +116,7 @@ def test_rare_domains_reach_their_targets(spark, shares, weights, rates):
     """Sure posteriors: every domain has one rate, its target over what it has."""
     rows = [(int(1e6 * s), [float(i == k) for i in range(3)]) for k, s in enumerate(shares)]
     members = spark.createDataFrame(rows, "tokens long, p array<double>")
-    steps = mixing.fit_rates(members, list(WEIGHTS), dict(zip(WEIGHTS, weights, strict=True)), "good", 1.0, mixing.ROUNDS, own=True)
+    steps = mixing.fit_rates(members, list(WEIGHTS), dict(zip(WEIGHTS, weights, strict=True)), "good", 1.0)
     got = {r.p.index(1.0): r.rate for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), 1.0)).collect()}
     assert np.allclose([got[k] for k in range(3)], rates, atol=1e-3)
 
@@ -110,13 +130,21 @@ def test_soft_rare_domains_reach_their_targets(spark):
     rows = [(int(t), [float(x) for x in q]) for t, q in zip(tokens, p, strict=True)]
     members = spark.createDataFrame(rows, "tokens long, p array<double>").repartition(4)
     weights = {"good": 0.8, "low": 0.1, "toxic": 0.004}
-    steps = mixing.fit_rates(members, list(weights), weights, "good", 1.0, mixing.ROUNDS, own=True)
+    steps = mixing.fit_rates(members, list(weights), weights, "good", 1.0)
     rate = np.array([(r.rate, r.tokens, *r.p) for r in members.withColumn("rate", mixing.rate_of(steps, F.col("p"), 1.0)).collect()])
     have, reached = rate[:, 1] @ rate[:, 2:], (rate[:, 0] * rate[:, 1]) @ rate[:, 2:]
     target = np.array(list(weights.values())) / 0.8 * have[0]
     assert np.allclose(reached / target, 1, atol=0.01) and len(steps) < mixing.ROUNDS
 
 
+def test_clashing_columns_are_kept(spark):
+    pairs, kinds = corpus(7, 120)
+    table = docs(spark, pairs).selectExpr("*", "'a' AS _id", "'b' AS _copies", "'c' AS _copy", "'d' AS _p", "1 AS tokens", "'e' AS rate")
+    got = mixing.mix(table, label_rows(spark, kinds), WEIGHTS, "good", most=2.0)
+    assert got.columns == table.columns
+    assert {tuple(r)[-6:] for r in got.collect()} == {("a", "b", "c", "d", 1, "e")}
+
+
 @pytest.mark.parametrize("share", [0.12, 0.01])
 def test_toxic_documents_do_not_leave_the_pipeline(spark, share):
     """The pipeline's mixing stage: confidently toxic rows go and good rows stay, rare or not."""
