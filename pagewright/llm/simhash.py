@@ -14,7 +14,8 @@ each round stored in the shared folder.
 
 NULL and empty texts have no words and the fingerprint zero, which links like any other. Repeated rows
 and repeated ids are members of the same class; a NULL doc_id is a member but never names a class
-unless all its members are NULL. An empty table gives an empty result. Further columns are not read.
+unless all its members are NULL. An empty table gives an empty result. Further columns are not read, and
+:func:`drop_near_duplicates` keeps all of them, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import LOWER, by_value
+from pagewright.llm.common import LOWER, by_value, free_name
 from pagewright.sources.storage import stored
 
 BITS = 64
@@ -267,4 +268,19 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2, task_row
     return marked.join(named.select("fp", "label").join(firsts, "label").drop("label"), "fp")
 
 
+def drop_near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class of ``docs``: that with the smallest key (NULL last), of several the first read."""
+    row = free_name(docs.columns, "_row")
+    # the number of a row is fixed by writing it down
+    whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    marked = stored(fingerprints(whole.select(F.col(row).alias("row"), text), size, "row", text), "fingerprints")
+    keyed = marked.join(whole.select(F.col(row).alias("row"), F.col(key).alias("id")), "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first")
+    nodes = stored(keyed.groupBy("fp").agg(first), "nodes")
+    labels = components(trie_links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    classes = nodes.join(labels, "fp", "left").groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("first").alias("first"))
+    kept = classes.select(F.col("first.row").alias(row))
+    return whole.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 by_value(__name__)
