@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm import decontaminate, mixing, neardup, quality, sharding
+from pagewright.llm import decontaminate, mixing, quality, sharding, simhash
 from pagewright.llm.common import table
 from pagewright.llm.queries import WEIGHTS
 from pagewright.sources.storage import stored
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.drop_near_duplicates(docs)
+    """One document of each class of the SimHash operator: three-word shingles, at most two bits apart."""
+    return simhash.drop_near_duplicates(docs, size=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
