@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
 from pagewright.functions import text as tx
-from pagewright.operators import clean, features, log, pages as pg, temporal
+from pagewright.operators import clean, features, jsonwalk, log, pages as pg, temporal
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
 from pagewright.sources import incremental, io
@@ -275,17 +275,36 @@ def json_blobs(spark, folder) -> DataFrame:
     return pg.json_blobs(product_pages(spark, folder))
 
 
-def json_nodes(spark, folder) -> DataFrame:
-    """Nodes of a small tree per part: pos, key, kind, text."""
-    pages = table(spark, folder, "part").selectExpr(
+def _tree_pages(spark, folder) -> DataFrame:
+    return table(spark, folder, "part").selectExpr(
         "p_partkey AS page_id",
         "concat('<script>{\"name\":\"', p_name, '\",\"size\":[', p_size, ',{\"brand\":\"', p_brand, '\"}],\"z\":null}</script>') AS html",
     )
-    return pg.json_nodes(pages).select(
+
+
+def _node_rows(nodes) -> DataFrame:
+    return nodes.select(
         "page_id", "pos", F.coalesce("key", F.lit("-")).alias("key"), "kind", F.coalesce("text", F.lit("-")).alias("text"), "size"
     )
 
 
+def json_nodes(spark, folder) -> DataFrame:
+    """Nodes of a small tree per part: pos, key, kind, text."""
+    return _node_rows(pg.json_nodes(_tree_pages(spark, folder)))
+
+
+def json_walk(spark, folder) -> DataFrame:
+    """:func:`json_nodes` by the recursive query."""
+    return _node_rows(jsonwalk.json_nodes(_tree_pages(spark, folder)))
+
+
+def json_walk_find(spark, folder) -> DataFrame:
+    """:func:`deep_find` by the recursive query; containers without blanks."""
+    found = jsonwalk.deep_find(product_pages(spark, folder), ["NAME", "price", "itemListElement"])
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("blob", "path"))
+    return found.select("page_id", nth.alias("nth"), "kind", "value")
+
+
 def deep_find(spark, folder) -> DataFrame:
     found = pg.deep_find(product_pages(spark, folder), ["NAME", "price", "itemListElement"])
     return found.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("pos")).alias("nth"), "kind", "value")
@@ -688,5 +707,6 @@ QUERIES = {
         manifest_round_trip, page_file_round_trip, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
+        json_walk, json_walk_find,
     )
 }

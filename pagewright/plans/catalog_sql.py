@@ -413,3 +413,7 @@ SQL = {
     "incremental_clean": f"""WITH {REVIEWS}, {CLEANED} SELECT ord, product_id, t AS review_text, review_time_display, star_rating, {norm('variant_text')} AS variant_text,
         t AS normalized_review_text FROM cleaned""",
 }
+
+SQL["json_walk"] = SQL["json_nodes"]
+# containers are written without blanks there
+SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")
