@@ -9,8 +9,8 @@ The matrix has a row per distinct set of n-grams and a column per n-gram; rows t
    with fewer kept entries go, and of the others only the rarest k - ceil(s n) + 1 of k entries can be the
    first column that a pair has in common: the bound that keeps frequent columns out of the product.
 3. The product runs over these columns. A column splits into classes of sizes that can meet; columns with the
-   same members are one. Every member is multiplied with one member of its column, a few times over, and rows
-   that are linked need no further product among themselves. The pairs that are then still open are
+   same members are one. Every member is multiplied with one member of its column, in large columns with a
+   few more, and rows that are linked need no further product among themselves. The pairs that are then still open are
    multiplied block by block of members, so that no column has to fit in one task: a task accumulates the
    overlaps of the rows' rare parts and discards pairs that cannot reach the bound of their sizes any more.
    All pairs that are left are multiplied in full and kept if they reach the bound.
@@ -39,7 +39,8 @@ from pagewright.sources.storage import stored
 BLOCK_ENTRIES = 1 << 22  # of the matrix in one column or row block, about
 PIECE_ENTRIES = 1 << 20  # handed on at a time
 MEMBERS = 256  # of a column in one block of the product
-ROUNDS = 3  # products of each column's members with one of them
+LARGE = 4096  # members of a column that get further rounds
+ROUNDS, PICKS = 4, 8  # products of a column's members with one of them, and with a few in further rounds
 _ODD = np.random.default_rng(23).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64((1 << 57) - 1)
 LONGS = "array<long>"
@@ -215,8 +216,8 @@ def shared_columns(rows: DataFrame, percent: int) -> DataFrame:
         F.count("*").alias("members"), F.count_if("home").alias("homes"), mark(1).alias("m1"), mark(2).alias("m2")
     )
     groups = groups.filter("members > 1 AND homes > 0").groupBy("class", "members", "m1", "m2").agg(F.min("entry").alias("entry"))
-    column = groups.select("entry", "class", F.xxhash64("class", "m1", "m2").alias("column"))
-    return at.join(column, ["entry", "class"]).select("column", "node", "n", "home")
+    chosen = at.join(groups.select("entry", "class"), ["entry", "class"])
+    return chosen.select(F.struct("entry", "class").alias("column"), "node", "n", "home")
 
 
 def with_labels(columns: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -246,37 +247,40 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return both.filter((100 + percent) * common >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def round_pairs(open_rows: DataFrame, percent: int, seed: int) -> DataFrame:
-    """(a, b): members of a column and one of its members at home, which a hash picks."""
-    order = F.struct(F.xxhash64("node", F.lit(seed)), "node", "n", "label")
-    picked = open_rows.filter("home").groupBy("column").agg(F.min(order).alias("p"))
-    pairs = open_rows.join(picked, "column").filter("label <> p.label")
+def round_pairs(open_rows: DataFrame, percent: int, seed: int, picks: int = 1) -> DataFrame:
+    """(a, b): members of a column and ``picks`` of its members at home, which hashes choose."""
+    order = lambda k: F.struct(F.xxhash64("node", F.lit(seed), F.lit(k)), "node", "n", "label")
+    picked = open_rows.filter("home").groupBy("column").agg(F.array(*[F.min(order(k)) for k in range(picks)]).alias("p"))
+    pairs = open_rows.join(picked.select("column", F.explode("p").alias("p")), "column").filter("label <> p.label")
     pairs = pairs.filter(100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
     return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """The product of two blocks of rows: how many entries each row has in common with each other."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The product of two blocks of rows: how many entries each row has in common with each other, and the
+    smallest of them (0 without any)."""
     values, at = np.unique(np.concatenate(right), return_inverse=True)
     owner = np.repeat(np.arange(len(right)), [len(r) for r in right])[np.argsort(at, kind="stable")]
-    ends = np.cumsum(np.bincount(at, minlength=len(values)))
-    begins = ends - np.bincount(at, minlength=len(values))
-    out = np.empty((len(left), len(right)), np.int64)
+    counts = np.bincount(at, minlength=len(values))
+    begins = np.cumsum(counts) - counts
+    common, first = np.empty((len(left), len(right)), np.int64), np.zeros((len(left), len(right)), np.int64)
     for i, row in enumerate(left):
         found = np.minimum(np.searchsorted(values, row), len(values) - 1)
-        found = found[values[found] == row]
-        n = ends[found] - begins[found]
+        found = np.sort(found[values[found] == row])[::-1]
+        n = counts[found]
         places = np.arange(n.sum()) + np.repeat(begins[found] - np.cumsum(n) + n, n)
-        out[i] = np.bincount(owner[places], minlength=len(right))
-    return out
+        common[i] = np.bincount(owner[places], minlength=len(right))
+        first[i, owner[places]] = np.repeat(values[found], n)  # the last one stays
+    return common, first
 
 
-def may_link(left: tuple, right: tuple, percent: int) -> np.ndarray:
-    """Which rows of one block can be similar to which of another. A block is (heads, sizes, entries kept).
+def may_link(left: tuple, right: tuple, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of one block can be similar to which of another, and the smallest entry that both heads
+    have. A block is (heads, sizes, entries kept).
     Of two rows, an entry of one's head that comes before the end of the other's head is in that head or not
     in the other row at all, so the entries that a row surely has alone are counted; what is left has to
     reach the overlap that the sizes ask for."""
-    common = overlaps(left[0], right[0])
+    common, first = overlaps(left[0], right[0])
     sizes = left[1][:, None] + right[1]
     least = (percent * sizes + 99 + percent) // (100 + percent)
     out = common > 0
@@ -284,12 +288,13 @@ def may_link(left: tuple, right: tuple, percent: int) -> np.ndarray:
         ends = np.array([h[-1] for h in others[0]], np.int64).view(np.uint64)
         within = np.stack([np.searchsorted(h.view(np.uint64), ends, "right") for h in rows[0]])
         out &= turn(rows[2][:, None] - (within - shared)) >= least
-    return out
+    return out, first
 
 
 def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of open columns that can be similar and have different labels. The members with a
-    column's most frequent label have blocks of their own, which are not multiplied among themselves."""
+    """(a, b): all pairs of open columns that can be similar and have different labels, each from the first of
+    the columns that both heads have (columns with the same members are left as their first). The members
+    with a column's most frequent label have blocks of their own, which are not multiplied among themselves."""
     own, others = F.ceil(F.col("top.w") / MEMBERS), F.ceil((F.col("weight") - F.col("top.w")) / MEMBERS)
     top, dealt = F.col("label") == F.col("top.label"), F.xxhash64("node")
     dealt = open_rows.withColumn("block", F.when(top, others + F.pmod(dealt, own)).otherwise(F.pmod(dealt, others)))
@@ -308,8 +313,9 @@ def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFram
         a = b = np.empty(0, np.int64)
         if len(left) and len(right):
             part = lambda at: ([heads[i] for i in at], n[at], kept[at])
-            close = may_link(part(left), part(right), percent) & (labels[left][:, None] != labels[right])
-            close &= home[left][:, None] | home[right]
+            close, first = may_link(part(left), part(right), percent)
+            close &= (labels[left][:, None] != labels[right]) & (home[left][:, None] | home[right])
+            close &= first == found.column("column")[0]["entry"].as_py()
             i, j = np.nonzero(close)
             a, b = nodes[left[i]], nodes[right[j]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
@@ -320,15 +326,24 @@ def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFram
 
 def jaccard_labels(rows: DataFrame, percent: int) -> DataFrame | None:
     """(node, label) of the rows that have a link; None if there are none."""
-    columns, labels, links = stored(shared_columns(rows, percent), "columns"), None, None
+    columns, labels, last = stored(shared_columns(rows, percent), "columns"), None, False
     for seed in range(ROUNDS + 1):
         open_rows = stored(still_open(with_labels(columns, labels)), "open")
         if open_rows.isEmpty():
             break
-        pairs = round_pairs(open_rows, percent, seed) if seed < ROUNDS else block_pairs(open_rows, rows, percent)
+        many = open_rows.filter(F.col("members") > LARGE)
+        if seed == 0:
+            pairs = round_pairs(open_rows, percent, seed)
+        elif seed < ROUNDS and not many.isEmpty():
+            pairs = round_pairs(many, percent, seed, PICKS)
+        else:
+            pairs, last = block_pairs(open_rows, rows, percent), True
         found = verified(pairs, rows, percent)
-        links = found if labels is None else found.unionByName(labels.select(F.col("label").alias("a"), F.col("node").alias("b")))
-        labels = components(links)
+        if labels is not None:
+            found = found.unionByName(labels.select(F.col("label").alias("a"), F.col("node").alias("b")))
+        labels = components(found)
+        if last:
+            break
     return labels
 
 
