@@ -3,6 +3,10 @@
 Each stage takes (session, documents, folder of tables), works on all rows that the stage before kept,
 and its result is written as Parquet and read again as the documents of the next one. All stages but
 the last return the columns of ``documents``.
+
+NULL and empty texts have too few words for the quality rules and go in the first stage. Repeated rows and ties
+are judged alike everywhere but among near-duplicates, where one row of a class stays, the first read of
+those with its smallest id. An empty table stays empty. Further columns, whatever their names, come through.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pagewright.llm import decontaminate, mixing, quality, sharding, simhash
 from pagewright.llm.common import table
 from pagewright.llm.queries import WEIGHTS
-from pagewright.sources.storage import stored
+from pagewright.sources.storage import discard, scratch_scope, stored
 
 # no toxic document is wanted here, however rare they are
 CLEAN_WEIGHTS = {**WEIGHTS, "toxic": 0.0}
@@ -61,5 +65,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_scope(spark) as kept:
+            out = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            kept.append(out)
+        discard(docs)
+        docs = out
     return docs
