@@ -15,7 +15,7 @@ from pagewright.functions import text as tx
 from pagewright.operators import clean, features, jsonwalk, log, pages as pg, temporal
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
-from pagewright.sources import incremental, io
+from pagewright.sources import incremental, io, pagefiles
 
 WHEN = "2026-01-01T00:00:00+00:00"
 
@@ -694,6 +694,32 @@ def incremental_clean(spark, folder) -> DataFrame:
     return store.read()
 
 
+def _page_folder(spark, folder) -> str:
+    """All pages and conversation turns as files of one folder, by the data source."""
+    path = io.scratch_path(spark, "source")
+    pages = table(spark, folder, "pages").selectExpr(
+        "'page' AS kind", "'review_harvest' AS stage", "cast(page_id AS int) AS product_idx", "1 AS page_no", "html AS body"
+    )
+    body = F.to_json(F.struct(F.concat(F.lit("api/"), F.col("turn")).alias("source_url"), F.struct("role", "turn").alias("payload")))
+    turns = table(spark, folder, "conversations").select(
+        F.lit("payload").alias("kind"), F.lit("review_harvest").alias("stage"), F.col("conv_id").cast("int").alias("product_idx"),
+        (F.col("turn") + 1).cast("int").alias("page_no"), body.alias("body"),
+    )
+    pagefiles.write_files(pages.unionByName(turns).repartition(8), path)
+    return path
+
+
+def page_source(spark, folder) -> DataFrame:
+    """The pages of a folder of page files, read by the data source."""
+    path = _page_folder(spark, folder)
+    return pagefiles.page_rows(spark, path)
+
+
+def payload_source(spark, folder) -> DataFrame:
+    """The payloads of the same folder; page files are not opened."""
+    return pagefiles.payload_rows(spark, _page_folder(spark, folder))
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -707,6 +733,6 @@ QUERIES = {
         manifest_round_trip, page_file_round_trip, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
-        json_walk, json_walk_find,
+        json_walk, json_walk_find, page_source, payload_source,
     )
 }

@@ -414,6 +414,9 @@ SQL = {
         t AS normalized_review_text FROM cleaned""",
 }
 
+SQL["page_source"] = SQL["page_file_round_trip"]
+SQL["payload_source"] = """SELECT conv_id AS product_idx, turn + 1 AS payload_no, 'api/' || turn AS source_url,
+    '{"role":"' || role || '","turn":' || turn || '}' AS payload FROM conversations"""
 SQL["json_walk"] = SQL["json_nodes"]
 # containers are written without blanks there
 SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")
