@@ -16,6 +16,7 @@ from pagewright.operators import clean, features, hierarchy, jsonwalk, log, page
 from pagewright.operators.hotkeys import number_rows
 from pagewright.plans import jobs
 from pagewright.sources import incremental, io, pagefiles
+from pagewright.streaming import cuts, windows
 
 WHEN = "2026-01-01T00:00:00+00:00"
 
@@ -748,6 +749,38 @@ def sketched_events(spark, folder) -> DataFrame:
     )
 
 
+def _growing(spark, rows, name, parts=3):
+    """``rows`` (with ts) as dated files in a folder that grows in ``parts`` steps; yields a stream after each."""
+    path, schema = io.scratch_path(spark, name), rows.schema
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    for part in range(parts):
+        now = rows.filter(F.least(F.greatest(day, F.lit(0)) * parts / 30, F.lit(parts - 1)).cast("int") == part)
+        now.withColumn("day", F.col("ts").cast("date")).repartition(4, "day").write.mode("append").partitionBy("day").parquet(path)
+        yield cuts.read_folder(spark, path, schema)
+
+
+def stream_streak_cut(spark, folder) -> DataFrame:
+    """The streak cut of each product's page log, kept up over a folder of dated files with two restarts."""
+    log_rows = table(spark, folder, "events").selectExpr(
+        "user_id % 30 AS seed", "event_id AS page_no", "event_type IN ('error', 'signup') AS empty", "cast(ts AS timestamp) AS ts"
+    )
+    out, checkpoint = io.scratch_path(spark, "cut"), io.scratch_path(spark, "checkpoint")
+    for stream in _growing(spark, log_rows, "log"):
+        windows.run_available(cuts.with_streaks(stream, "seed", "page_no", "empty", "ts", 4), out, checkpoint)
+    return spark.read.parquet(out).filter("kept").select("seed", "page_no", "streak")
+
+
+def stream_windows(spark, folder) -> DataFrame:
+    """Events per kind in windows of six hours every three, as far as they are final, with one restart."""
+    events = table(spark, folder, "events").selectExpr("event_type", "event_id", "cast(ts AS timestamp) AS ts")
+    out, checkpoint = io.scratch_path(spark, "windows"), io.scratch_path(spark, "checkpoint")
+    for stream in _growing(spark, events, "events", 2):
+        found = windows.windowed(stream, "ts", "6 hours", ["event_type"], "3 hours", "1 day", first_id=F.min("event_id"))
+        windows.run_available(found, out, checkpoint)
+    done = spark.read.parquet(out)
+    return done.select(F.unix_micros("window_start").alias("window_start"), "event_type", "n_rows", "first_id")
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -762,5 +795,6 @@ QUERIES = {
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
         json_walk, json_walk_find, page_source, payload_source, breadcrumb_levels, sketched_events,
+        stream_streak_cut, stream_windows,
     )
 }

@@ -427,6 +427,17 @@ SQL["breadcrumb_levels"] = """WITH p AS (
   FROM n GROUP BY GROUPING SETS ((level, node, band), (level, node))"""
 SQL["sketched_events"] = """SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS users_exact, true AS users_close, true AS median_close
   FROM events GROUP BY event_type"""
+SQL["stream_streak_cut"] = """WITH p AS (
+    SELECT user_id % 30 AS seed, event_id AS page_no, event_type IN ('error', 'signup') AS empty FROM events
+  ), r AS (SELECT *, row_number() OVER w AS rn FROM p WINDOW w AS (PARTITION BY seed ORDER BY page_no)
+  ), s AS (SELECT *, rn - coalesce(max(CASE WHEN NOT empty THEN rn END) OVER (PARTITION BY seed ORDER BY page_no), 0) AS streak FROM r)
+  SELECT seed, page_no, streak FROM s
+  QUALIFY coalesce(max((streak >= 4)::INT) OVER (PARTITION BY seed ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 0"""
+SQL["stream_windows"] = """WITH w AS (
+    SELECT time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '2024-01-01') - INTERVAL 3 HOUR * k AS start_, event_type, event_id
+    FROM events, range(2) t(k)
+  ) SELECT epoch_us(start_) AS window_start, event_type, count(*) AS n_rows, min(event_id) AS first_id FROM w
+  WHERE start_ + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY ALL"""
 SQL["json_walk"] = SQL["json_nodes"]
 # containers are written without blanks there
 SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")
