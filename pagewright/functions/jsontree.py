@@ -106,6 +106,11 @@ def json_nodes(texts: Column, keep_json=()) -> Column:
 
     A container node carries its JSON text only when its lower-cased key is in ``keep_json``.
     """
+    return node_reader(keep_json)(texts)
+
+
+def node_reader(keep_json=()):
+    """The function behind :func:`json_nodes`, which a session can register."""
     wanted = frozenset(key.lower() for key in keep_json)
 
     @F.arrow_udf(NODE_ARRAY)
@@ -114,7 +119,7 @@ def json_nodes(texts: Column, keep_json=()) -> Column:
             for start in range(0, len(batch), PAGES_AT_ONCE):
                 yield _node_array(batch.slice(start, PAGES_AT_ONCE), wanted)
 
-    return read(texts)
+    return read
 
 
 def _node_array(pages: pa.Array, keep_json) -> pa.Array:

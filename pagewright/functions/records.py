@@ -152,6 +152,10 @@ def from_objects(objects: str, field: str) -> Column:
 
 
 def candidates(nodes: str) -> Column:
+    return F.expr(candidates_sql(nodes))
+
+
+def candidates_sql(nodes: str) -> str:
     """array<struct<anchor, item, first, size>> of objects that may be reviews, in reading order.
 
     An object qualifies by its keys, and again by standing in a list under a container key; the
@@ -172,14 +176,18 @@ def candidates(nodes: str) -> Column:
     hit = f"up.kind = 'list' AND {_in('lower(up.key)', CONTAINER_KEYS)}"
     in_list = tx.sql_let(f"get({nodes}, n.up)", "up", f"CASE WHEN {hit} THEN {place('up.pos', 'i')} END")
     by_container = f"transform({nodes}, (n, i) -> CASE WHEN n.kind = 'dict' THEN {in_list} END)"
-    return F.expr(f"array_sort(filter(concat({by_keys}, {by_container}), c -> c IS NOT NULL))")
+    return f"array_sort(filter(concat({by_keys}, {by_container}), c -> c IS NOT NULL))"
 
 
 def candidate_fields(nodes: str, found: str) -> Column:
+    return F.expr(candidate_fields_sql(nodes, found))
+
+
+def candidate_fields_sql(nodes: str, found: str) -> str:
     """array<map<key, struct<kind, text, size>>>: the fields of each candidate that rows use."""
     used = f"filter({jt.children(nodes, 'c')}, n -> {_in('n.key', sorted(set(_USED_KEYS)))})"
     entry = f"struct(n.key, {_struct({'kind': 'n.kind', 'text': 'n.text', 'size': 'n.size'})})"
-    return F.expr(f"transform({found}, c -> map_from_entries(transform({used}, n -> {entry})))")
+    return f"transform({found}, c -> map_from_entries(transform({used}, n -> {entry})))"
 
 
 def _field(key: str) -> str:
@@ -198,6 +206,10 @@ def _first_truthy(keys, pick: str, default: str) -> str:
 
 
 def reviews_of(fields: str) -> Column:
+    return F.expr(reviews_sql(fields))
+
+
+def reviews_sql(fields: str) -> str:
     """Candidate fields as review structs; ``review_text`` is NULL when one has no text."""
     count = "CASE WHEN n.kind = 'list' THEN n.size ELSE 0 END"
     columns = {
@@ -212,7 +224,7 @@ def reviews_of(fields: str) -> Column:
         "image_count": _first_truthy(IMAGE_KEYS, count, "0"),
         "video_flag": _first_truthy(VIDEO_KEYS, "true", "false"),
     }
-    return F.expr(f"transform({fields}, f -> {_struct(columns)})")
+    return f"transform({fields}, f -> {_struct(columns)})"
 
 
 def card_reviews(html: Column) -> Column:

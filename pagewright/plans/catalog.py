@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import html as hx
+from pagewright.functions import surface
 from pagewright.functions import text as tx
 from pagewright.operators import clean, features, hierarchy, jsonwalk, log, pages as pg, sketches, temporal
 from pagewright.operators.hotkeys import number_rows
@@ -781,6 +782,24 @@ def stream_windows(spark, folder) -> DataFrame:
     return done.select(F.unix_micros("window_start").alias("window_start"), "event_type", "n_rows", "first_id")
 
 
+def sql_scalars(spark, folder) -> DataFrame:
+    """The library's functions called from SQL text."""
+    surface.register(spark)
+    return spark.sql(
+        "SELECT c_custkey, mask_identifier(c_name) AS masked, normalize_text(c_mktsegment) AS segment, extract_product_id(concat('https://s.example/x-i.1.', c_custkey)) AS product FROM {c}",
+        c=table(spark, folder, "customer"),
+    )
+
+
+def sql_reviews(spark, folder) -> DataFrame:
+    """Review rows of payloads after LATERAL: one payload per conversation turn, with the review twice over."""
+    surface.register(spark)
+    review = F.struct(F.col("text").alias("content"), F.col("turn").alias("score"), F.col("role").alias("username"))
+    payload = F.to_json(F.struct(F.struct(F.array(review, review).alias("ratings")).alias("data")))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", payload.alias("payload"))
+    return spark.sql("SELECT conv_id, turn, r.review_text, r.star_rating, r.reviewer_name_masked FROM {t}, LATERAL review_rows(payload) AS r", t=turns)
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -795,6 +814,6 @@ QUERIES = {
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
         json_walk, json_walk_find, page_source, payload_source, breadcrumb_levels, sketched_events,
-        stream_streak_cut, stream_windows,
+        stream_streak_cut, stream_windows, sql_scalars, sql_reviews,
     )
 }

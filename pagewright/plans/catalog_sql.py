@@ -438,6 +438,9 @@ SQL["stream_windows"] = """WITH w AS (
     FROM events, range(2) t(k)
   ) SELECT epoch_us(start_) AS window_start, event_type, count(*) AS n_rows, min(event_id) AS first_id FROM w
   WHERE start_ + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY ALL"""
+SQL["sql_scalars"] = f"""SELECT c_custkey, {mask('c_name')} AS masked, {norm('c_mktsegment')} AS segment, c_custkey::VARCHAR AS product FROM customer"""
+SQL["sql_reviews"] = f"""SELECT conv_id, turn, {strip('text')} AS review_text, turn::VARCHAR AS star_rating, {strip('role')} AS reviewer_name_masked
+  FROM conversations WHERE {strip('text')} <> ''"""
 SQL["json_walk"] = SQL["json_nodes"]
 # containers are written without blanks there
 SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")

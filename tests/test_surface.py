@@ -1,0 +1,52 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagewright.functions import html as hx
+from pagewright.functions import surface
+from pagewright.functions import text as tx
+from pagewright.operators import pages as pg
+
+TEXTS = [None, "", "  A  b C ", "ab", "x", "Ärger  ÜBER", "1,5", " 12,3 ", "it's 'q'"]
+URLS = [None, "", "https://s.example/a-i.12.345?x=1", "https://s.example/p?itemid=9%2B1&product_id=3", "https://s.example/p?product_id=a+b", "https://s.example/nothing", "/v/77;x=5"]
+
+
+@pytest.fixture
+def registered(spark):
+    surface.register(spark)
+    return spark
+
+
+def test_scalars_equal_the_column_functions(registered):
+    for names, column, values in (
+        ({"normalize_text": tx.normalize_text, "mask_identifier": tx.mask_identifier, "numeric_string": tx.to_numeric_string}, "x", TEXTS),
+        ({"extract_product_id": hx.extract_product_id}, "u", URLS),
+    ):
+        table = registered.createDataFrame([(v,) for v in values], f"{column} string")
+        for name, fn in names.items():
+            both = registered.sql(f"SELECT {name}({column}) AS got, {column} FROM {{t}}", t=table).select("got", fn(F.col(column)).alias("want"))
+            assert [r.got for r in both.collect()] == [r.want for r in both.collect()], name
+
+
+def test_the_optimizer_sees_the_bodies(registered):
+    table = registered.range(3).select(F.col("id").cast("string").alias("x"))
+    plan = registered.sql("SELECT normalize_text(x) AS y FROM {t} WHERE mask_identifier(x) <> '*' AND extract_product_id(x) > ''", t=table)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in text for n in surface.names()) and "Python" not in text and "regexp_replace" in text
+
+
+def test_reviews_after_lateral(registered):
+    reviews = [{"comment": " good ", "rating_star": 5, "ctime": "t"}, {"comment": "", "rating_star": 1}, {"comment": "good", "rating_star": 5, "ctime": "t"}, {"content": "fine", "score": 4, "images": [1, 2]}]
+    payloads = [(1, "u/1", json.dumps({"data": {"ratings": reviews}})), (2, "u/2", "no json"), (3, "u/3", None), (4, "u/4", json.dumps([{"text": "x", "star": 3}]))]
+    table = registered.createDataFrame(payloads, "id long, url string, payload string")
+    got = registered.sql("SELECT id, r.* FROM {t}, LATERAL review_rows(payload) AS r", t=table)
+    want = pg.parse_payload_reviews(table, "now")
+    columns = ["id", "review_ord", "review_text", "star_rating", "media_flag", "image_count", "seller_reply_flag"]
+    rows = lambda df: sorted(str(tuple(r)) for r in df.select(*columns).collect())
+    assert rows(got) == rows(want) and got.count() >= 2
+
+
+def test_names(registered):
+    known = {f.name for f in registered.catalog.listFunctions()}
+    assert set(surface.names()) <= known
