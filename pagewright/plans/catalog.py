@@ -88,6 +88,13 @@ def review_features(spark, folder) -> DataFrame:
     return features.build_review_features(reviews(spark, folder), "ord")
 
 
+def emoji_runs(spark, folder) -> DataFrame:
+    """Emoji runs of the documents, with runs of one to three and lone ones set before and behind each text."""
+    text = "concat(repeat('\U0001f600', doc_id % 4), text, repeat('\u2600\u2708', doc_id % 3), 'a\U0001f680b\U0001f9ff ')"
+    rows = table(spark, folder, "documents").selectExpr("doc_id", f"{text} AS text")
+    return rows.select("doc_id", tx.emoji_count(F.col("text")).alias("emoji_count"))
+
+
 def review_order(spark, folder) -> DataFrame:
     return features.review_order(reviews(spark, folder).drop("review_text"), "ord")
 
@@ -814,6 +821,6 @@ QUERIES = {
         harvest_dropped, plain_harvest, clean_job, stage_manifest, features_job, features_job_reviews,
         asof_orders, asof_recent, visits, overlapping_visits, incremental_keep_first, incremental_clean,
         json_walk, json_walk_find, page_source, payload_source, breadcrumb_levels, sketched_events,
-        stream_streak_cut, stream_windows, sql_scalars, sql_reviews,
+        stream_streak_cut, stream_windows, sql_scalars, sql_reviews, emoji_runs,
     )
 }

@@ -441,6 +441,9 @@ SQL["stream_windows"] = """WITH w AS (
 SQL["sql_scalars"] = f"""SELECT c_custkey, {mask('c_name')} AS masked, {norm('c_mktsegment')} AS segment, c_custkey::VARCHAR AS product FROM customer"""
 SQL["sql_reviews"] = f"""SELECT conv_id, turn, {strip('text')} AS review_text, turn::VARCHAR AS star_rating, {strip('role')} AS reviewer_name_masked
   FROM conversations WHERE {strip('text')} <> ''"""
+SQL["emoji_runs"] = r"""SELECT doc_id, len(regexp_extract_all(
+    repeat(chr(128512), doc_id % 4) || text || repeat(chr(9728) || chr(9992), doc_id % 3) || 'a' || chr(128640) || 'b' || chr(129535) || ' ',
+    '[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F900}-\x{1F9FF}\x{2600}-\x{27BF}]+')) AS emoji_count FROM documents"""
 SQL["json_walk"] = SQL["json_nodes"]
 # containers are written without blanks there
 SQL["json_walk_find"] = SQL["deep_find"].replace('"name": ', '"name":').replace("}, {", "},{")
