@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import string
 import sys
 
 from pyspark import cloudpickle
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
 WHITE = r"[\x20\x09-\x0D]+"
+UPPER_LETTERS, LOWER_LETTERS = string.ascii_uppercase, string.ascii_lowercase
 # lower-casing of A-Z only, on UTF-8 bytes
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -41,6 +44,19 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def lower_az(text: Column) -> Column:
+    """``text`` with A-Z lower-cased and no other letter."""
+    return F.translate(text, UPPER_LETTERS, LOWER_LETTERS)
+
+
+def parameter_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table made from a parameter, as one literal, so that no Python worker has to send it."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    kinds = ", ".join(": ".join(column.split(" ", 1)) for column in schema.split(", "))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kinds}>>")))
+
+
 def small(rows: DataFrame, n: int) -> DataFrame:
     """``rows``, a table of ``n`` rows made from a parameter, marked for broadcast unless it is large."""
     return F.broadcast(rows) if n <= BROADCAST_ROWS else rows

@@ -7,8 +7,8 @@ shifts the rest to a neighbour), and a merged span is verified: its words are co
 template's, it has to hold ``cover`` of the template's runs, and it may be at most ``stretch`` times as
 long as the template.
 
-NULL and empty texts have no words and no span. Repeated rows each get the same result (runs are
-counted once per text position). A text with many places of one license keeps all. An empty table
+Words are lower-cased in A-Z only. NULL and empty texts have no words and no span. Repeated rows each get the
+same result (runs are counted once per text position). A text with many places of one license keeps all. An empty table
 gives an empty result. Further columns are not read.
 """
 
@@ -19,7 +19,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import let, small, split_words
+from pagewright.llm.common import let, lower_az, parameter_table, small, split_words
+from pagewright.sources.storage import stored
 
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 3
@@ -57,7 +58,7 @@ NOTICES = (
 
 
 def template_words(text: str) -> list[str]:
-    return [w for w in re.split(GAPS, text.lower()) if w]
+    return [w for w in re.split(GAPS, re.sub("[A-Z]+", lambda m: m.group().lower(), text)) if w]
 
 
 def template_runs(templates, k: int = K) -> list[tuple[int, str, int, int, int, str]]:
@@ -73,25 +74,27 @@ def template_runs(templates, k: int = K) -> list[tuple[int, str, int, int, int,
 
 
 def words_of(text: Column) -> Column:
-    return split_words(F.lower(text), GAPS)
+    return split_words(lower_az(text), GAPS)
 
 
 def diagonals(docs: DataFrame, templates, keys: list[str], text: str = "text", k: int = K) -> DataFrame:
-    """keys, template, label, words, runs, diagonal, and the voting positions of the text and the template."""
-    rows = template_runs(templates, k)
-    runs = docs.sparkSession.createDataFrame(rows, "template int, label string, words int, runs int, at int, run string")
+    """keys, template, label, words, runs, diagonal, the voting positions of the text and the template, and
+    the number of votes. Every text also votes once per row for the template -1, on the diagonal of its
+    number of words, so that one pass over the texts tells both."""
+    rows = [(-1, "", 0, 1, 0, ""), *template_runs(templates, k)]
+    runs = parameter_table(docs.sparkSession, rows, "template int, label string, words int, runs int, at int, run string")
     runs = small(runs.withColumn("hash", F.xxhash64("run")), len(rows))
 
     def rolling(words: Column) -> Column:
-        firsts = F.slice(words, 1, F.greatest(F.size(words) - (k - 1), F.lit(0)))
         run = lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + j) for j in range(1, k)])
-        return F.transform(firsts, run)
+        return F.concat(F.transform(words, run), F.array(F.lit("")))
 
     found = docs.select(*keys, F.posexplode(let(words_of(F.col(text)), rolling)).alias("pos", "found"))
     hits = found.withColumn("hash", F.xxhash64("found")).join(runs, "hash").filter("found = run")
     diagonal = hits.withColumn("diagonal", F.col("pos") - F.col("at"))
     return diagonal.groupBy(*keys, "template", "label", "words", "runs", "diagonal").agg(
-        F.collect_set("pos").alias("positions"), F.collect_set("at").alias("held")  # at most one per run
+        F.collect_set("pos").alias("positions"), F.collect_set("at").alias("held"),  # at most one per run
+        F.count("*").alias("votes"),
     )
 
 
@@ -121,28 +124,25 @@ def scan(
     templates = [*phrases, *notices]
     keyed = docs.select(key, F.xxhash64(text).alias("_text"), F.col(text).alias("_whole"))
     keys = [key, "_text"]
-    found = diagonals(keyed, templates, keys, "_whole")
-    exact = found.filter((F.col("template") < len(phrases)) & (F.size("held") == F.col("runs")))
-    exact = exact.select(*keys, F.col("diagonal").alias("start"), "label", F.lit(1.0).alias("score"), F.lit(True).alias("base"))
+    found = stored(diagonals(keyed, templates, keys, "_whole"), "diagonals")
+    none = [F.lit(None).cast("int").alias("start"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("score")]
+    texts = found.filter("template = -1").select(*keys, *none, F.lit(False).alias("base"), F.col("diagonal").alias("n_words"), F.col("votes").alias("copies"))
+    plain = [F.lit(None).cast("int").alias("n_words"), F.lit(None).cast("long").alias("copies")]
+    exact = found.filter((F.col("template") >= 0) & (F.col("template") < len(phrases)) & (F.size("held") == F.col("runs")))
+    exact = exact.select(*keys, F.col("diagonal").alias("start"), "label", F.lit(1.0).alias("score"), F.lit(True).alias("base"), *plain)
     spans = merge(found.filter(F.col("template") >= len(phrases)), keys, band, cover, stretch)
-    spans = spans.select(*keys, "start", "label", "score", F.lit(False).alias("base"))
+    spans = spans.select(*keys, "start", "label", "score", F.lit(False).alias("base"), *plain)
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     base = F.col("base")
-    places = exact.unionByName(spans).groupBy(*keys).agg(
+    out = texts.unionByName(exact).unionByName(spans).groupBy(*keys).agg(
+        F.max("n_words").cast("long").alias("n_words"),
         F.count_if(base).alias("n_base"),
         F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"),
         F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
         joined(F.when(base, F.col("label"))).alias("base_labels"),
         joined("label").alias("labels"),
-        F.max("score").alias("score"),
+        F.coalesce(F.max("score"), F.lit(0.0)).alias("score"),
+        F.max("copies").alias("_copies"),
     )
-    rows = keyed.select(*keys, F.size(words_of(F.col("_whole"))).cast("long").alias("n_words"))
-    places = places.select(*[F.col(c).alias(f"_{c}") if c in keys else F.col(c) for c in places.columns])
-    same = F.col(key).eqNullSafe(F.col(f"_{key}")) & (F.col("_text") == F.col("__text"))
-    out = rows.join(places, same, "left")
-    return out.select(
-        key, "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
-    )
-
+    # a row that was there several times comes back as often
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("_copy", "_copies", "_text")

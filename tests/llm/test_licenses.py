@@ -23,6 +23,13 @@ def test_phrases_equal_brute_force(spark):
     assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) for r in got)
 
 
+def test_only_ascii_letters_are_lower_cased(spark):
+    """The Kelvin sign and dotted capital I are no k and no i."""
+    rows = [(1, "under the M\u0130T license"), (2, "CC BY NC"), (3, "apache \u212a license version 2"), (4, "UNDER THE MIT LICENSE")]
+    got = {r.doc_id: (r.n_words, r.n_base) for r in licenses.scan(docs(spark, rows)).collect()}
+    assert got == {1: (4, 0), 2: (3, 1), 3: (5, 0), 4: (4, 1)}
+
+
 def test_notices_survive_small_changes(spark):
     label, notice = licenses.NOTICES[0]
     words = notice.split()
