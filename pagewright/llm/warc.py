@@ -2,13 +2,16 @@
 
 The writer makes one record per page. Of pages with equal payloads the one with the smallest page_id is
 a response with the payload, the others are revisits that refer to it. Files are WARC/1.1 with a gzip
-member per record, so that damage to one does not reach the next, and hold at most ``records_per_file``
-records, which bounds what a reader task has to hold.
+member per record, so that damage to one does not reach the next, and end after the record with which they
+reach ``file_bytes``, which bounds what a reader task has to hold. A bitmap of fixed size tells the pages
+whose payload may have copies; only these are joined with the first page of their payload, all others are
+written where they are read.
 
 The reader takes any WARC file, plain or of gzip members with one or more records. A record is accepted if its headers,
 length, end mark and payload digest are right. After a failed check it searches for the next version
 line or gzip member that starts a valid record, goes on there, and logs the bytes in between as a gap.
-A file is read whole by one task, so its size is bounded by the memory of a task.
+A file is read whole by one task, member by member, so it has to fit in the memory of a task: files of this
+writer do by ``file_bytes``, files of others do if they are of the usual size of up to 1 GB.
 
 A NULL html is an empty payload (and shares it with the empty text); a NULL url is written as an empty
 target; a NULL page_id is written as ``null``, read back as NULL, and named as the response only if no
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import by_value
+from pagewright.sources.storage import stored
 
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -39,6 +43,9 @@ MAGIC = b"\x1f\x8b"
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 FIELD = re.compile(rb"[!-9;-~]+:|[ \t]")
 EMIT_BYTES = 4 << 20
+FILE_BYTES = 16 << 20
+COPY_BITS = 1 << 24  # of the bitmap of payloads with copies: 2 MB
+BITS_PER_ROW = 1 << 15
 PIECE = 1 << 16
 EMPTY = gzip.compress(b"", mtime=0)
 RECORD = (
@@ -64,9 +71,20 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         F.coalesce(F.col(html), F.lit("")).alias("payload"),
     )
     whole = whole.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    # only payloads with copies travel; the join meets copies of one payload on one key, which Spark splits
     firsts = whole.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    joined = whole.join(firsts.select("digest", "first"), "digest", "left")
+    firsts = stored(firsts.select("digest", "first"), "copied-payloads")
+    # a bitmap row holds BITS_PER_ROW bits; there are as many rows as the constants say, whatever the table
+    bit = F.pmod(F.xxhash64("digest"), F.lit(COPY_BITS))
+    at = bit % BITS_PER_ROW
+    bitmap = firsts.groupBy((bit - at).alias("part")).agg(F.bitmap_construct_agg(at).alias("bits"))
+    placed = whole.withColumns({"part": bit - at, "at": at}).join(F.broadcast(bitmap), "part", "left")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright("at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_ = F.call_function("shiftright", byte, (F.col("at") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    placed = placed.withColumn("may", F.coalesce(set_, F.lit(False))).drop("part", "at", "bits")
+    # the join meets copies of one payload on one key, which Spark splits
+    joined = placed.filter("may").drop("may").join(firsts, "digest", "left")
+    alone = placed.filter("NOT may").drop("may").withColumn("first", F.lit(None).cast(joined.schema["first"].dataType))
+    joined = alone.unionByName(joined)
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
     http = F.concat(
@@ -97,21 +115,24 @@ def packed(record: bytes) -> bytes:
     return (member if member.endswith(b"\0") else member + EMPTY)[:-1]
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = 1000, **columns) -> None:
+def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, **columns) -> None:
+    """Archives of ``pages``; a file ends with the record that takes it to ``file_bytes`` or beyond."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, held = [], 0
         for batch in batches:
-            members, held = [], 0
             for value in batch.column(0):
                 members.append(packed(value.as_py() + END.encode()))
-                held += len(members[-1])
-                if held > EMIT_BYTES:
-                    yield pa.record_batch([pa.array(members, pa.binary())], names=["value"])
+                held += len(members[-1]) + 1
+                if held >= file_bytes:
+                    yield pa.record_batch([pa.array([b"\0".join(members)], pa.binary())], names=["value"])
                     members, held = [], 0
-            yield pa.record_batch([pa.array(members, pa.binary())], names=["value"])
+        if members:
+            yield pa.record_batch([pa.array([b"\0".join(members)], pa.binary())], names=["value"])
 
-    members = records(pages, **columns).select(F.col("value").cast("binary")).mapInArrow(run, "value binary")
-    # the text sink writes the bytes of a string as they are; the last byte of a member comes from lineSep
-    rows = members.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file)
+    files = records(pages, **columns).select(F.col("value").cast("binary")).mapInArrow(run, "value binary")
+    # a row is a file; the text sink writes the bytes of a string as they are, the last byte comes from lineSep
+    rows = files.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", 1)
     rows.option("compression", "none").text(path)
 
 

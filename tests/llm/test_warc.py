@@ -28,7 +28,7 @@ def digest(data):
 
 def test_round_trip(spark):
     path = scratch_path(spark, "warc")
-    warc.write_archives(pages(spark, ROWS), path, records_per_file=3)
+    warc.write_archives(pages(spark, ROWS), path, file_bytes=300)
     got = warc.read_archives(spark, path).withColumn("page_id", warc.page_of(F.col("record_id"))).withColumn("first", warc.page_of(F.col("refers_to")))
     rows = got.collect()
     assert {r.kind for r in rows} == {"record"} and len(rows) == len(ROWS)
@@ -44,6 +44,26 @@ def test_round_trip(spark):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_files_end_by_bytes(spark):
+    """A file has the record that takes it over the bound, and no more."""
+    rng = random.Random(3)
+    rows = [(i, f"http://a/{i}", rng.randbytes(rng.choice([100, 30_000])).hex()) for i in range(60)]
+    path, bound = scratch_path(spark, "warc"), 50_000
+    warc.write_archives(pages(spark, rows).coalesce(2), path, file_bytes=bound)
+    got = warc.read_archives(spark, path)
+    sizes = got.groupBy("file").agg(F.max(F.col("start") + F.col("length")).alias("size"), F.max("length").alias("last"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in sizes) == 60 and len(sizes) > 10
+    assert all(r.size - r.last < bound for r in sizes) and sum(r.size < bound for r in sizes) <= 2
+
+
+def test_pages_with_copies_alone_are_joined(spark):
+    """Every payload with copies has its bit; hardly any other page has."""
+    rows = [(i, "u", f"text {i if i % 10 else i % 50}") for i in range(2000)]
+    lines = warc.records(pages(spark, rows)).select(F.col("value").alias("v")).collect()
+    assert sum("WARC-Type: revisit" in r.v for r in lines) == 200 - 5
+    assert len({r.v for r in lines}) == 2000
+
+
 def record(k, payload):
     block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{k}>\r\nWARC-Payload-Digest: sha1:{digest(payload)}\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n"
