@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import LOWER, by_value, free_name
-from pagewright.sources.storage import stored
+from pagewright.sources.storage import discard, stored
 
 BITS = 64
 STEP = 4  # bits that one split of a large task goes deeper
@@ -249,7 +249,8 @@ def components(links: DataFrame) -> DataFrame:
             F.struct(F.col("m").alias("low"), F.col("high").alias("high")),
             F.struct(F.col("m").alias("low"), F.col("low").alias("high")),
         )).alias("e")).select("e.*").filter("low <> high")
-        edges = stored(small.distinct(), "edges")
+        last, edges = edges, stored(small.distinct(), "edges")
+        discard(last)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first()
         if now == before:
             break

@@ -41,12 +41,16 @@ def test_documents_keep_their_columns(spark):
     pairs = awkward()
     table = docs(spark, pairs)
     got = sharding.shard_documents(table, 4)
-    assert got.columns == [c for c in table.columns if c not in ("shard", "_row")] + ["shard", "slot"]
+    assert got.columns == [c for c in table.columns if c != "shard"] + ["shard", "slot"]
     assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == sorted((str(i), str(t)) for i, t in pairs)
     assert sharding.shard_documents(table.limit(0), 4).count() == 0
     assert sharding.assign(table.limit(0), 4).count() == 0
 
 
+def test_cells_follow_the_groups_and_the_shards():
+    assert [sharding.cells_for(n, s) for n, s in ((1, 40), (10**10, 40), (10**10, 10**5), (5, 10**7))] == [256, 9536, 10, 1]
+
+
 def test_the_placing_rule(spark):
     """Each unit goes to the bin whose remainder has the highest dot product with it; cells do not mix."""
     import random
