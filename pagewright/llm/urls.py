@@ -22,7 +22,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import small
+from pagewright.llm.common import lower_az, parameter_table, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN_GAPS = "[^A-Za-z0-9]+"
@@ -58,7 +58,7 @@ def rule_tokens(pattern: str) -> list[str]:
 
 def host_of(url: Column) -> Column:
     host = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
-    return F.translate(host, UPPER, LOWER)
+    return lower_az(host)
 
 
 def path_of(url: Column) -> Column:
@@ -74,7 +74,7 @@ def rule_index(addresses: DataFrame, rules: list[Rule]) -> DataFrame:
     the token array of each URL in ``tokens``; how many URLs have a token is counted over all of them."""
     spark = addresses.sparkSession
     rows = [(i, *r, rule_regex(r.pattern), rule_tokens(r.pattern) or [""]) for i, r in enumerate(rules)]
-    table = spark.createDataFrame(rows, "id int, verdict string, pattern string, rank int, name string, regex string, literals array<string>")
+    table = parameter_table(spark, rows, "id int, verdict string, pattern string, rank int, name string, regex string, literals array<string>")
     filed = table.select("*", F.explode("literals").alias("token")).drop("literals")
     seen = addresses.select(F.explode("tokens").alias("token"))
     counts = seen.join(small(filed.select("token").distinct(), len(rows)), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
@@ -83,12 +83,23 @@ def rule_index(addresses: DataFrame, rules: list[Rule]) -> DataFrame:
     return filed.join(best, ["id", "token"])
 
 
+def rules_of(table: DataFrame, most: int = 100_000) -> list[Rule]:
+    """The rules of a table (verdict, pattern, and for host rules rank and name, else NULL) in the order of its
+    column ``ord``. A rule list is a parameter of a job, ``most`` rows at most; more are an error."""
+    rows = table.orderBy("ord").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the table has over {most} rules")
+    return [Rule(r["verdict"], r["pattern"], r["rank"], r["name"]) for r in rows]
+
+
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
     """key, host, path, rule (name of the ranked rule or NULL), pattern that decided, verdict."""
     address = F.col(url)
     rows = pages.select(key, F.col(url).alias("_url"), host_of(address).alias("host"), path_of(address).alias("path"))
     rows = rows.withColumn("address", F.concat("host", "path"))
-    found = rows.filter("host <> '' OR path <> ''").select("address", tokens_of(F.col("address")).alias("tokens"))
+    bare = rows.filter("address = ''")
+    rows = rows.filter("address <> ''")
+    found = rows.select("address", tokens_of(F.col("address")).alias("tokens"))
     index = rule_index(found, rules)
     fetched = found.select("address", F.explode("tokens").alias("token")).join(small(index, len(rules)), "token")
     fits = fetched.filter(F.expr("address RLIKE regex"))
@@ -99,5 +110,6 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
     # equal addresses meet here, however many rows have them
     best = fits.groupBy("address").agg(F.max(order).alias("best"))
     best = best.select("address", F.col("best.name").alias("rule"), F.col("best.pattern").alias("pattern"), F.col("best.verdict").alias("verdict"))
-    out = rows.join(best, "address", "left")
+    # URLs without host and path fit no rule and need not meet
+    out = rows.join(best, "address", "left").unionByName(bare, allowMissingColumns=True)
     return out.select(key, "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), "pattern")

@@ -1,5 +1,8 @@
+import random
 import re
 
+import pytest
+
 from pagewright.llm import urls
 from pagewright.llm.queries import RULES
 
@@ -37,6 +40,35 @@ def test_verdicts_equal_running_all_rules(spark):
     assert urls.judge(table.limit(0), RULES).count() == 0
 
 
+def test_a_list_of_thousands_equals_running_all(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(60)}"
+    rows = []
+    for k in range(3000):
+        kind, verdict = rng.randrange(4), rng.choice(["block", "allow"])
+        if kind == 0:
+            rule = urls.host_rule(verdict, f"{word()}.com/{word()}/")
+            rows.append((k, *rule))
+        else:
+            rows.append((k, verdict, [f"||{word()}.com/*/{word()}^", f"*/{word()}/{word()}*", f"*{word()}-{word()}*"][kind - 1], None, None))
+    table = spark.createDataFrame(rows, "ord int, verdict string, pattern string, rank int, name string").repartition(3)
+    rules = urls.rules_of(table)
+    assert [tuple(r) for r in rules] == [r[1:] for r in rows]
+    addresses = [f"http://{word()}.{rng.choice(['com', 'net'])}/{word()}/{word()}-{word()}/{word()}" for _ in range(150)]
+    got = urls.judge(spark.createDataFrame(list(enumerate(addresses)), "page_id long, url string"), rules).collect()
+    compiled = [(i, r, re.compile(urls.rule_regex(r.pattern))) for i, r in enumerate(rules)]
+    decided = 0
+    for row in got:
+        address = row.host + row.path
+        fits = [(r.rank if r.rank is not None else -1, r.verdict == "allow", -i, r) for i, r, pattern in compiled if pattern.match(address)]
+        best = max(fits)[3] if fits else None
+        assert (row.verdict, row.rule, row.pattern) == ((best.verdict, best.name, best.pattern) if best else ("allow", None, None))
+        decided += best is not None
+    assert len(got) == 150 and decided > 20
+    with pytest.raises(ValueError):
+        urls.rules_of(table, most=2999)
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     addresses = spark.createDataFrame([(["net", "example", "en", ""],), (["net", "example", ""],), (["net", ""],)], "tokens array<string>")
     index = {r.id: r.token for r in urls.rule_index(addresses, RULES).collect()}
