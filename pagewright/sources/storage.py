@@ -24,8 +24,10 @@ def _located(spark: SparkSession, path: str):
 
 def _on_local_disk(spark: SparkSession, path: str) -> bool:
     """Whether the path lies on the local disk of one machine out of several."""
-    _, files = _located(spark, path)
-    return files.getUri().getScheme() == "file" and not spark.sparkContext.master.startswith("local")
+    if spark.sparkContext.master.startswith("local"):
+        return False
+    scheme = path.split("/", 1)[0].rpartition(":")[0]
+    return (scheme or _located(spark, path)[1].getUri().getScheme()) == "file"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
