@@ -19,7 +19,6 @@ gives an empty result. Only the key and the text are read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +42,21 @@ def _mod(x: np.ndarray, p: int) -> np.ndarray:
     return np.subtract(x, q, out=q)
 
 
-@lru_cache(maxsize=256)
+# a plain table, as a cached function would not travel to the workers as code
+_ROOTS: dict[tuple, np.ndarray] = {}
+
+
 def _powers(size: int, p: int, generator: int, inverse: bool) -> np.ndarray:
     """The first size / 2 powers of a root of unity of order ``size``, as a column."""
+    found = _ROOTS.get((size, p, inverse))
+    if found is not None:
+        return found
     root = pow(generator, (p - 1) // size, p)
     root = pow(root, p - 2, p) if inverse else root
     out = np.ones(1, np.uint64)
     while len(out) < size // 2:
         out = np.concatenate([out, _mod(out * np.uint64(pow(root, len(out), p)), p)])
+    _ROOTS[size, p, inverse] = out[:, None]
     return out[:, None]
 
 
