@@ -26,6 +26,7 @@ WEIGHTS = {"good": 0.9, "low": 0.07, "toxic": 0.03}
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards by vector bin packing; sizes near equal (law ``bytes``). Nulls, ties and repeats as in :mod:`sharding`."""
     placed = sharding.assign(table(spark, sf_dir, "documents"), 40)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -34,25 +35,30 @@ def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document. Nulls, ties and repeats as in :mod:`simhash`."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), size=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and verdict of every document. Nulls, ties and repeats as in :mod:`quality`."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text, words = F.col("text"), F.col("words")
-    split = docs.withColumn("words", split_words(text))
-    rules = quality.default_rules(text, words)
-    beyond = {name: rule for name, rule in rules.items() if name not in ("words", "repeats")}
-    order = [m["rule"] for m in quality.plan_cascade(split, beyond)]
-    facts = split.select(
-        "doc_id", "text", "words",
-        F.size(words).cast("long").alias("n_words"),
-        quality.word_chars(words).alias("word_chars"),
-        quality.n_symbols(text).alias("n_symbols"),
-        quality.n_dup_lines(text).alias("n_dup_lines"),
-        quality.n_repeat_words(words).alias("n_repeat_words"),
-    )
+
+    def with_facts(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("words", split_words(text)).select(
+            "doc_id", "text", "words",
+            F.size(words).cast("long").alias("n_words"),
+            quality.word_chars(words).alias("word_chars"),
+            quality.n_symbols(text).alias("n_symbols"),
+            quality.n_dup_lines(text).alias("n_dup_lines"),
+            quality.n_repeat_words(words).alias("n_repeat_words"),
+        )
+
+    known = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+    beyond = {name: rule for name, rule in quality.default_rules(text, words, known).items() if name not in ("words", "repeats")}
+    order = [m["rule"] for m in quality.plan_cascade(docs, beyond, prepare=with_facts)]
+    facts = with_facts(docs)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     facts = facts.withColumn("base_failed", failed)
     kept = F.when(F.col("base_failed"), False).otherwise(quality.verdict(beyond, order).isNull())
@@ -60,18 +66,22 @@ def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered. Nulls, ties and repeats as in :mod:`chat`."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
 def op5_trie_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document. Nulls, ties and repeats as in :mod:`tokens`."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def op6_rarest_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page. Nulls, ties and repeats as in :mod:`urls`."""
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
 
 
 def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of every document. Nulls, ties and repeats as in :mod:`mixing`."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = mixing.mixed(docs, labels, WEIGHTS, anchor="good")
     chances = [F.get("p", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(WEIGHTS)]
@@ -79,6 +89,7 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as read back from archives. Nulls, ties and repeats as in :mod:`warc`."""
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     found = warc.read_archives(spark, path, payloads=False).filter("kind = 'record'")
@@ -89,10 +100,12 @@ def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item. Nulls, ties and repeats as in :mod:`decontaminate`."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document. Nulls, ties and repeats as in :mod:`licenses`."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
