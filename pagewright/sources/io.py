@@ -1,4 +1,5 @@
-"""Readers and writers of the stage tables. Paths may be local or on any file system Spark knows."""
+"""Readers and writers of the stage tables. Paths may be local or on any file system Spark knows,
+those of page files on any that Arrow knows too."""
 
 from __future__ import annotations
 
@@ -12,7 +13,8 @@ from pagewright.functions import text as tx
 from pagewright.operators.hotkeys import number_rows
 from pagewright.operators.pages import discover_links
 from pagewright.schemas import CRAWL_MANIFEST, PAGES
-from pagewright.sources.storage import scratch_path
+from pagewright.sources import pagefiles
+from pagewright.sources.storage import scratch_path, stored
 
 _CSV = {
     "header": "true",
@@ -23,14 +25,6 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# Names of stored page files; the numbers count from 1.
-SNAPSHOT_FILE = r"product_snapshot_(\d+)\.html"
-PAGE_FILE = r"review_page_(\d+)_(\d+)\.html"
-PAYLOAD_FILE = r"review_page_(\d+)_(\d+)_browser_payload\.json"
-RENDERED_FILE = r"review_page_(\d+)_(\d+)_browser_rendered_html\.html"
-
-_FOLDER = "page_file"
-
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stage table from CSV. Without a schema every column is text; types are never guessed."""
@@ -121,60 +115,51 @@ def seed_template(categories: DataFrame, slots: int, seed_date: str) -> DataFram
     )
 
 
-def _number(name: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(name, pattern, group).try_cast("int")
-
-
-def _whole_files(spark: SparkSession, path: str, pattern: str, content: str) -> DataFrame:
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    named = files.select(F.col("value").alias(content), F.input_file_name().alias("file"))
-    in_folder = F.col("file").contains(_FOLDER + "=")
-    body = F.when(in_folder, F.regexp_replace(content, r"\n\z", "")).otherwise(F.col(content))
-    return named.withColumn(content, body).filter(F.col("file").rlike(pattern))
+def _whole(files: DataFrame) -> DataFrame:
+    """``files`` without filters going down to their scan: Spark plans a Python source once per table, so two
+    uses of one table with unlike filters would read the files of one of them."""
+    of = {"product_idx": F.lit(0), "page_no": F.lit(0), "payload_no": F.lit(0), "stage": F.lit("")}
+    return files.withColumns({c: F.coalesce(F.col(c), of[c]) for c in files.columns if c in of})
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """Stored page files as rows: stage, product_idx (from 0), page_no, html."""
-    name = F.col("file")
-    snapshot = name.rlike(SNAPSHOT_FILE)
-    index = F.when(snapshot, _number(name, SNAPSHOT_FILE, 1)).otherwise(_number(name, PAGE_FILE, 1))
-    files = _whole_files(spark, path, f"{SNAPSHOT_FILE}|{PAGE_FILE}", "html")
-    return files.select(
-        F.when(snapshot, "product_snapshot").otherwise("review_harvest").alias("stage"),
-        (index - 1).alias("product_idx"),
-        F.when(snapshot, 1).otherwise(_number(name, PAGE_FILE, 2)).alias("page_no"),
-        "html",
-    )
+    return _whole(pagefiles.page_rows(spark, path))
 
 
 def write_page_files(pages: DataFrame, path: str) -> None:
-    """One file per page, in a folder whose name carries stage, product and page number."""
-    pad = lambda c: F.lpad(c.cast("string"), F.greatest(F.lit(3), F.length(c.cast("string"))), F.lit("0"))
-    index, page = pad(F.col("product_idx") + 1), pad(F.col("page_no"))
-    name = F.when(
-        F.col("stage") == "product_snapshot", F.concat(F.lit("product_snapshot_"), index, F.lit(".html"))
-    ).otherwise(F.concat(F.lit("review_page_"), index, F.lit("_"), page, F.lit(".html")))
-    named = pages.select("html", name.alias(_FOLDER))
-    # opening files is the cost here, so the files are spread over all cores
-    spread = named.repartition(pages.sparkSession.sparkContext.defaultParallelism, _FOLDER)
-    spread.write.mode("append").partitionBy(_FOLDER).text(path)
+    """One file per page, whose name carries stage, product and page number. A page without product or number
+    has no file; rows of one page are lines of one file."""
+    snapshot = F.coalesce(F.col("stage") == "product_snapshot", F.lit(False))
+    named = pages.select(
+        F.when(snapshot, "product_snapshot").otherwise("review_harvest").alias("stage"), "product_idx",
+        F.when(snapshot, 1).otherwise(F.col("page_no")).alias("page_no"), "html",
+    )
+    _write_lines(named.withColumnRenamed("html", "body"), ["stage"], path)
+
+
+def write_payload_files(payloads: DataFrame, path: str) -> None:
+    """One file per captured payload: product_idx, payload_no, body (JSON text)."""
+    named = payloads.select(F.lit("payload").alias("kind"), F.lit("review_harvest").alias("stage"), "product_idx", F.col("payload_no").alias("page_no"), "body")
+    _write_lines(named, ["kind", "stage"], path)
+
+
+def _write_lines(rows: DataFrame, names, path: str) -> None:
+    whole = rows.withColumns({c: F.col(c).cast("int") for c in ("product_idx", "page_no")})
+    whole = pagefiles.by_folder(whole.filter("product_idx IS NOT NULL AND page_no IS NOT NULL"))
+    lines = F.array_join(F.collect_list(F.coalesce("body", F.lit(""))), "\n")
+    whole = whole.groupBy("_folder", *names, "product_idx", "page_no").agg(lines.alias("body"))
+    pagefiles.write_dealt(whole, path)
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     """Captured payload files as rows: product_idx, payload_no, source_url, payload (JSON text)."""
-    files = _whole_files(spark, path, PAYLOAD_FILE, "body")
-    return files.select(
-        (_number(F.col("file"), PAYLOAD_FILE, 1) - 1).alias("product_idx"),
-        _number(F.col("file"), PAYLOAD_FILE, 2).alias("payload_no"),
-        F.get_json_object("body", "$.source_url").alias("source_url"),
-        F.get_json_object("body", "$.payload").alias("payload"),
-    )
+    return _whole(pagefiles.payload_rows(spark, path))
 
 
 def read_rendered_files(spark: SparkSession, path: str) -> DataFrame:
     """Stored rendered pages as rows: product_idx, html."""
-    files = _whole_files(spark, path, RENDERED_FILE, "html")
-    return files.select((_number(F.col("file"), RENDERED_FILE, 1) - 1).alias("product_idx"), "html")
+    return _whole(pagefiles.rendered_rows(spark, path))
 
 
 def stored_pages(files: DataFrame, manifest: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
@@ -187,6 +172,7 @@ def stored_pages(files: DataFrame, manifest: DataFrame, seeds: DataFrame, max_pa
         F.max_by(F.struct("final_url", "status_code"), F.coalesce("scrape_time", F.lit(""))).alias("m")
     ).select("stage", "url", F.col("m.final_url").alias("final_url"), F.col("m.status_code").alias("status_code"))
     numbered = files.withColumn("page_id", F.expr("shiftleft(cast(product_idx AS bigint), 21) + page_no * 2 + cast(stage = 'product_snapshot' AS int)"))
+    numbered = stored(numbered, "page-files")  # each file is opened once
     firsts = numbered.filter("page_no = 1").join(seeds.select(F.col("ord").alias("product_idx"), F.col("product_url").alias("url")), "product_idx")
     firsts = firsts.join(last, ["stage", "url"], "left").withColumn("final_url", F.coalesce("final_url", "url"))
     found = discover_links(firsts.withColumnRenamed("page_id", "_first").withColumn("page_id", F.struct("stage", "product_idx")), max_pages)

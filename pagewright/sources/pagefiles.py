@@ -8,7 +8,11 @@ before any is opened. The planner packs the chosen files, in order of their name
 The writer takes rows with stage, product_idx, page_no and body, and kind if not all are pages. Files lie in a
 folder for each 1,000 products. A task writes into a staging folder of its own; when all tasks are done
 the files are moved to their places, so a failed or repeated task leaves nothing behind. A file that is there
-already is replaced.
+already is replaced. What a task reports is its folders, not its files; a folder that is new at its place moves
+as one, so :func:`write_files` deals the rows by folder.
+
+Where there are many folders, tasks are given folders, which they list themselves: neither the planner nor the
+driver then sees the files.
 
 ``path`` is on any file system that Arrow knows, mounted folders included; every machine has to reach it.
 """
@@ -19,7 +23,9 @@ import re
 import sys
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from itertools import chain
 
 import pyarrow as pa
 from pyarrow import fs
@@ -28,14 +34,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
-from pagewright.sources.io import PAGE_FILE, PAYLOAD_FILE, RENDERED_FILE, SNAPSHOT_FILE
+# Names of stored page files; the numbers count from 1.
+SNAPSHOT_FILE = r"product_snapshot_(\d+)\.html"
+PAGE_FILE = r"review_page_(\d+)_(\d+)\.html"
+PAYLOAD_FILE = r"review_page_(\d+)_(\d+)_browser_payload\.json"
+RENDERED_FILE = r"review_page_(\d+)_(\d+)_browser_rendered_html\.html"
 
 FORMAT = "page_files"
 SCHEMA = "kind string, stage string, product_idx int, page_no int, size long, body string"
 FOLDER_PRODUCTS = 1000
 BATCH_BYTES = 8 << 20
+BATCH_ROWS = 4096
+PLANNED_FOLDERS = 32  # more of them are listed by the tasks that read them
+FOLDER_TASKS = 1024  # at most, when folders are dealt to tasks
+MOVERS = 16
 _FOLDER = re.compile(r"products_(\d+)$")
 _STAGING = "_staging"
+# earlier writers made a folder per file, with a text file in it that ends in a line feed of its own
+_FILE_FOLDER = "page_file="
 # a payload's and a rendered page's name begins like a page's, so these come first
 _NAMES = (
     ("payload", "review_harvest", re.compile(PAYLOAD_FILE + "$")), ("rendered", "review_harvest", re.compile(RENDERED_FILE + "$")),
@@ -78,9 +94,10 @@ _TOLD = ("kind", "stage", "product_idx", "page_no")
 
 @dataclass
 class Files(ds.InputPartition):
-    """(path, size, facts) of the files of one task."""
+    """(path, size, facts) of the files of one task, and folders whose files it has to find itself."""
 
     files: list
+    folders: list = field(default_factory=list)
 
     def __post_init__(self) -> None:
         super().__init__(None)
@@ -123,41 +140,69 @@ class PageFileReader(ds.DataSourceReader):
                 return False
         return True
 
+    def _listed(self, system: fs.FileSystem, folder: str, named: str | None = None) -> tuple[list, list[str]]:
+        """The files of a folder that the filters want, and the folders in it that can hold some."""
+        found, folders = [], []
+        for info in system.get_file_info(fs.FileSelector(folder)):
+            if info.base_name.startswith(("_", ".")):
+                continue
+            if info.type == fs.FileType.Directory:
+                number = _FOLDER.search(info.base_name)
+                facts = facts_of(info.base_name) if info.base_name.startswith(_FILE_FOLDER) else None
+                if (number is None or self._folder_fits(int(number[1]))) and (facts is None or self._fits(facts)):
+                    folders.append(info.path)
+                continue
+            facts = facts_of(named or info.base_name)
+            if facts is not None and self._fits(facts):
+                found.append((info.path, info.size or 0, facts))
+        return found, folders
+
+    def _below(self, system: fs.FileSystem, folders: list[str]) -> Iterator[tuple[str, int, dict]]:
+        """The files to read in ``folders`` and the folders in these, folder by folder."""
+        folders = list(folders)
+        while folders:
+            folder = folders.pop()
+            name = folder.rsplit("/", 1)[-1]
+            found, more = self._listed(system, folder, name if name.startswith(_FILE_FOLDER) else None)
+            folders += more
+            yield from found
+
     def chosen(self) -> list[tuple[str, int, dict]]:
         """The files to read, by name. Folders that cannot hold any are not listed."""
         system, root = file_system(self.path)
-        found, folders = [], [root]
-        while folders:
-            for info in system.get_file_info(fs.FileSelector(folders.pop())):
-                if info.type == fs.FileType.Directory:
-                    number = _FOLDER.search(info.base_name)
-                    if not info.base_name.startswith(("_", ".")) and (number is None or self._folder_fits(int(number[1]))):
-                        folders.append(info.path)
-                    continue
-                facts = facts_of(info.base_name)
-                if facts is not None and self._fits(facts):
-                    found.append((info.path, info.size or 0, facts))
-        return sorted(found, key=lambda f: f[0])
+        return sorted(self._below(system, [root]), key=lambda f: f[0])
 
     def partitions(self) -> list[Files]:
+        system, root = file_system(self.path)
+        found, folders = self._listed(system, root)
+        if len(folders) > PLANNED_FOLDERS:
+            n = min(len(folders), FOLDER_TASKS)
+            folders = sorted(folders)
+            return [*self._packed(sorted(found, key=lambda f: f[0])), *(Files([], folders[k::n]) for k in range(n))]
+        packed = self._packed(sorted([*found, *self._below(system, folders)], key=lambda f: f[0]))
+        return packed or [Files([])]
+
+    def _packed(self, files: list[tuple[str, int, dict]]) -> list[Files]:
         packed, held, size = [], [], 0
-        for file in self.chosen():
+        for file in files:
             if held and size + max(file[1], self.open_cost) > self.partition_bytes:
                 packed.append(Files(held))
                 held, size = [], 0
             held.append(file)
             size += max(file[1], self.open_cost)
-        return [*packed, Files(held)] if held or not packed else packed
+        return [*packed, Files(held)] if held else packed
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, _ = file_system(self.path)
         rows, held = [], 0
-        for path, size, facts in partition.files if partition else ():
+        for path, size, facts in chain(partition.files, self._below(system, partition.folders)) if partition else ():
             with system.open_input_stream(path) as stream:
                 data = stream.read()
+            if path.rpartition("/")[0].rpartition("/")[2].startswith(_FILE_FOLDER):
+                data = data.removesuffix(b"\n")
             rows.append({**facts, "size": size, "body": data.decode("utf-8", "replace")})
             held += size
-            if held >= BATCH_BYTES:
+            if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
                 yield pa.RecordBatch.from_pylist(rows, _ARROW)
                 rows, held = [], 0
         if rows:
@@ -171,42 +216,50 @@ _ARROW = pa.schema([
 
 @dataclass
 class Written(ds.WriterCommitMessage):
-    """Pairs (staged path, place) of a task."""
+    """A task's staging folder and the names of the folders in it."""
 
-    moves: list
+    own: str
+    folders: list
 
 
-class PageFileWriter(ds.DataSourceWriter):
+class PageFileWriter(ds.DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool) -> None:
         self.path, self.overwrite = options["path"], overwrite
         self.staging = f"{_STAGING}-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, root = file_system(self.path)
-        own, folders, moves = f"{root}/{self.staging}/{uuid.uuid4().hex}", set(), []
+        own, folders = f"{root}/{self.staging}/{uuid.uuid4().hex}", set()
         system.create_dir(own, recursive=True)
-        for row in iterator:
-            kind = row["kind"] if "kind" in row else "page"
+        for row in (r for batch in iterator for at in range(0, len(batch), BATCH_ROWS) for r in _rows(batch.slice(at, BATCH_ROWS))):
             folder = f"products_{row['product_idx'] // FOLDER_PRODUCTS:07d}"
-            name = name_of(kind, row["stage"], row["product_idx"], row["page_no"])
+            name = name_of(row.get("kind", "page"), row["stage"], row["product_idx"], row["page_no"])
             if folder not in folders:
                 system.create_dir(f"{own}/{folder}")
                 folders.add(folder)
             with system.open_output_stream(f"{own}/{folder}/{name}") as stream:
                 stream.write((row["body"] or "").encode())
-            moves.append((f"{own}/{folder}/{name}", f"{root}/{folder}", name))
-        return Written(moves)
+        return Written(own, sorted(folders))
 
     def commit(self, messages: list[Written | None]) -> None:
         system, root = file_system(self.path)
+        old = {i.base_name for i in system.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory and _FOLDER.search(i.base_name)}
         if self.overwrite:
-            for info in system.get_file_info(fs.FileSelector(root)):
-                if info.type == fs.FileType.Directory and _FOLDER.search(info.base_name):
-                    system.delete_dir(info.path)
-        for folder in {m[1] for message in messages if message for m in message.moves}:
-            system.create_dir(folder, recursive=True)
-        for staged, folder, name in (m for message in messages if message for m in message.moves):
-            system.move(staged, f"{folder}/{name}")
+            for folder in old:
+                system.delete_dir(f"{root}/{folder}")
+            old = set()
+        # a new folder moves as one where the file system can do that; the files of others one by one
+        whole, single = [], []
+        for own, folder in ((m.own, f) for m in messages if m for f in m.folders):
+            if folder in old or system.type_name not in ("local", "hdfs"):
+                system.create_dir(f"{root}/{folder}", recursive=True)
+                single.append((f"{own}/{folder}", f"{root}/{folder}"))
+            else:
+                whole.append((f"{own}/{folder}", f"{root}/{folder}"))
+                old.add(folder)
+        with ThreadPoolExecutor(MOVERS) as movers:
+            list(movers.map(lambda m: system.move(*m), whole))
+            list(movers.map(lambda m: _move_files(system, *m), single))
         system.delete_dir(f"{root}/{self.staging}")
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -215,6 +268,16 @@ class PageFileWriter(ds.DataSourceWriter):
             system.delete_dir(f"{root}/{self.staging}")
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    names = batch.schema.names
+    return (dict(zip(names, row, strict=True)) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+
+def _move_files(system: fs.FileSystem, staged: str, folder: str) -> None:
+    for info in system.get_file_info(fs.FileSelector(staged)):
+        system.move(info.path, f"{folder}/{info.base_name}")
+
+
 class PageFiles(ds.DataSource):
     @classmethod
     def name(cls) -> str:
@@ -241,8 +304,20 @@ def read_files(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.read.format(FORMAT).options(**options).load(path)
 
 
+def by_folder(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_folder``, all of one folder in one task. A few folders are a task each; opening files is
+    the cost, so the number of tasks does not follow the bytes."""
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.withColumn("_folder", F.floor(F.col("product_idx") / FOLDER_PRODUCTS)).repartition(tasks, "_folder")
+
+
 def write_files(rows: DataFrame, path: str, mode: str = "append") -> None:
     """``rows`` (stage, product_idx, page_no, body, and kind if there are others than pages) as files."""
+    write_dealt(by_folder(rows), path, mode)
+
+
+def write_dealt(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """What :func:`write_files` does, for rows that lie where they shall be written."""
     register(rows.sparkSession)
     columns = [c for c in ("kind", "stage", "product_idx", "page_no", "body") if c in rows.columns]
     rows.select(*columns).write.format(FORMAT).mode(mode).save(path)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
+from pagewright.sources import io
 from pagewright.sources import pagefiles as pf
 
 ROWS = "kind string, stage string, product_idx int, page_no int, body string"
@@ -98,3 +99,51 @@ def test_a_failed_write_leaves_nothing(spark):
 
 def test_an_empty_folder(spark):
     assert pf.read_files(spark, tempfile.mkdtemp(prefix="run-")).count() == 0
+
+
+def test_a_task_reports_folders_and_new_folders_move_as_one(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="run-")
+    writer = pf.PageFileWriter({"path": root}, False)
+    batch = lambda rows: pf.pa.RecordBatch.from_pylist([dict(zip(("kind", "stage", "product_idx", "page_no", "body"), r, strict=True)) for r in rows])
+    done = [writer.write(iter([batch(rows_of()[k::2])])) for k in range(2)]
+    assert all(m.folders == [f"products_{k:07d}" for k in range(3)] for m in done) and len(str(done)) < 600
+    moved = []
+
+    class Moves(Watched):
+        type_name = "local"
+
+        def move(self, a, b):
+            moved.append(a)
+            self.system.move(a, b)
+
+    monkeypatch.setattr(pf, "file_system", lambda p: (Moves(pf.fs.LocalFileSystem()), p))
+    writer.commit(done)
+    assert sum("." not in m.rsplit("/", 1)[-1] for m in moved) == 3 and len(moved) < len(rows_of())
+    assert len(list(Path(root).rglob("*.*"))) == len(rows_of()) and not list(Path(root).glob("_staging*"))
+
+
+def test_many_folders_are_listed_by_the_tasks(spark):
+    rows = [("page", "review_harvest", 1000 * k, p, f"{k} {p}") for k in range(40) for p in (1, 2)]
+    path = written(spark, rows)
+    reader = pf.PageFileReader({"path": path})
+    parts = reader.partitions()
+    assert len(parts) == 40 and not any(p.files for p in parts)
+    found = pf.read_files(spark, path).filter("page_no = 2 AND product_idx >= 35000")
+    assert sorted((r.product_idx, r.body) for r in found.collect()) == [(1000 * k, f"{k} 2") for k in range(35, 40)]
+
+
+def test_page_files_of_the_jobs(spark):
+    path = tempfile.mkdtemp(prefix="run-")
+    rows = [("review_harvest", 0, 1, "a"), ("review_harvest", 0, 1, "a"), ("review_harvest", 0, 2, "x\n"), ("product_snapshot", 1234567, 9, None),
+            (None, 2, 1, "z"), ("review_harvest", None, 1, "gone"), ("review_harvest", 4, None, "gone")]
+    io.write_page_files(spark.createDataFrame(rows, "stage string, product_idx long, page_no int, html string").repartition(5), path)
+    old = Path(path, "page_file=review_page_008_001.html")
+    old.mkdir()
+    (old / "part-0.txt").write_text("<p>\n\n")
+    (old / "_SUCCESS").write_text("")
+    found = io.read_page_files(spark, path)
+    want = [("product_snapshot", 1234567, 1, ""), ("review_harvest", 0, 1, "a\na"), ("review_harvest", 0, 2, "x\n"), ("review_harvest", 2, 1, "z"), ("review_harvest", 7, 1, "<p>\n")]
+    assert sorted(map(tuple, found.collect())) == want
+    both = found.filter("page_no = 1").unionByName(found.filter("page_no = 2"))
+    assert sorted(map(tuple, both.collect())) == want
+    assert not list(Path(path).glob("page_file=*_00[12]_00[12].html"))
