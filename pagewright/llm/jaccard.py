@@ -13,7 +13,8 @@ The matrix has a row per distinct set of n-grams and a column per n-gram; rows t
    few more, and rows that are linked need no further product among themselves. The pairs that are then still open are
    multiplied block by block of members, so that no column has to fit in one task: a task accumulates the
    overlaps of the rows' rare parts and discards pairs that cannot reach the bound of their sizes any more.
-   All pairs that are left are multiplied in full and kept if they reach the bound.
+   Those that are left, unless the task has linked their rows already, are multiplied in full by the same task,
+   which hands on links and no pairs.
 4. Connected components of all links.
 
 Documents with equal sets are one row of the matrix and linked. NULL and empty texts have no n-grams and no
@@ -41,6 +42,7 @@ PIECE_ENTRIES = 1 << 20  # handed on at a time
 MEMBERS = 256  # of a column in one block of the product
 LARGE = 4096  # members of a column that get further rounds
 ROUNDS, PICKS = 4, 8  # products of a column's members with one of them, and with a few in further rounds
+PARTNERS = 4  # picked members that a row is multiplied with in a round, whatever the number of its columns
 _ODD = np.random.default_rng(23).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOW = np.uint64((1 << 57) - 1)
 LONGS = "array<long>"
@@ -248,12 +250,17 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 
 def round_pairs(open_rows: DataFrame, percent: int, seed: int, picks: int = 1) -> DataFrame:
-    """(a, b): members of a column and ``picks`` of its members at home, which hashes choose."""
-    order = lambda k: F.struct(F.xxhash64("node", F.lit(seed), F.lit(k)), "node", "n", "label")
+    """(a, b): members of a column and ``picks`` of its members at home, which hashes choose. A row stands in many
+    columns, of near copies with almost the same members, so of their picks it takes the first by the hash, which
+    tends to be that of its neighbours too, and a few others; what they leave open stays open."""
+    order = lambda k: F.struct(F.xxhash64("node", F.lit(seed), F.lit(k)).alias("order"), "node", "n", "label")
     picked = open_rows.filter("home").groupBy("column").agg(F.array(*[F.min(order(k)) for k in range(picks)]).alias("p"))
     pairs = open_rows.join(picked.select("column", F.explode("p").alias("p")), "column").filter("label <> p.label")
     pairs = pairs.filter(100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
-    return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
+    first = F.min_by("p.node", F.struct("p.order", "p.node"))
+    others = [F.min_by("p.node", F.struct(F.xxhash64("p.node", F.lit(seed), F.lit(-k)), "p.node")) for k in range(1, PARTNERS)]
+    taken = pairs.groupBy("node").agg(F.array_distinct(F.array(first, *others)).alias("with")).select("node", F.explode("with").alias("with"))
+    return taken.select(F.least("node", "with").alias("a"), F.greatest("node", "with").alias("b"))
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -291,10 +298,32 @@ def may_link(left: tuple, right: tuple, percent: int) -> tuple[np.ndarray, np.nd
     return out, first
 
 
-def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of open columns that can be similar and have different labels, each from the first of
-    the columns that both heads have (columns with the same members are left as their first). The members
-    with a column's most frequent label have blocks of their own, which are not multiplied among themselves."""
+def spanning(left: np.ndarray, right: np.ndarray, labels: np.ndarray, entries: list[np.ndarray], n: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs (left, right) of row numbers are similar, but for those whose rows the pairs before
+    them or their ``labels`` connect: at most as many as there are labels, less one."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in up:
+            up[x] = x = up.get(up[x], up[x])
+        return x
+
+    out = np.zeros(len(left), bool)
+    for at, (i, j) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
+        a, b = root(int(labels[i])), root(int(labels[j]))
+        if a == b:
+            continue
+        common = len(np.intersect1d(entries[i], entries[j], assume_unique=True))
+        if (100 + percent) * common >= percent * (int(n[i]) + int(n[j])):
+            up[a], out[at] = b, True
+    return out
+
+
+def block_links(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what all links between rows of open columns with different labels connect. A
+    pair is looked at in the first of the columns that both heads have (columns with the same members are left
+    as their first). The members with a column's most frequent label have blocks of their own, which are not
+    multiplied among themselves."""
     own, others = F.ceil(F.col("top.w") / MEMBERS), F.ceil((F.col("weight") - F.col("top.w")) / MEMBERS)
     top, dealt = F.col("label") == F.col("top.label"), F.xxhash64("node")
     dealt = open_rows.withColumn("block", F.when(top, others + F.pmod(dealt, own)).otherwise(F.pmod(dealt, others)))
@@ -308,7 +337,8 @@ def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFram
         nodes, labels, n, kept, home, block, p, q = (
             found.column(c).to_numpy() for c in ("node", "label", "n", "kept", "home", "block", "p", "q")
         )
-        heads = [e.values.to_numpy() for e in found.column("heads")]
+        entries = [e.values.to_numpy() for e in found.column("entries")]
+        heads = [e[:h] for e, h in zip(entries, found.column("head").to_pylist(), strict=True)]
         left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
         a = b = np.empty(0, np.int64)
         if len(left) and len(right):
@@ -317,11 +347,13 @@ def block_pairs(open_rows: DataFrame, rows: DataFrame, percent: int) -> DataFram
             close &= (labels[left][:, None] != labels[right]) & (home[left][:, None] | home[right])
             close &= first == found.column("column")[0]["entry"].as_py()
             i, j = np.nonzero(close)
-            a, b = nodes[left[i]], nodes[right[j]]
+            i, j = left[i], right[j]
+            linked = spanning(i, j, labels, entries, n, percent)
+            a, b = nodes[i[linked]], nodes[j[linked]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    heads = rows.select("node", F.size("entries").cast("long").alias("kept"), F.slice("entries", F.lit(1), F.col("head").cast("int")).alias("heads"))
-    return tasks.join(heads, "node").groupBy("column", "p", "q").applyInArrow(run, "a long, b long")
+    kept = rows.select("node", F.size("entries").cast("long").alias("kept"), "entries", "head")
+    return tasks.join(kept, "node").groupBy("column", "p", "q").applyInArrow(run, "a long, b long")
 
 
 def jaccard_labels(rows: DataFrame, percent: int) -> DataFrame | None:
@@ -333,12 +365,11 @@ def jaccard_labels(rows: DataFrame, percent: int) -> DataFrame | None:
             break
         many = open_rows.filter(F.col("members") > LARGE)
         if seed == 0:
-            pairs = round_pairs(open_rows, percent, seed)
+            found = verified(round_pairs(open_rows, percent, seed), rows, percent)
         elif seed < ROUNDS and not many.isEmpty():
-            pairs = round_pairs(many, percent, seed, PICKS)
+            found = verified(round_pairs(many, percent, seed, PICKS), rows, percent)
         else:
-            pairs, last = block_pairs(open_rows, rows, percent), True
-        found = verified(pairs, rows, percent)
+            found, last = block_links(open_rows, rows, percent), True
         if labels is not None:
             found = found.unionByName(labels.select(F.col("label").alias("a"), F.col("node").alias("b")))
         labels = components(found)

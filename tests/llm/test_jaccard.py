@@ -131,3 +131,20 @@ def test_empty_table(spark):
     assert jaccard.jaccard_components(docs(spark, [])).count() == 0
     got = jaccard.jaccard_components(docs(spark, [(1, None), (2, ""), (3, "one")])).collect()
     assert in_order(got) == [(1, 0, 1), (2, 0, 2), (3, 1, 3)]
+
+
+def test_a_block_hands_on_a_spanning_forest():
+    base = np.arange(100, dtype=np.uint64)
+    entries = [np.delete(base, k) for k in range(30)] + [np.arange(200, 300, dtype=np.uint64)]
+    n, labels = np.array([len(e) for e in entries]), np.arange(31)
+    i, j = np.nonzero(np.triu(np.ones((31, 31), bool), 1))
+    linked = jaccard.spanning(i, j, labels, entries, n, 80)
+    assert linked.sum() == 29 and not (j[linked] == 30).any()  # 435 pairs of near copies are similar
+    assert jaccard.spanning(i, j, np.append(np.zeros(30, int), 30), entries, n, 80).sum() == 0
+
+
+def test_a_row_takes_few_partners_in_a_round(spark):
+    rows = [((c, 0), node, 100, True, node) for c in range(50) for node in range(20) if (node * 7 + c) % 3]
+    schema = "column struct<entry:long,class:long>, node long, n long, home boolean, label long"
+    pairs = jaccard.round_pairs(spark.createDataFrame(rows, schema), 80, 0)
+    assert 19 <= pairs.distinct().count() <= 20 * jaccard.PARTNERS
