@@ -2,8 +2,9 @@
 
 A store is a folder of Parquet files, cut into slices by a hash of the key (folders) and within a slice into
 buckets by the key (files, sorted by it). A batch is brought to one row per key, shuffled to the buckets and
-joined with the stored rows bucket by bucket, so the stored side is read where it lies and never shuffled,
-and only from slices that the batch touches. Slices in which a row is new or comes before the stored one are
+joined with the stored rows bucket by bucket and slice by slice (a few together where there are many), so the
+stored side is read where it lies and never shuffled, only from slices that the batch touches, and a task has one
+bucket of few slices in memory. Slices in which a row is new or comes before the stored one are
 written anew; all others stay as they are.
 
 The order of a row is its own (say, when it was crawled), so batches may come in any order and merging a
@@ -13,6 +14,7 @@ it was; run it again.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from dataclasses import dataclass
@@ -26,6 +28,7 @@ from pagewright.sources.io import exists
 from pagewright.sources.storage import stored
 
 _KEY, _SLICE = "_key", "_slice"
+GROUPS = 16  # of slices, which are joined apart from each other
 
 
 @dataclass(frozen=True)
@@ -87,36 +90,63 @@ def _slices_of(rows: DataFrame) -> list[int]:
     return [r[0] for r in rows.select(_SLICE).distinct().collect()]
 
 
+def _groups(slices) -> list[list[int]]:
+    """The slices dealt into GROUPS at most."""
+    slices = sorted(slices)
+    return [slices[k::GROUPS] for k in range(min(len(slices), GROUPS))]
+
+
+def _by_group(slices, joined, none: DataFrame) -> DataFrame:
+    """What ``joined`` gives for each group of slices, put together; ``none`` where there is no slice."""
+    parts = [joined(group) for group in _groups(slices)]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else none
+
+
 def changes_of(store: Store, batch: DataFrame) -> DataFrame:
     """The rows of ``batch`` (placed, one per key) that are new or come before the stored row of their key,
     with ``_new``."""
-    old = store.spark.table(store.table).filter(F.col(_SLICE).isin(_slices_of(batch)))
-    old = old.select(_KEY, F.col(store.order).alias("_had"), F.lit(True).alias("_known"))
-    both = batch.join(old, _KEY, "left")
     earlier = F.col(store.order).isNotNull() & (F.col("_had").isNull() | (F.col(store.order) < F.col("_had")))
     fresh = F.col("_known").isNull()
-    return both.filter(fresh | earlier).withColumn("_new", fresh).drop("_had", "_known")
+
+    def joined(group: list[int]) -> DataFrame:
+        old = store.spark.table(store.table).filter(F.col(_SLICE).isin(group))
+        old = old.select(_KEY, F.col(store.order).alias("_had"), F.lit(True).alias("_known"))
+        both = batch.filter(F.col(_SLICE).isin(group)).join(old, _KEY, "left")
+        return both.filter(fresh | earlier).withColumn("_new", fresh).drop("_had", "_known")
+
+    return _by_group(_slices_of(batch), joined, batch.limit(0).withColumn("_new", F.lit(True)))
 
 
 def merged_rows(store: Store, changes: DataFrame, slices: list[int]) -> DataFrame:
     """All rows of ``slices`` with the changes in place, ready to be written."""
     names = [*store.schema.names, _KEY, _SLICE]
-    old = store.spark.table(store.table).filter(F.col(_SLICE).isin(slices))
     was, now = F.struct(*names).alias("_was"), F.struct(*names).alias("_now")
-    both = old.select(_KEY, was).join(changes.select(_KEY, now), _KEY, "full")
-    return both.select(F.coalesce("_now", "_was").alias("_row")).select(*[F.col(f"_row.{c}") for c in names])
+
+    def joined(group: list[int]) -> DataFrame:
+        old = store.spark.table(store.table).filter(F.col(_SLICE).isin(group))
+        both = old.select(_KEY, was).join(changes.filter(F.col(_SLICE).isin(group)).select(_KEY, now), _KEY, "full")
+        return both.select(F.coalesce("_now", "_was").alias("_row")).select(*[F.col(f"_row.{c}") for c in names])
+
+    return _by_group(slices, joined, changes.select(*names).limit(0))
+
+
+def _dealt(store: Store, rows: DataFrame) -> DataFrame:
+    """``rows`` with a bucket of each slice in one task, and as many tasks as buckets and groups of slices."""
+    groups = min(store.slices, GROUPS)
+    bucket = F.pmod(F.hash(_KEY), F.lit(store.buckets))
+    return rows.repartitionById(groups * store.buckets, F.pmod(F.col(_SLICE), F.lit(groups)) * store.buckets + bucket)
 
 
 def merge(store: Store, rows: DataFrame) -> dict[str, int]:
     """Merge a batch into the store. Returns how many rows are new, how many took the place of a stored row,
     and how many slices were written."""
-    batch = stored(_placed(store, rows), "batch")
-    changes = stored(changes_of(store, batch), "changes")
+    batch = stored(_placed(store, rows), "batch", _SLICE)
+    changes = stored(changes_of(store, batch), "changes", _SLICE)
     counts = changes.agg(F.count_if("_new").alias("new"), F.count_if(~F.col("_new")).alias("replaced")).first()
     slices = _slices_of(changes)
     if slices:
         first = store.spark.table(store.table).isEmpty()
-        out = merged_rows(store, changes, slices) if not first else changes.drop("_new").repartition(store.buckets, _KEY)
+        out = merged_rows(store, changes, slices) if not first else _dealt(store, changes.drop("_new"))
         out = out.select(*store.schema.names, _KEY, _SLICE)
         out.write.insertInto(store.table, overwrite=True)
         store.spark.catalog.refreshTable(store.table)

@@ -104,3 +104,19 @@ def test_a_store_refuses_clashing_columns(spark):
     schema = spark.createDataFrame([], "ord long, _key string").schema
     with pytest.raises(ValueError):
         inc.create_store(spark, tempfile.mkdtemp(prefix="run-") + "/s", schema, ["_key"])
+
+
+def test_slices_are_joined_and_written_apart(spark):
+    store = new_store(spark, slices=8, buckets=2)
+    rows = spark.range(4000).select(F.col("id").alias("ord"), F.col("id").cast("string").alias("k"), F.lit(1).alias("k2"), F.lit("x").alias("text"))
+    inc.merge(store, rows)
+    batch = inc._placed(store, rows.withColumn("ord", F.col("ord") - 5000))
+    changes = inc.changes_of(store, batch)
+    merged = inc.merged_rows(store, changes, list(range(8)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows in (changes, merged, inc._dealt(store, batch)):
+            in_task = rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_distinct("_slice").alias("s")).collect()
+            assert len(in_task) == 16 and {r.s for r in in_task} == {1} and max(r.n for r in in_task) < 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
