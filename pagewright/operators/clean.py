@@ -89,5 +89,7 @@ def treated_reviews(reviews: DataFrame) -> DataFrame:
 def clean_reviews(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
     """Normalized and masked review rows, first one per product, text, time and star."""
     rows, order = with_order(treated_reviews(reviews), order_by)
-    keys = [c for c in REVIEW_KEY if c in rows.columns]
-    return keep_first(rows, keys, order).drop(ORD)
+    # the treated text is the normalized one, so one of the two is shuffled
+    keys = ["review_text" if c == "normalized_review_text" else c for c in REVIEW_KEY if c in rows.columns]
+    first = keep_first(rows.drop("normalized_review_text"), keys, order)
+    return first.withColumn("normalized_review_text", F.col("review_text")).select(*rows.columns).drop(ORD)

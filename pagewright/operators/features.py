@@ -54,8 +54,12 @@ def review_order(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
 
 def build_review_features(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
     """Reviews with all features. The order is computed on the raw columns, so the derived text is
-    not carried through the sort."""
-    return text_features(review_order(reviews, order_by))
+    not carried through the sort; nor is one that an earlier step derived, as it is derived again."""
+    derived = "normalized_review_text"
+    found = text_features(review_order(reviews.drop(derived), order_by))
+    if derived not in reviews.columns:
+        return found
+    return found.select(*reviews.columns, *[c for c in found.columns if c not in reviews.columns])
 
 
 def product_rollup(features: DataFrame) -> DataFrame:

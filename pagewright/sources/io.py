@@ -26,6 +26,9 @@ _CSV = {
 }
 
 
+_CODEC = "zstd"  # of stage tables, which are mostly text
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stage table from CSV. Without a schema every column is text; types are never guessed."""
     reader = spark.read.options(**_CSV)
@@ -59,7 +62,7 @@ def write_stage(df: DataFrame, path: str) -> int:
     if "ord" not in df.columns:
         raise ValueError("a stage table carries its order in the column ord")
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", _CODEC).parquet(path)
     return seen.get["rows"]
 
 
@@ -194,7 +197,7 @@ def export_table(df: DataFrame, path: str) -> dict:
     the plan runs once; the row count is observed during that write."""
     csv_path = f"{path.removesuffix('.parquet')}.csv"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", _CODEC).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.write.mode("overwrite").options(**_CSV).csv(csv_path)
     return {
