@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright.operators import clean
-from pagewright.plans import jobs
+from pagewright.plans import catalog, jobs
 from pagewright.sources import io
 from tests.fixtures import PAYLOAD, PRODUCT_URL, RENDERED_CARDS, SAMPLE_PAGE, SHELL_PAGE
 
@@ -264,3 +264,15 @@ def test_manifest_appends(spark, tmp_path):
     rows = io.read_manifest(spark, path).collect()
     assert len(rows) == 2 and rows[0].stop_reason == "status_403" and rows[0].status_code == 403
     assert rows[0].stop_matched_text == "403" and rows[0].error is None
+
+
+def test_pages_of_a_thin_table_are_parsed_by_many_tasks(spark, tmp_path):
+    names = "cast(id AS string) AS p_name, 'b' AS p_brand, 'a b' AS p_type, cast(id % 50 AS int) AS p_size"
+    spark.range(300).selectExpr("id AS p_partkey", *names.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    snapshots = catalog.product_pages(spark, str(tmp_path))
+    assert snapshots.rdd.getNumPartitions() == tasks and snapshots.select("page_id").distinct().count() == 300
+    _, pages, payloads, rendered = catalog._harvest_inputs(spark, str(tmp_path))
+    # the pages are three tables over the parts: first, later and first pages once more
+    assert [t.rdd.getNumPartitions() for t in (pages, payloads, rendered)] == [3 * tasks, tasks, tasks]
+    assert pages.count() == 300 + 50 * (2 + 4 + 1) + 300
