@@ -43,12 +43,10 @@ def _parse(texts, too_deep=None):
                 too_deep.append(index)
 
 
-def _nodes(texts, keep_json):
-    """Node columns of one page. Siblings are neighbours in the array (``first``, ``size`` address
-    the children of a node, ``up`` its parent); ``pos`` is the rank in document order. A text that is
-    nested too deeply is one node of kind ``skipped`` whose ``up`` is SKIPPED."""
-    too_deep = []
-    parsed = list(_parse(texts, too_deep))
+def _nodes(parsed, too_deep, keep_json):
+    """Node columns of one page from what :func:`_parse` gave. Siblings are neighbours in the array (``first``,
+    ``size`` address the children of a node, ``up`` its parent); ``pos`` is the rank in document order. A text
+    that is nested too deeply is one node of kind ``skipped`` whose ``up`` is SKIPPED."""
     blobs, values = [b for b, _ in parsed], [v for _, v in parsed]
     keys, ups, firsts, sizes = [None] * len(values), [-1] * len(values), [], []
     at = 0
@@ -117,16 +115,21 @@ def node_reader(keep_json=()):
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             for start in range(0, len(batch), PAGES_AT_ONCE):
-                yield _node_array(batch.slice(start, PAGES_AT_ONCE), wanted)
+                yield _node_array(map(_parsed, batch.slice(start, PAGES_AT_ONCE).to_pylist()), wanted)
 
     return read
 
 
-def _node_array(pages: pa.Array, keep_json) -> pa.Array:
-    """Node arrays of a few pages, built column by column."""
+def _parsed(texts) -> tuple[list, list]:
+    too_deep = []
+    return list(_parse(texts, too_deep)), too_deep
+
+
+def _node_array(pages, keep_json) -> pa.Array:
+    """Node arrays of a few pages (pairs of parsed texts and those too deep), built column by column."""
     columns, offsets = [[] for _ in _NODE_FIELDS], [0]
-    for page in pages.to_pylist():
-        for column, part in zip(columns, _nodes(page, keep_json)):
+    for parsed, too_deep in pages:
+        for column, part in zip(columns, _nodes(parsed, too_deep, keep_json)):
             column.extend(part)
         offsets.append(len(columns[0]))
     arrays = [
@@ -137,19 +140,23 @@ def _node_array(pages: pa.Array, keep_json) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
-def canonical_json(text: Column) -> Column:
-    """The JSON text with sorted keys and default separators, NULL when it is not JSON."""
+def payload_json(text: Column) -> Column:
+    """struct<nodes, canonical> of one JSON text each: its node array, and the text with sorted keys and default
+    separators, NULL when it is not JSON. A text is parsed once, by one worker, a few texts at a time."""
 
-    @F.arrow_udf("string")
-    def rewrite(batch: pa.Array) -> pa.Array:
-        return _strings(
-            [
-                next((json.dumps(v, sort_keys=True, ensure_ascii=False) for _, v in _parse([t])), None)
-                for t in batch.to_pylist()
-            ]
-        )
-
-    return rewrite(text)
+    @F.arrow_udf(f"struct<nodes:{NODE_ARRAY},canonical:string>")
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for start in range(0, len(batch), PAGES_AT_ONCE):
+                pages = [_parsed([t]) for t in batch.slice(start, PAGES_AT_ONCE).to_pylist()]
+                texts = [
+                    next((json.dumps(v, sort_keys=True, ensure_ascii=False) for _, v in parsed), None)
+                    for parsed, _ in pages
+                ]
+                arrays = [_node_array(pages, frozenset()), _strings(texts)]
+                yield pa.StructArray.from_arrays(arrays, names=["nodes", "canonical"])
+
+    return read(text)
 
 
 # The rules over node arrays nest deeply, so they are written as SQL text: the functions below build

@@ -206,11 +206,11 @@ def parse_reviews(pages: DataFrame, scrape_time: str) -> DataFrame:
 def parse_payload_reviews(payloads: DataFrame, scrape_time: str) -> DataFrame:
     """Review rows from captured JSON payloads (``payload`` text). The hash is the given
     ``response_hash`` or that of the payload with sorted keys."""
-    canonical = tx.stable_hash(jt.canonical_json(F.col("payload")))
+    canonical = tx.stable_hash(F.col("_json.canonical"))
     given = "response_hash" in payloads.columns
     hashed = F.coalesce(F.col("response_hash"), canonical) if given else canonical
-    read = payloads.withColumn("_nodes", jt.json_nodes(F.array("payload")))
-    read = _review_inputs(read, scrape_time, hashed)
+    read = payloads.withColumn("_json", jt.payload_json(F.col("payload")))
+    read = _review_inputs(read.withColumn("_nodes", F.col("_json.nodes")), scrape_time, hashed)
     return _explode_reviews(_with_embedded_reviews(read), _kept(payloads, "payload"))
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -243,3 +244,13 @@ def test_more_pages_than_one_slice(spark):
     htmls = [f'<script>{{"reviews": [{{"text": "t{i}"}}]}}</script>' for i in range(200)]
     rows = pg.parse_reviews(page_table(spark, *htmls).coalesce(1), WHEN).collect()
     assert sorted((r.page_id, r.review_text) for r in rows) == [(i, f"t{i}") for i in range(200)]
+
+
+def test_a_payload_is_parsed_once(spark, capsys):
+    texts = ['{"b": 1, "a": {"reviews": [{"comment": "x", "rating": 5}]}}', "no json", None, "[" * 100_000]
+    df = spark.createDataFrame([(i, PRODUCT_URL, t) for i, t in enumerate(texts)], "i int, url string, payload string")
+    rows = pg.parse_payload_reviews(df, WHEN)
+    rows.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    canonical = '{"a": {"reviews": [{"comment": "x", "rating": 5}]}, "b": 1}'
+    assert [(r.i, r.review_text, r.response_hash) for r in rows.collect()] == [(0, "x", hashlib.sha256(canonical.encode()).hexdigest())]
