@@ -159,7 +159,8 @@ def block_title(html: Column) -> Column:
 
 def body_html(html: Column) -> Column:
     """Inside of ``<body>``, or the whole page when there is none."""
-    return F.when(html.rlike(BODY), F.regexp_extract(html, BODY, 1)).otherwise(html)
+    found = lambda body: F.when(body != "", body).when(html.rlike(BODY), body).otherwise(html)
+    return tx.let(F.regexp_extract(html, BODY, 1), found)
 
 
 def meta_tags(html: Column) -> Column:

@@ -162,15 +162,12 @@ def candidates_sql(nodes: str) -> str:
     objects of such a list are read before anything inside them.
     """
 
-    def words(keys) -> str:
-        return f"array({', '.join(repr(key) for key in keys)})"
-
     def place(anchor: str, item: str) -> str:
         return _struct({"anchor": anchor, "item": item, "first": "n.first", "size": "n.size"})
 
     keys = f"transform({jt.children(nodes, 'n')}, child -> lower(child.key))"
     fits = tx.sql_let(
-        keys, "k", f"arrays_overlap(k, {words(TEXT_KEYS)}) AND arrays_overlap(k, {words(CONTEXT_KEYS)})"
+        keys, "k", f"exists(k, x -> {_in('x', TEXT_KEYS)}) AND exists(k, x -> {_in('x', CONTEXT_KEYS)})"
     )
     by_keys = f"transform({nodes}, n -> CASE WHEN n.kind = 'dict' AND {fits} THEN {place('n.pos', '-1')} END)"
     hit = f"up.kind = 'list' AND {_in('lower(up.key)', CONTAINER_KEYS)}"
@@ -184,9 +181,11 @@ def candidate_fields(nodes: str, found: str) -> Column:
 
 
 def candidate_fields_sql(nodes: str, found: str) -> str:
-    """array<map<key, struct<kind, text, size>>>: the fields of each candidate that rows use."""
+    """array<map<key, struct<kind, text, size, plain, truthy>>>: the fields of each candidate that rows use.
+    ``plain`` is the trimmed text of a scalar that is not blank."""
     used = f"filter({jt.children(nodes, 'c')}, n -> {_in('n.key', sorted(set(_USED_KEYS)))})"
-    entry = f"struct(n.key, {_struct({'kind': 'n.kind', 'text': 'n.text', 'size': 'n.size'})})"
+    parts = {"kind": "n.kind", "text": "n.text", "size": "n.size", "plain": jt.scalar_text("n"), "truthy": jt.truthy("n")}
+    entry = f"struct(n.key, {_struct(parts)})"
     return f"transform({found}, c -> map_from_entries(transform({used}, n -> {entry})))"
 
 
@@ -196,13 +195,13 @@ def _field(key: str) -> str:
 
 def _first(keys) -> str:
     """First non-blank scalar under the keys, trimmed (exact-case keys, in order)."""
-    return f"coalesce({', '.join(jt.scalar_text(_field(key)) for key in keys)})"
+    return f"coalesce({', '.join(f'{_field(key)}.plain' for key in keys)})"
 
 
 def _first_truthy(keys, pick: str, default: str) -> str:
-    """``pick`` of the first truthy value ``n`` under the keys, else the default."""
-    picked = f"CASE WHEN {jt.truthy('n')} THEN {pick} END"
-    return f"coalesce({', '.join(tx.sql_let(_field(key), 'n', picked) for key in keys)}, {default})"
+    """``pick`` of the first truthy value ``{n}`` under the keys, else the default."""
+    picked = [f"CASE WHEN {_field(key)}.truthy THEN {pick.format(n=_field(key))} END" for key in keys]
+    return f"coalesce({', '.join(picked)}, {default})"
 
 
 def reviews_of(fields: str) -> Column:
@@ -211,14 +210,14 @@ def reviews_of(fields: str) -> Column:
 
 def reviews_sql(fields: str) -> str:
     """Candidate fields as review structs; ``review_text`` is NULL when one has no text."""
-    count = "CASE WHEN n.kind = 'list' THEN n.size ELSE 0 END"
+    count = "CASE WHEN {n}.kind = 'list' THEN {n}.size ELSE 0 END"
     columns = {
         "review_text": _first(TEXT_KEYS),
         "star_rating": _first(STAR_KEYS),
         "review_time_display": _first(TIME_KEYS),
         "variant_text": _first(VARIANT_KEYS),
         "media_flag": _first_truthy(IMAGE_KEYS + VIDEO_KEYS, "true", "false"),
-        "seller_reply_flag": _first_truthy(REPLY_KEYS, "NOT (n.kind = 'str' AND n.text = '0')", "false"),
+        "seller_reply_flag": _first_truthy(REPLY_KEYS, "NOT ({n}.kind = 'str' AND {n}.text = '0')", "false"),
         "reviewer_name_masked": _first(REVIEWER_KEYS),
         "helpful_count_display": _first(HELPFUL_KEYS),
         "image_count": _first_truthy(IMAGE_KEYS, count, "0"),

@@ -231,12 +231,17 @@ def discover_links(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     return rows.select("page_id", (F.col("at") + 1).alias("page_no"), "link")
 
 
-def _with_shell(read: DataFrame) -> DataFrame:
-    """Add the shell columns to pages that carry the product columns, ``_found``, ``_reviews``."""
+def _visible_length(html: Column) -> Column:
+    return F.length(hx.visible_text(hx.body_html(html)))
+
+
+def _with_signals(read: DataFrame) -> DataFrame:
+    """Add ``blob_count``, ``review_candidate_count``, ``product_signal_count`` and ``_signals``, the number of
+    shell signals without that of the visible text, to pages that carry the product columns, ``_found``,
+    ``_reviews``."""
     html = tx.text_of(F.col("html"))
     measured = read.withColumns(
         {
-            "visible_text_length": F.length(hx.visible_text(hx.body_html(html))),
             "blob_count": F.expr(f"size({jt.roots('_nodes')})"),
             "review_candidate_count": F.size("_found"),
             "product_signal_count": sum(
@@ -255,17 +260,31 @@ def _with_shell(read: DataFrame) -> DataFrame:
     signals = [
         any_in(SHELL_DIVS),
         any_in(SHELL_MARKERS),
-        F.col("visible_text_length") < SHELL_TEXT_CHARS,
         F.size("_reviews") == 0,
         F.col("review_candidate_count") == 0,
         F.col("product_signal_count") <= 1,
     ]
-    counted = measured.withColumn("signal_count", sum((s.cast("int") for s in signals), F.lit(0)))
+    return measured.withColumn("_signals", sum((s.cast("int") for s in signals), F.lit(0)))
+
+
+def _with_shell(read: DataFrame) -> DataFrame:
+    """Add the shell columns to pages that carry the product columns, ``_found``, ``_reviews``."""
+    seen = _with_signals(read).withColumn("visible_text_length", _visible_length(tx.text_of(F.col("html"))))
+    short = (F.col("visible_text_length") < SHELL_TEXT_CHARS).cast("int")
+    counted = seen.withColumn("signal_count", F.col("_signals") + short)
     return counted.withColumn(
         "shell_reason", F.when(F.col("signal_count") >= SHELL_SIGNALS, SHELL_REASON)
     )
 
 
+def _with_shell_reason(read: DataFrame) -> DataFrame:
+    """Add ``shell_reason`` alone. The visible text is the dearest signal to get, and read only where it decides."""
+    known, missing = F.col("_signals"), F.col("_signals") == SHELL_SIGNALS - 1
+    short = _visible_length(tx.text_of(F.col("html"))) < SHELL_TEXT_CHARS
+    reason = F.when(known >= SHELL_SIGNALS, SHELL_REASON).when(missing, F.when(short, SHELL_REASON))
+    return _with_signals(read).withColumn("shell_reason", reason)
+
+
 SHELL_COLUMNS = (
     "shell_reason", "signal_count", "visible_text_length", "blob_count", "review_candidate_count",
     "product_signal_count",
@@ -341,7 +360,7 @@ def page_facts(pages: DataFrame, scrape_time: str, max_pages: int | None = None,
     read = _review_inputs(
         _with_nodes(judged).drop("page_no"), scrape_time, tx.stable_hash(tx.text_of(F.col("html")))
     )
-    known = _with_shell(_with_product(_with_embedded_reviews(read), F.lit(scrape_time)))
+    known = _with_shell_reason(_with_product(_with_embedded_reviews(read), F.lit(scrape_time)))
     links = hx.review_links(tx.text_of(F.col("html")), F.col("final_url"), max_pages)
     return known.select(
         *[c for c in pages.columns if c not in ("html", "page_no")],

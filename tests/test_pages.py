@@ -254,3 +254,17 @@ def test_a_payload_is_parsed_once(spark, capsys):
     assert capsys.readouterr().out.count("ArrowEvalPython") == 1
     canonical = '{"a": {"reviews": [{"comment": "x", "rating": 5}]}, "b": 1}'
     assert [(r.i, r.review_text, r.response_hash) for r in rows.collect()] == [(0, "x", hashlib.sha256(canonical.encode()).hexdigest())]
+
+
+def test_shell_reason_alone_is_that_of_all_signals(spark):
+    words = lambda n: f"<p>{'w ' * n}</p>"
+    review = '<script>{"reviews":[{"text":"a","star":5}]}</script>'
+    title = '<meta property="og:title" content="t"><meta property="product:price:amount" content="1">'
+    parts = [(m, w, r, t) for m in ("", '<div id="main"></div>', SHELL_PAGE) for w in (words(5), words(300)) for r in ("", review) for t in ("", title)]
+    htmls = ["".join(p) for p in parts] + [f"<html>{t}<body>{w}</body>{m}</html>" for m, w, _, t in parts] + ["", None, "<body></body>" + words(300)]
+    pages = page_table(spark, *htmls).withColumns({"final_url": F.col("url"), "status_code": F.lit(200)})
+    facts = {r.page_id: r.shell_reason for r in pg.page_facts(pages, WHEN).collect()}
+    full = {r.page_id: r.shell_reason for r in pg.detect_shell_pages(pages).collect()}
+    assert facts == full and len(full) == len(htmls) and len(set(full.values())) == 2
+    code = pg.page_facts(pages, WHEN)._jdf.queryExecution().optimizedPlan().toString()
+    assert "visible_text_length" not in code
