@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import text as tx
@@ -39,24 +39,42 @@ def text_features(reviews: DataFrame) -> DataFrame:
     )
 
 
-def review_order(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
+def review_order(reviews: DataFrame, order_by: str | None = None, stable: bool = False) -> DataFrame:
     """Add ``relative_review_order``: 1, 2, ... per product by display time as text, ties by input
-    order, NULL for a NULL product. Without both columns the rows are numbered in input order."""
+    order, NULL for a NULL product. Without both columns the rows are numbered in input order.
+
+    ``stable`` says that the rows are the same each time they are read, as those of a stored table are. Their
+    keys are then numbered without the rest, and the rows travel once, to their numbers."""
     name = "relative_review_order"
     rows, order = with_order(reviews, order_by)
     if not {"product_id", "review_time_display"} <= set(reviews.columns):
         return hotkeys.number_rows(rows, [order], name).drop(ORD)
     named = rows.filter(F.col("product_id").isNotNull())
     nameless = rows.filter(F.col("product_id").isNull()).withColumn(name, F.lit(None).cast("bigint"))
+    if stable:
+        return _numbered_by_key(named, ["review_time_display", order], name).unionByName(nameless).drop(ORD)
     chunks = hotkeys.chunk(named, ["product_id"], ["review_time_display", order])
     return chunks.numbered(name).done().unionByName(nameless).drop(ORD)
 
 
-def build_review_features(reviews: DataFrame, order_by: str | None = None) -> DataFrame:
+def _numbered_by_key(named: DataFrame, order: list[str], name: str) -> DataFrame:
+    """1, 2, ... per product by ``order``, in which rows may be equal: their keys meet first, and each key knows
+    how many rows come before it."""
+    at = ["product_id", *order]
+    keys = named.groupBy(*at).agg(F.count("*").alias("_rows"))
+    before = hotkeys.chunk(keys, ["product_id"], order).running("_before", "sum", F.col("_rows"), exclusive=True).done()
+    key = F.struct(*at).alias("_key")  # as one value, in which NULLs equal each other
+    found = named.select("*", key).join(before.select(key, "_before"), "_key")
+    inside = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))  # few rows have one key
+    return found.withColumn(name, F.col("_before") + inside).drop("_key", "_before")
+
+
+def build_review_features(reviews: DataFrame, order_by: str | None = None, stable: bool = False) -> DataFrame:
     """Reviews with all features. The order is computed on the raw columns, so the derived text is
-    not carried through the sort; nor is one that an earlier step derived, as it is derived again."""
+    not carried through the sort; nor is one that an earlier step derived, as it is derived again.
+    ``stable`` is that of :func:`review_order`."""
     derived = "normalized_review_text"
-    found = text_features(review_order(reviews.drop(derived), order_by))
+    found = text_features(review_order(reviews.drop(derived), order_by, stable))
     if derived not in reviews.columns:
         return found
     return found.select(*reviews.columns, *[c for c in found.columns if c not in reviews.columns])

@@ -239,7 +239,7 @@ def metadata_features(spark, processed: str) -> dict:
     products = spark.read.parquet(f"{processed}/products.parquet")
     reviews = spark.read.parquet(f"{processed}/reviews.parquet")
     review_export = io.export_table(
-        features.build_review_features(reviews, "ord"), f"{processed}/review_features.parquet"
+        features.build_review_features(reviews, "ord", stable=True), f"{processed}/review_features.parquet"
     )
     feature_rows = spark.read.parquet(f"{processed}/review_features.parquet")
     aggregates = features.assemble_aggregates(features.product_rollup(feature_rows), products, "ord")

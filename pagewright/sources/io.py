@@ -193,13 +193,14 @@ def captured_for(captured: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def export_table(df: DataFrame, path: str) -> dict:
-    """Write Parquet to ``path`` and CSV beside it. The CSV is written from the stored Parquet, so
-    the plan runs once; the row count is observed during that write."""
+    """Write Parquet to ``path`` and CSV beside it, as gzip files, which all readers of CSV here take as they are.
+    The CSV is written from the stored Parquet, so the plan runs once; the row count is observed during that
+    write."""
     csv_path = f"{path.removesuffix('.parquet')}.csv"
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", _CODEC).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    stored.write.mode("overwrite").options(**_CSV).csv(csv_path)
+    stored.write.mode("overwrite").option("compression", "gzip").options(**_CSV).csv(csv_path)
     return {
         "preferred_path": path,
         "csv_fallback_path": csv_path,
